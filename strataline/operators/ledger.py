@@ -40,6 +40,9 @@ class BatchMarks:
     def has(self, flow: str, batch: str, step: str) -> bool:
         return not self._batches(flow, step).where(F.col("batch") == batch).isEmpty()
 
+    def passed(self, flow: str, step: str) -> list[str]:
+        return sorted(row.batch for row in self._batches(flow, step).collect())
+
     def pending(self, flow: str, after: str, before: str) -> list[str]:
         """Names of batches that passed ``after`` but not yet ``before``."""
         waiting = self._batches(flow, after).join(self._batches(flow, before), "batch", "left_anti")

@@ -8,6 +8,7 @@ landed batch that silver has not marked. Files may also be landed by a stream
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
@@ -33,6 +34,12 @@ FILES_PER_BATCH = 10_000
 Reader = Callable[[list[str]], DataFrame]
 
 
+def _token(batches: list[str]) -> str:
+    """A name for this very set of batches."""
+    digest = hashlib.sha256("/".join(batches).encode()).hexdigest()[:12]
+    return f"{batches[-1]}-{digest}"
+
+
 def land(lake: Lake, flow: str, rows: DataFrame, batch: str) -> None:
     """Write all columns of a stamped batch to its bronze partition; mark it."""
     tables.replace_partitions(rows.withColumn(BATCH, F.lit(batch)), lake.bronze[flow])
@@ -57,7 +64,7 @@ def land_new_files(
     landed = []
     moment = load_ts or datetime.now(timezone.utc)
     planned = {row.batch for row in lake.files.batches(flow).collect()}
-    done = set(lake.marks.pending(flow, after=LANDED, before="never"))
+    done = set(lake.marks.passed(flow, LANDED))
     for batch in sorted(planned - done):
         stamped = datetime.strptime(batch, "%Y%m%dT%H%M%S%fZ").replace(tzinfo=timezone.utc)
         land(lake, flow, stamp(read(lake.files.paths(flow, batch)), stamped), batch)
@@ -99,7 +106,7 @@ def refine_customers(lake: Lake, rebuild: bool = False) -> None:
         lake.customers.rebuild(rows, f"rebuild-{batch_name(datetime.now(timezone.utc))}")
     elif waiting:
         cleaned = clean_customers(lake.raw("customers", waiting).drop(BATCH))
-        lake.customers.merge(cleaned, f"{waiting[0]}..{waiting[-1]}")
+        lake.customers.merge(cleaned, _token(waiting))
     lake.marks.add("customers", waiting, REFINED)
 
 
@@ -125,7 +132,7 @@ def refine_products(lake: Lake) -> None:
             "product_id", "category", "sub_category", fixed.LOAD_TS
         )
         keyed, _ = split_keyless(wanted, ["product_id"])
-        lake.products.merge(keyed, f"{waiting[0]}..{waiting[-1]}")
+        lake.products.merge(keyed, _token(waiting))
         lake.marks.add("products", waiting, REFINED)
 
 

@@ -76,7 +76,7 @@ class Lake:
     def create(self) -> Lake:
         """Create what does not exist yet; existing data is picked up again."""
         for schema in self.schemas:
-            tables.create_schema(self.spark, schema)
+            tables.create_schema(self.spark, schema, f"{self.root}/{schema}")
         for flow, columns in _BRONZE.items():
             self._create(self.bronze[flow], f"{columns}, {BATCH} string", [BATCH])
         self._create(self.order_enrich, f"{fixed.SILVER_ORDERS}, {BATCH} string", [BATCH])

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def create_schema(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
+def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
+    at = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{at}")
 
 
 def create_table(

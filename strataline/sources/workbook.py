@@ -9,11 +9,13 @@ from __future__ import annotations
 
 import io
 import re
+import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -26,6 +28,10 @@ _REL_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}
 
 _CHUNK = 10_000
 
+# Send this module's functions along with the tasks, so that executors need no
+# installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _column_number(reference: str) -> int:
     number = 0

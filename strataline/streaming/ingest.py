@@ -58,4 +58,13 @@ def merge_stream(
     table: BucketedTable, stream: DataFrame, checkpoint: str, timeout: int | None = None
 ) -> None:
     """Upsert every micro-batch of a stream of versions into a keyed table."""
-    drain(stream, lambda batch, name: table.merge(batch, name), checkpoint, timeout)
+
+    def merge(batch: DataFrame, name: str) -> None:
+        # A merge looks at its source twice; the files are read once.
+        batch.persist()
+        try:
+            table.merge(batch, name)
+        finally:
+            batch.unpersist()
+
+    drain(stream, merge, checkpoint, timeout)

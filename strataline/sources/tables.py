@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
     at = f" LOCATION '{location}'" if location else ""
@@ -55,6 +58,18 @@ def _in_table_order(frame: DataFrame, name: str) -> DataFrame:
     return frame.select(*wanted)
 
 
+@contextmanager
+def _overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
+    """Say what an overwrite replaces. Writing *into a table* follows only the
+    session's setting; the writer option of that name is ignored there."""
+    before = spark.conf.get(_MODE)
+    spark.conf.set(_MODE, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(_MODE, before)
+
+
 def append(frame: DataFrame, name: str) -> None:
     """Add rows; columns are matched by name, whatever their order."""
     _in_table_order(frame, name).write.insertInto(name)
@@ -62,9 +77,8 @@ def append(frame: DataFrame, name: str) -> None:
 
 def overwrite(frame: DataFrame, name: str) -> None:
     """Replace all rows. The frame must not read the table it replaces."""
-    _in_table_order(frame, name).write.option("partitionOverwriteMode", "static").insertInto(
-        name, overwrite=True
-    )
+    with _overwriting(frame.sparkSession, "static"):
+        _in_table_order(frame, name).write.insertInto(name, overwrite=True)
 
 
 def replace_partitions(frame: DataFrame, name: str) -> None:
@@ -73,6 +87,5 @@ def replace_partitions(frame: DataFrame, name: str) -> None:
     Writing the same rows twice leaves them once, so a batch that owns its
     partition can be written again after a failure.
     """
-    _in_table_order(frame, name).write.option("partitionOverwriteMode", "dynamic").insertInto(
-        name, overwrite=True
-    )
+    with _overwriting(frame.sparkSession, "dynamic"):
+        _in_table_order(frame, name).write.insertInto(name, overwrite=True)

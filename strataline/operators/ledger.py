@@ -33,20 +33,23 @@ class BatchMarks:
             frame = self.spark.createDataFrame(rows, self.COLUMNS)
             tables.append(frame.coalesce(1), self.name)
 
-    def _batches(self, flow: str, step: str) -> DataFrame:
-        mine = (F.col("flow") == flow) & (F.col("step") == step)
-        return self.spark.table(self.name).where(mine).select("batch").distinct()
+    def _of(self, flow: str) -> DataFrame:
+        return self.spark.table(self.name).where(F.col("flow") == flow)
 
     def has(self, flow: str, batch: str, step: str) -> bool:
-        return not self._batches(flow, step).where(F.col("batch") == batch).isEmpty()
+        wanted = (F.col("batch") == batch) & (F.col("step") == step)
+        return not self._of(flow).where(wanted).isEmpty()
 
     def passed(self, flow: str, step: str) -> list[str]:
-        return sorted(row.batch for row in self._batches(flow, step).collect())
+        done = self._of(flow).where(F.col("step") == step)
+        return sorted(row.batch for row in done.select("batch").distinct().collect())
 
     def pending(self, flow: str, after: str, before: str) -> list[str]:
         """Names of batches that passed ``after`` but not yet ``before``."""
-        waiting = self._batches(flow, after).join(self._batches(flow, before), "batch", "left_anti")
-        return sorted(row.batch for row in waiting.collect())
+        reached = F.bool_or(F.col("step") == after)
+        left = F.bool_or(F.col("step") == before)
+        waiting = self._of(flow).groupBy("batch").agg(reached.alias("a"), left.alias("b"))
+        return sorted(row.batch for row in waiting.where("a and not b").collect())
 
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:

@@ -111,9 +111,8 @@ class BucketedTable:
 
     def recover(self) -> None:
         """Finish a merge that was staged but not copied over."""
-        for step, whole in (("staged", False), ("staged_whole", True)):
-            for token in self.marks.pending(self.name, after=step, before="merged"):
-                self._publish(token, whole)
+        for token in self.marks.pending(self.name, after="staged", before="merged"):
+            self._publish(token, whole=self.marks.has(self.name, token, "whole"))
 
     def merge(self, source: DataFrame, token: str) -> None:
         """Upsert ``source``; a token that was merged before is not repeated."""
@@ -138,7 +137,8 @@ class BucketedTable:
         """Replace the whole table by ``rows``, which must have unique keys."""
         self.recover()
         self._stage(rows)
-        self.marks.add(self.name, [token], "staged_whole")
+        self.marks.add(self.name, [token], "whole")
+        self.marks.add(self.name, [token], "staged")
         self._publish(token, whole=True)
 
     def _stage(self, rows: DataFrame) -> None:

@@ -1,0 +1,360 @@
+import json
+import os
+from datetime import datetime, timedelta, timezone
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from checks.inputs import workbook
+from conftest import rows
+from strataline import fixed_values as fixed
+from strataline.functions.values import snake_case
+from strataline.operators.ledger import list_files
+from strataline.plans import flows, gold
+from strataline.plans.lake import Lake, batch_name
+from strataline.sources import tables
+from strataline.sources.files import read_csv, read_json_documents, stamp
+from strataline.streaming.ingest import land_stream, merge_stream
+from test_sources import FIELDS, HEADER, customer, order
+
+DAY = datetime(2024, 3, 1, tzinfo=timezone.utc)
+
+
+def at(hours):
+    return DAY + timedelta(hours=hours)
+
+
+def documents(landing, name, *orders, **options):
+    return landing(f"orders/{name}.json", json.dumps(list(orders)), **options)
+
+
+def products(landing, name, *lines):
+    return landing(f"products/{name}.csv", HEADER + "".join(f"{line}\n" for line in lines))
+
+
+def customers(landing, name, *people):
+    return landing(f"customers/{name}.xlsx", workbook(FIELDS, people))
+
+
+@pytest.fixture
+def feeds(landing):
+    customers(
+        landing,
+        "all",
+        customer(1, customer_id="C-1", customer_name="Ki.m 1", phone="555-0100", country="Peru"),
+        customer(2, customer_id="C-2", customer_name="Lee", phone="(0)1234567890", country="Fiji"),
+    )
+    products(landing, "one", "P-1,Home,Desk,Oak desk,Ohio,9.5", "P-2,Toys,Kite,Red kite,Ohio,1,x")
+    documents(
+        landing,
+        "one",
+        order(1, **{"Profit": 1.005}),
+        order(2, **{"Product ID": "P-2", "Customer ID": "C-9", "Order Date": "1/2/2017"}),
+        order(3, **{"Order Date": "2017-02-01", "Customer ID": "C-2"}),
+    )
+    return {f: f"{landing.folder}/{f}" for f in ("customers", "products", "orders")}
+
+
+def run(lake, feeds, moment):
+    return flows.run_all(lake, feeds["customers"], feeds["products"], feeds["orders"], moment)
+
+
+SHOWN = ("row_id", "profit", "category", "sub_category", "customer_name", "country")
+
+
+def test_whole_job(lake, feeds):
+    reports = run(lake, feeds, at(0))
+    assert rows(lake.orders().select(*SHOWN)) == [
+        (1, Decimal("1.01"), "Home", "Desk", "Kim", "Peru"),
+        (2, Decimal("3.25"), "unknown", "unknown", None, None),
+        (3, Decimal("3.25"), "Home", "Desk", "Lee", "Fiji"),
+    ]
+    assert [tuple(r) for r in reports["by_year"].collect()] == [
+        (None, Decimal("3.25")),
+        (2016, Decimal("1.01")),
+        (2017, Decimal("3.25")),
+    ]
+    assert set(reports) == {"by_year", "by_year_category", "by_year_customer", "by_customer"}
+    assert [r.product_id for r in lake.quarantined("products").collect()] == ["P-2"]
+    silver = lake.customers.read()
+    assert silver.columns == lake.raw("customers").drop("batch").columns
+    assert {r.customer_id: r.phone for r in silver.collect()} == {"C-1": None, "C-2": "01234567890"}
+
+
+def test_a_second_run_adds_only_new_files(lake, feeds, landing):
+    run(lake, feeds, at(0))
+    assert run(lake, feeds, at(1))["by_year"].count() == 3
+    assert lake.orders().count() == 3
+    documents(landing, "two", order(4, **{"Product ID": "P-3"}))
+    products(landing, "two", "P-3,Food,Tea,Green tea,Ohio,2", "P-1,Home,Table,Oak desk,Ohio,9.5")
+    run(lake, feeds, at(2))
+    assert lake.orders().count() == 4
+    assert rows(lake.products.read().select("product_id", "sub_category")) == [
+        ("P-1", "Table"),
+        ("P-3", "Tea"),
+    ]
+    # Orders keep what was known when they were loaded.
+    assert rows(lake.orders().where("row_id in (1, 4)").select("row_id", "sub_category")) == [
+        (1, "Desk"),
+        (4, "Tea"),
+    ]
+
+
+def test_a_late_file_and_a_rewritten_file_are_loaded(lake, landing):
+    documents(landing, "new", order(1), modified=2_000_000_000)
+    flows.load_orders(lake, f"{landing.folder}/orders", at(0))
+    documents(landing, "late", order(2), modified=1_000_000_000)
+    documents(landing, "new", order(3), modified=2_000_000_001)
+    flows.load_orders(lake, f"{landing.folder}/orders", at(1))
+    assert rows(lake.orders().select("row_id")) == [(1,), (2,), (3,)]
+
+
+def test_many_files_become_several_batches(lake, landing):
+    for number in range(5):
+        documents(landing, f"f{number}", order(number))
+    flows.load_orders(lake, f"{landing.folder}/orders", at(0), files_per_batch=2)
+    assert rows(lake.orders().select("row_id")) == [(i,) for i in range(5)]
+    assert len(lake.marks.passed("orders", flows.REFINED)) == 3
+
+
+def test_no_files_no_batch(lake, landing):
+    documents(landing, "one", order(1))
+    flows.load_orders(lake, f"{landing.folder}/orders", at(0))
+    flows.load_orders(lake, f"{landing.folder}/orders", at(0))
+    flows.load_orders(lake, f"{landing.folder}/orders", at(5))
+    assert lake.marks.passed("orders", flows.LANDED) == [batch_name(at(0))]
+    assert lake.orders().count() == 1
+
+
+def test_a_corrupt_document_costs_its_own_rows_only(lake, landing):
+    documents(landing, "good", order(1))
+    landing("orders/bad.json", '[{"Row ID": 2,]')
+    flows.load_orders(lake, f"{landing.folder}/orders", at(0))
+    assert rows(lake.orders().select("row_id")) == [(1,)]
+    assert lake.quarantined("orders").count() == 1
+
+
+# --- failures between any two steps ------------------------------------------------
+
+
+class Stop(Exception):
+    pass
+
+
+def failing(monkeypatch, owner, name, calls=0, after=False):
+    """Let ``owner.name`` fail after some calls, before or after its work."""
+    real, seen = getattr(owner, name), []
+
+    def stand_in(*args, **kwargs):
+        seen.append(1)
+        if len(seen) > calls:
+            if after:
+                real(*args, **kwargs)
+            raise Stop
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(owner, name, stand_in)
+
+
+POINTS = [
+    ("files planned, nothing landed", flows, "land", 0, False),
+    ("landed, not marked", tables, "replace_partitions", 0, True),
+    ("landed and marked, not refined", flows, "order_facts", 0, False),
+    ("refined, not marked", tables, "replace_partitions", 1, True),
+]
+
+
+@pytest.mark.parametrize("what,owner,name,calls,after", POINTS, ids=[p[0] for p in POINTS])
+def test_orders_count_once_after_a_failure(lake, landing, monkeypatch, what, owner, name, calls, after):
+    documents(landing, "one", order(1), order(2))
+    folder = f"{landing.folder}/orders"
+    with monkeypatch.context() as patch, pytest.raises(Stop):
+        failing(patch, owner, name, calls, after)
+        flows.load_orders(lake, folder, at(0))
+    documents(landing, "two", order(3))
+    flows.load_orders(lake, folder, at(1))
+    assert rows(lake.orders().select("row_id")) == [(1,), (2,), (3,)]
+    assert rows(lake.raw("orders").select("row_id")) == [(1,), (2,), (3,)]
+
+
+MERGE_POINTS = [
+    ("before staging", "_stage", False),
+    ("staged, not marked", "_stage", True),
+    ("staged and marked", "_publish", False),
+    ("published", "_publish", True),
+]
+
+
+@pytest.mark.parametrize("what,name,after", MERGE_POINTS, ids=[p[0] for p in MERGE_POINTS])
+def test_products_merge_after_a_failure(lake, landing, monkeypatch, what, name, after):
+    folder = f"{landing.folder}/products"
+    first = [f"P-{i},A,old,N,S,1" for i in range(20)]
+    products(landing, "one", *first)
+    flows.load_products(lake, folder, at(0))
+    products(landing, "two", "P-1,A,new,N,S,1", "P-99,A,new,N,S,1")
+    with monkeypatch.context() as patch, pytest.raises(Stop):
+        failing(patch, type(lake.products), name, 0, after)
+        flows.load_products(lake, folder, at(1))
+    products(landing, "three", "P-2,A,newest,N,S,1")
+    flows.load_products(lake, folder, at(2))
+    expected = {f"P-{i}": "old" for i in range(20)}
+    expected |= {"P-1": "new", "P-99": "new", "P-2": "newest"}
+    got = rows(lake.products.read().select("product_id", "sub_category"))
+    assert got == sorted(expected.items(), key=repr)
+
+
+def test_half_published_buckets_are_finished(lake, landing, monkeypatch):
+    """A failure in the middle of replacing buckets loses a bucket's folder."""
+    folder = f"{landing.folder}/products"
+    products(landing, "one", *(f"P-{i},A,old,N,S,1" for i in range(20)))
+    flows.load_products(lake, folder, at(0))
+    products(landing, "two", *(f"P-{i},A,new,N,S,1" for i in range(10)))
+    with monkeypatch.context() as patch, pytest.raises(Stop):
+        failing(patch, type(lake.products), "_publish")
+        flows.load_products(lake, folder, at(1))
+    lost = lake.spark.table(lake.products.name).select(F.min("bkt")).first()[0]
+    path = lake.products.location
+    for name in os.listdir(f"{path}/bkt={lost}"):
+        os.remove(f"{path}/bkt={lost}/{name}")
+    lake.spark.catalog.refreshTable(lake.products.name)
+    assert lake.products.read().count() < 20
+    flows.refine_products(lake)
+    got = rows(lake.products.read().select("product_id", "sub_category"))
+    assert got == sorted([(f"P-{i}", "new" if i < 10 else "old") for i in range(20)], key=repr)
+
+
+# --- keyed tables -------------------------------------------------------------------
+
+
+def test_product_versions_ties_and_missing_ids(lake, landing):
+    folder = f"{landing.folder}/products"
+    products(
+        landing, "one",
+        "P-1,A,x,N,S,1", "P-1,A,y,N,S,1", ",A,z,N,S,1", "P-2,A,x,N,S,1", "P-2,A,x,N,S,1",
+    )
+    flows.load_products(lake, folder, at(0))
+    assert rows(lake.products.read().select("product_id", "sub_category")) == [
+        ("P-1", "y"), ("P-2", "x"),
+    ]
+    # A batch that carries an older load time does not win.
+    products(landing, "two", "P-1,A,older,N,S,1", "P-3,A,older,N,S,1")
+    flows.load_products(lake, folder, at(-1))
+    assert rows(lake.products.read().select("product_id", "sub_category")) == [
+        ("P-1", "y"), ("P-2", "x"), ("P-3", "older"),
+    ]
+
+
+def test_customers_merged_equal_customers_rebuilt(lake, landing):
+    folder = f"{landing.folder}/customers"
+    customers(landing, "all", customer(1, customer_id="C-1"), customer(2, customer_id=None))
+    flows.load_customers(lake, folder, at(0))
+    customers(
+        landing, "all", customer(3, customer_id="C-1"), customer(4, customer_id="C-2"),
+        customer(5, customer_id=None),
+    )
+    flows.load_customers(lake, folder, at(1))
+    merged = rows(lake.customers.read())
+    assert sorted((r[0], r[4]) for r in merged if r[0]) == [("C-1", "address 3"), ("C-2", "address 4")]
+    assert [r[4] for r in merged if r[0] is None] == ["address 5"]
+    flows.refine_customers(lake, rebuild=True)
+    assert rows(lake.customers.read()) == merged
+
+
+def test_tables_survive_a_new_catalog(spark, lake, feeds):
+    run(lake, feeds, at(0))
+    before = rows(lake.orders())
+    lake.drop()
+    again = Lake(spark, lake.root, lake.schemas[0].removesuffix("bronze"), buckets=4).create()
+    assert rows(again.orders()) == before
+    run(again, feeds, at(1))
+    assert rows(again.orders()) == before
+
+
+# --- the ledger -------------------------------------------------------------------
+
+
+def test_files_by_time_and_by_name(lake, landing):
+    landing("files/new.json", "[]", modified=1_704_114_000)
+    landing("files/old.json", "[]", modified=1_704_027_600)
+    landing("files/other.csv", "", modified=1_704_114_000)
+    files = list_files(lake.spark, f"{landing.folder}/files", "*.json")
+    assert files.count() == 2
+    assert lake.files.modified_since(files, "orders").count() == 2
+    assert lake.files.unseen(files, "orders").count() == 2
+
+    known = lake.spark.createDataFrame(
+        [("file:/elsewhere.json", datetime(2024, 1, 1, 12, tzinfo=timezone.utc))],
+        "file_path string, modification_time timestamp",
+    )
+    lake.files.plan(known, "orders", "b1")
+    newer = lake.files.modified_since(files, "orders").collect()
+    assert [r.file_path.rsplit("/")[-1] for r in newer] == ["new.json"]
+    assert lake.files.modified_since(files, "products").count() == 2
+    assert lake.files.unseen(files, "orders").count() == 2
+    lake.files.plan(files, "orders", "b2")
+    assert lake.files.unseen(files, "orders").count() == 0
+    assert len(lake.files.paths("orders", "b2")) == 2
+
+
+# --- gold ---------------------------------------------------------------------------
+
+
+def test_gold_in_all_its_forms(spark, lake, feeds):
+    reports = run(lake, feeds, at(0))
+    orders = lake.orders()
+    kpis = gold.kpi(orders)
+    assert rows(spark.table(lake.kpi_view)) == rows(kpis) == rows(spark.table(lake.kpi_table))
+    assert kpis.schema["total_profit"].dataType.simpleString() == fixed.MONEY_TYPE
+    together = gold.all_reports(kpis)
+    for name, keys in gold.REPORTS.items():
+        expected = rows(reports[name])
+        assert rows(gold.report_of_orders(orders, name)) == expected
+        part = together.where(F.col("report") == name).select(*keys, "total_profit")
+        assert rows(part) == expected
+    assert kpis.agg(F.sum("total_profit")).first()[0] == orders.agg(F.sum("profit")).first()[0]
+
+
+# --- streams ------------------------------------------------------------------------
+
+
+def order_stream(lake, folder, moment):
+    return stamp(snake_case(read_json_documents(lake.spark, folder, stream=True)), moment)
+
+
+def test_stream_lands_what_the_ledger_lands(lake, landing, tmp_path):
+    folder, checkpoint = f"{landing.folder}/orders", str(tmp_path / "checkpoint")
+    documents(landing, "one", order(1), order(2), modified=2_000_000_000)
+    land_stream(lake, "orders", order_stream(lake, folder, at(0)), checkpoint, 120)
+    flows.refine_orders(lake)
+    documents(landing, "late", order(3), modified=1_000_000_000)
+    land_stream(lake, "orders", order_stream(lake, folder, at(1)), checkpoint, 120)
+    land_stream(lake, "orders", order_stream(lake, folder, at(2)), checkpoint, 120)
+    flows.refine_orders(lake)
+    assert rows(lake.orders().select("row_id")) == [(1,), (2,), (3,)]
+    assert len(lake.marks.passed("orders", flows.LANDED)) == 2
+
+
+def test_stream_repeats_a_failed_batch_in_place(lake, landing, tmp_path, monkeypatch):
+    folder, checkpoint = f"{landing.folder}/orders", str(tmp_path / "checkpoint")
+    documents(landing, "one", order(1), order(2))
+    with monkeypatch.context() as patch, pytest.raises(Exception):
+        failing(patch, lake.marks, "add")
+        land_stream(lake, "orders", order_stream(lake, folder, at(0)), checkpoint, 120)
+    assert lake.marks.passed("orders", flows.LANDED) == []
+    documents(landing, "two", order(3))
+    land_stream(lake, "orders", order_stream(lake, folder, at(1)), checkpoint, 120)
+    assert rows(lake.raw("orders").select("row_id")) == [(1,), (2,), (3,)]
+
+
+def test_stream_merges_versions(lake, landing, tmp_path):
+    folder, checkpoint = f"{landing.folder}/products", str(tmp_path / "checkpoint")
+    for hours, text in enumerate(["old", "new"]):
+        products(landing, text, f"P-1,A,{text},N,S,1", f"P-{text},A,{text},N,S,1")
+        versions = stamp(read_csv(lake.spark, folder, stream=True), at(hours)).select(
+            "product_id", "category", "sub_category", "load_ts"
+        )
+        merge_stream(lake.products, versions, checkpoint, 120)
+    assert rows(lake.products.read().select("product_id", "sub_category")) == [
+        ("P-1", "new"), ("P-new", "new"), ("P-old", "old"),
+    ]

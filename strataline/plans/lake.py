@@ -74,7 +74,7 @@ class Lake:
         return f"{self.root}/{table.replace('.', '/')}"
 
     def create(self) -> Lake:
-        """Create what does not exist yet; existing data is picked up again."""
+        """Create what the catalog does not have yet."""
         for schema in self.schemas:
             tables.create_schema(self.spark, schema, f"{self.root}/{schema}")
         for flow, columns in _BRONZE.items():
@@ -86,6 +86,16 @@ class Lake:
         tables.create_view(self.spark, self.kpi_view, kpi_view_query(self.order_enrich))
         return self
 
+    def attach(self) -> Lake:
+        """Create the tables in a new catalog over the data of an earlier one."""
+        self.create()
+        keyed = [self.products, self.customers]
+        partitioned = [*self.bronze.values(), self.order_enrich]
+        partitioned += [name for table in keyed for name in (table.name, table.staged)]
+        for name in partitioned:
+            tables.recover_partitions(self.spark, name)
+        return self
+
     def _create(self, name: str, columns: str, partitioned_by: list[str]) -> None:
         tables.create_table(self.spark, name, columns, self._place(name), partitioned_by)
 

@@ -23,13 +23,7 @@ def create_table(
     location: str | None = None,
     partitioned_by: Sequence[str] = (),
 ) -> None:
-    """A parquet table, unless there is one of that name.
-
-    ``columns`` is a DDL string or a ``StructType``. Partitions found at the
-    location, left by an earlier table, belong to the new one.
-    """
-    if spark.catalog.tableExists(name):
-        return
+    """A parquet table; ``columns`` is a DDL string or a ``StructType``."""
     ddl = columns if isinstance(columns, str) else columns.toDDL()
     statement = f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet"
     if partitioned_by:
@@ -37,8 +31,13 @@ def create_table(
     if location:
         statement += f" LOCATION '{location}'"
     spark.sql(statement)
-    if partitioned_by and location:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
+def recover_partitions(spark: SparkSession, name: str) -> None:
+    """Let a partitioned table take over what an earlier one left at its place."""
+    # Writing no rows makes the folder, which the repair needs, if there is none.
+    spark.table(name).limit(0).write.insertInto(name)
+    spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
 def drop_table(spark: SparkSession, name: str) -> None:

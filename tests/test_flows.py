@@ -265,7 +265,7 @@ def test_tables_survive_a_new_catalog(spark, lake, feeds):
     run(lake, feeds, at(0))
     before = rows(lake.orders())
     lake.drop()
-    again = Lake(spark, lake.root, lake.schemas[0].removesuffix("bronze"), buckets=4).create()
+    again = Lake(spark, lake.root, lake.schemas[0].removesuffix("bronze"), buckets=4).attach()
     assert rows(again.orders()) == before
     run(again, feeds, at(1))
     assert rows(again.orders()) == before

@@ -104,6 +104,11 @@ def _enriched(spark, sf, join):
     # PROMO is no category: a NULL from the dimension itself.
     listed = listed.withColumn("category", F.expr("nullif(category, 'PROMO')"))
     solvent = inputs.customers(spark, sf).where(F.col("balance") >= 0)
+    if join == "split":
+        # It reads its facts more than once, so they are stored, as in bronze.
+        folder = scratch(spark, "facts")
+        facts.write.parquet(folder)
+        facts = spark.read.parquet(folder)
     return flows.enrich_orders(facts, listed, solvent, join)
 
 

@@ -8,23 +8,28 @@ from pyspark.sql import functions as F
 from strataline import fixed_values as fixed
 
 
+def _without(value: Column | str, unwanted: str) -> Column:
+    """Text without the characters of a class, taken out a run at a time."""
+    return F.regexp_replace(_column(value), f"{unwanted}+", "")
+
+
 def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
 def clean_name(value: Column | str) -> Column:
     """ASCII letters and single blanks only, no blank at either end."""
-    letters = F.regexp_replace(_column(value), fixed.NAME_JUNK, "")
+    letters = _without(value, fixed.NAME_JUNK)
     return F.trim(F.regexp_replace(letters, fixed.WHITESPACE_RUN, " "))
 
 
 def clean_email(value: Column | str) -> Column:
     """Word characters and ``. @ + -`` only."""
-    return F.regexp_replace(_column(value), fixed.EMAIL_JUNK, "")
+    return _without(value, fixed.EMAIL_JUNK)
 
 
 def digits(value: Column | str) -> Column:
-    return F.regexp_replace(_column(value), fixed.NON_DIGIT, "")
+    return _without(value, fixed.NON_DIGIT)
 
 
 def clean_phone(value: Column | str) -> Column:

@@ -12,7 +12,6 @@ from strataline.functions.values import or_unknown
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
 HOT_SHARE = 0.001
-_HOT = "_hot_key"
 _ROW_OVERHEAD = 32
 
 
@@ -31,8 +30,10 @@ class Dimension:
     * ``measured``: the dimension's bytes are summed first (one aggregate over
       the needed columns). Within ``broadcast_limit`` it is broadcast, beyond
       it the join is split.
-    * ``split``: facts of very frequent keys meet a broadcast of just those
-      keys' dimension rows and are never shuffled; only the others are.
+    * ``split``: facts of very frequent keys, which are counted first, meet a
+      broadcast of just those keys' dimension rows and are never shuffled; only
+      the others are. The facts are read twice, so they should be a stored
+      table, not a long computation.
     """
 
     rows: DataFrame
@@ -52,26 +53,26 @@ def measured_bytes(rows: DataFrame) -> int:
     return rows.agg(F.sum(width.cast("bigint"))).first()[0] or 0
 
 
-def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
+def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     """Keys that hold at least ``share`` of all facts.
 
-    No more than ``1 / share`` keys can, whatever the data, which is what makes
-    the result safe to broadcast. Counts are combined before the shuffle.
+    At most ``1 / share`` keys can, whatever the data, so the list is bounded.
+    It takes one pass over the key column; counts are combined before the
+    shuffle.
     """
+    counted = facts.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     total = facts.agg(F.count(F.lit(1))).scalar()
-    counted = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return counted.where(F.col("n") >= total * F.lit(share)).select(key)
+    hot = counted.where((F.col("n") >= total * F.lit(share)) & F.col(key).isNotNull())
+    return sorted(row[0] for row in hot.select(key).collect())
 
 
 def _split_join(facts: DataFrame, lookup: DataFrame, key: str, share: float) -> DataFrame:
     hot = hot_keys(facts, key, share)
-    hot_lookup = lookup.join(F.broadcast(hot), key, "left_semi")
-    marked = facts.join(F.broadcast(hot.withColumn(_HOT, F.lit(True))), key, "left")
     # Facts without a key match nothing, so they need no shuffle either.
-    stays = F.col(_HOT).isNotNull() | F.col(key).isNull()
-    in_place = marked.where(stays).drop(_HOT).join(F.broadcast(hot_lookup), key, "left")
-    shuffled = marked.where(~stays).drop(_HOT).join(lookup, key, "left")
-    return in_place.unionByName(shuffled)
+    stays = F.col(key).isNull() | F.col(key).isin(hot)
+    hot_lookup = F.broadcast(lookup.where(F.col(key).isin(hot)))
+    in_place = facts.where(stays).join(hot_lookup, key, "left")
+    return in_place.unionByName(facts.where(~stays).join(lookup, key, "left"))
 
 
 def _join(facts: DataFrame, lookup: DataFrame, dimension: Dimension) -> DataFrame:

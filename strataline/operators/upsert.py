@@ -93,14 +93,10 @@ class BucketedTable:
         self.staged = f"{name}_staged"
 
     def create(self) -> None:
-        for name, suffix in ((self.name, ""), (self.staged, "_staged")):
-            tables.create_table(
-                self.spark,
-                name,
-                f"{self.columns}, {BUCKET} int",
-                location=f"{self.location}{suffix}" if self.location else None,
-                partitioned_by=[BUCKET],
-            )
+        columns = f"{self.columns}, {BUCKET} int"
+        tables.create_table(self.spark, self.name, columns, self.location, [BUCKET])
+        beside = f"{self.location}_staged" if self.location else None
+        tables.create_table(self.spark, self.staged, columns, beside)
 
     def drop(self) -> None:
         tables.drop_table(self.spark, self.name)
@@ -143,11 +139,16 @@ class BucketedTable:
 
     def _stage(self, rows: DataFrame) -> None:
         placed = rows.withColumn(BUCKET, bucket_of(self.keys, self.buckets))
-        # One bucket goes to as few files as its size allows: adaptive execution
-        # splits a large bucket over tasks and packs small ones together.
-        tables.overwrite(placed.hint("rebalance", F.col(BUCKET)), self.staged)
+        tables.overwrite(placed, self.staged)
 
     def _publish(self, token: str, whole: bool) -> None:
-        write = tables.overwrite if whole else tables.replace_partitions
-        write(self.spark.table(self.staged).hint("rebalance", F.col(BUCKET)), self.name)
+        staged = self.spark.table(self.staged)
+        if whole:
+            buckets = staged.select(BUCKET).distinct()
+            stale = self.spark.table(self.name).select(BUCKET).distinct().subtract(buckets)
+            for row in stale.collect():
+                tables.clear_partition(self.spark, self.name, BUCKET, row[0])
+        # One bucket goes to as few files as its size allows: adaptive execution
+        # splits a large bucket over tasks and packs small ones together.
+        tables.replace_partitions(staged.hint("rebalance", F.col(BUCKET)), self.name)
         self.marks.add(self.name, [token], "merged")

@@ -80,6 +80,8 @@ def land_new_files(
                 return landed
             land(lake, flow, stamp(read(paths), moment), batch)
             landed.append(batch)
+            if len(paths) < files_per_batch:
+                return landed
         moment += timedelta(microseconds=1)
 
 
@@ -188,6 +190,9 @@ def refine_orders(lake: Lake, join: str = "measured") -> None:
     if waiting:
         facts = order_facts(lake.raw("orders", waiting))
         enriched = enrich_orders(facts, lake.products.read(), lake.customers.read(), join)
+        if len(waiting) > 1:
+            # Else each task of a shuffled join would write a file per batch.
+            enriched = enriched.hint("rebalance", F.col(BATCH))
         tables.replace_partitions(enriched, lake.order_enrich)
         lake.marks.add("orders", waiting, REFINED)
 

@@ -89,10 +89,8 @@ class Lake:
     def attach(self) -> Lake:
         """Create the tables in a new catalog over the data of an earlier one."""
         self.create()
-        keyed = [self.products, self.customers]
-        partitioned = [*self.bronze.values(), self.order_enrich]
-        partitioned += [name for table in keyed for name in (table.name, table.staged)]
-        for name in partitioned:
+        keyed = [self.products.name, self.customers.name]
+        for name in [*self.bronze.values(), self.order_enrich, *keyed]:
             tables.recover_partitions(self.spark, name)
         return self
 

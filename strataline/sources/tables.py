@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-_MODE = "spark.sql.sources.partitionOverwriteMode"
-
 
 def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
     at = f" LOCATION '{location}'" if location else ""
@@ -27,6 +24,9 @@ def create_table(
     ddl = columns if isinstance(columns, str) else columns.toDDL()
     statement = f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet"
     if partitioned_by:
+        # The mode belongs to the table: a writer's option is ignored when
+        # writing into a table, and a session's setting is shared by its threads.
+        statement += " OPTIONS (partitionOverwriteMode 'dynamic')"
         statement += f" PARTITIONED BY ({', '.join(partitioned_by)})"
     if location:
         statement += f" LOCATION '{location}'"
@@ -56,6 +56,10 @@ def read(spark: SparkSession, name: str, hide: Sequence[str] = ()) -> DataFrame:
     return spark.table(name).drop(*hide)
 
 
+def _partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
 def _in_table_order(frame: DataFrame, name: str) -> DataFrame:
     wanted = frame.sparkSession.table(name).columns
     if set(wanted) != set(frame.columns):
@@ -65,27 +69,16 @@ def _in_table_order(frame: DataFrame, name: str) -> DataFrame:
     return frame.select(*wanted)
 
 
-@contextmanager
-def _overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
-    """Say what an overwrite replaces. Writing *into a table* follows only the
-    session's setting; the writer option of that name is ignored there."""
-    before = spark.conf.get(_MODE)
-    spark.conf.set(_MODE, mode)
-    try:
-        yield
-    finally:
-        spark.conf.set(_MODE, before)
-
-
 def append(frame: DataFrame, name: str) -> None:
     """Add rows; columns are matched by name, whatever their order."""
     _in_table_order(frame, name).write.insertInto(name)
 
 
 def overwrite(frame: DataFrame, name: str) -> None:
-    """Replace all rows. The frame must not read the table it replaces."""
-    with _overwriting(frame.sparkSession, "static"):
-        _in_table_order(frame, name).write.insertInto(name, overwrite=True)
+    """Replace all rows of an unpartitioned table, which the frame must not read."""
+    if _partition_columns(frame.sparkSession, name):
+        raise ValueError(f"{name} is partitioned: use replace_partitions and clear_partition")
+    _in_table_order(frame, name).write.insertInto(name, overwrite=True)
 
 
 def replace_partitions(frame: DataFrame, name: str) -> None:
@@ -94,5 +87,15 @@ def replace_partitions(frame: DataFrame, name: str) -> None:
     Writing the same rows twice leaves them once, so a batch that owns its
     partition can be written again after a failure.
     """
-    with _overwriting(frame.sparkSession, "dynamic"):
-        _in_table_order(frame, name).write.insertInto(name, overwrite=True)
+    if not _partition_columns(frame.sparkSession, name):
+        raise ValueError(f"{name} has no partitions")
+    _in_table_order(frame, name).write.insertInto(name, overwrite=True)
+
+
+def clear_partition(spark: SparkSession, name: str, column: str, value: int) -> None:
+    """Remove the rows of one partition, which has to be an integer."""
+    kept = [field for field in spark.table(name).schema if field.name != column]
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {name} PARTITION ({column} = {int(value)}) SELECT * FROM {{none}}",
+        none=spark.createDataFrame([], StructType(kept)),
+    )

@@ -261,6 +261,15 @@ def test_customers_merged_equal_customers_rebuilt(lake, landing):
     assert rows(lake.customers.read()) == merged
 
 
+def test_a_rebuild_may_shrink_a_table(lake):
+    columns = "product_id string, category string, sub_category string, load_ts timestamp"
+    made = [(f"P-{i}", "c", "s", at(0)) for i in range(20)]
+    lake.products.rebuild(lake.spark.createDataFrame(made, columns), "all")
+    assert lake.products.read().count() == 20
+    lake.products.rebuild(lake.spark.createDataFrame(made[:1], columns), "one")
+    assert rows(lake.products.read().select("product_id")) == [("P-0",)]
+
+
 def test_tables_survive_a_new_catalog(spark, lake, feeds):
     run(lake, feeds, at(0))
     before = rows(lake.orders())

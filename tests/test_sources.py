@@ -175,6 +175,13 @@ def test_replacing_partitions_leaves_others_alone(spark, lake):
     for batch in ("a", "b", "b", "a"):
         tables.replace_partitions(spark.createDataFrame([(1, batch)], "v int, p string"), name)
     assert rows(spark.table(name)) == [(1, "a"), (1, "b")]
-    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
-    tables.overwrite(spark.createDataFrame([(9, "c")], "v int, p string"), name)
-    assert rows(spark.table(name)) == [(9, "c")]
+    with pytest.raises(ValueError):
+        tables.overwrite(spark.table(name), name)
+
+
+def test_one_partition_can_be_cleared(spark, lake):
+    name = f"{lake.schemas[0]}.numbered"
+    tables.create_table(spark, name, "v int, p int", f"{lake.root}/numbered", ["p"])
+    tables.replace_partitions(spark.createDataFrame([(1, 1), (2, 2)], "v int, p int"), name)
+    tables.clear_partition(spark, name, "p", 1)
+    assert rows(spark.table(name)) == [(2, 2)]

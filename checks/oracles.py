@@ -127,7 +127,7 @@ _ORDERS = _ORDER_COLUMNS.format(price="o_totalprice")
 _DOCUMENT = f"o_orderkey // {ORDERS_PER_DOCUMENT}"
 
 _END_TO_END = f"""
-    select row_id, cast(order_id as varchar) as order_id,
+    select cast(row_id as bigint) as row_id, cast(order_id as varchar) as order_id,
            cast(order_date as date) as order_date,
            cast(s.customer_id as varchar) as customer_id,
            cast(product_id as varchar) as product_id, profit,
@@ -215,6 +215,8 @@ ORACLES: dict[str, str] = {
     "overwrite_table": """
         select o_orderkey, lower(o_orderstatus) as o_orderstatus, o_totalprice from orders""",
     "view_of_table": "select o_orderstatus, count(*) as n_orders from orders group by 1",
+    "temp_view_scan": """
+        select o_orderkey, o_totalprice from orders where o_orderstatus = 'F'""",
     "batch_guards": " union all ".join(
         f"select '{name}' as table_name, count(*) as n_rows, count(*) = 0 as is_empty from {name}"
         for name in _TABLES

@@ -425,6 +425,14 @@ def view_of_table(spark, sf):
     return tables.read(spark, f"{name}_by_status")
 
 
+def temp_view_scan(spark, sf):
+    """A frame handed to SQL under a name, with the columns and rows it needs."""
+    inputs.table(spark, sf, "orders").createOrReplaceTempView("orders_view")
+    return spark.sql(
+        "SELECT o_orderkey, o_totalprice FROM orders_view WHERE o_orderstatus = 'F'"
+    )
+
+
 def batch_guards(spark, sf):
     """Row count of every table, and whether it is empty."""
     counts = [
@@ -503,6 +511,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         append_table,
         overwrite_table,
         view_of_table,
+        temp_view_scan,
         batch_guards,
         end_to_end_profit,
         end_to_end_orders,

@@ -43,7 +43,7 @@ def sales(spark: SparkSession, sf: str) -> DataFrame:
     discount travel through the join; the decimal is made after it.
     """
     lines = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_discount"
+        "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_discount", "l_returnflag"
     )
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     price = F.col("l_extendedprice").cast("decimal(12,2)")
@@ -57,6 +57,7 @@ def sales(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_custkey").alias("customer_id"),
         F.col("l_partkey").alias("product_id"),
         F.round(price * (1 - discount), 2).alias("profit"),
+        (F.col("l_returnflag") == "R").alias("returned"),
     )
 
 

@@ -11,7 +11,8 @@ _PROFIT = (
 
 _SALES = f"""
     select l_linenumber as row_id, l_orderkey as order_id, o_orderdate as order_date,
-           o_custkey as customer_id, l_partkey as product_id, {_PROFIT} as profit
+           o_custkey as customer_id, l_partkey as product_id, {_PROFIT} as profit,
+           l_returnflag = 'R' as returned
     from lineitem join orders on l_orderkey = o_orderkey
 """
 
@@ -48,13 +49,13 @@ _ALL_REPORTS = f"""
                             (order_year, customer_id), (customer_id))
 """
 
-_ENRICHED = f"""
+_ENRICHED = """
     select row_id, order_id, cast(order_date as date) as order_date, customer_id,
            product_id, profit,
            coalesce(nullif(p_type, 'PROMO'), 'unknown') as category,
            coalesce(p_brand, 'unknown') as sub_category,
            c_name as customer_name, n_name as country
-    from ({_SALES}) s
+    from ({sales}) s
     left join (select * from part where p_size <= 45) p on product_id = p_partkey
     left join (select * from customer left join nation on c_nationkey = n_nationkey
                where c_acctbal >= 0) c on customer_id = c_custkey
@@ -156,9 +157,13 @@ ORACLES: dict[str, str] = {
     "profit_by_customer": _report("customer_id"),
     "profit_all_reports": _ALL_REPORTS,
     "profit_from_view": _report("order_year", "category"),
-    "order_enrich": _ENRICHED,
-    "order_enrich_measured": _ENRICHED,
-    "order_enrich_split": _ENRICHED,
+    "order_enrich": _ENRICHED.format(sales=_SALES),
+    "order_enrich_measured": _ENRICHED.format(sales=_SALES),
+    "order_enrich_salted": _ENRICHED.format(
+        sales=f"""select * replace (case when returned then 1 else customer_id end as customer_id,
+                                    case when returned then product_id end as product_id)
+                  from ({_SALES})"""
+    ),
     "clean_customer": _CLEAN_CUSTOMER,
     "clean_text": f"""
         select doc_id, {_letters('text')} as letters, {_address('text')} as address_characters,

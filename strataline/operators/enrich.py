@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -12,6 +13,8 @@ from strataline.functions.values import or_unknown
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
 HOT_SHARE = 0.001
+_PIECES = "_pieces"
+_SALT = "_salt"
 _ROW_OVERHEAD = 32
 
 
@@ -29,11 +32,11 @@ class Dimension:
       adaptive execution splits skewed shuffle partitions.
     * ``measured``: the dimension's bytes are summed first (one aggregate over
       the needed columns). Within ``broadcast_limit`` it is broadcast, beyond
-      it the join is split.
-    * ``split``: facts of very frequent keys, which are counted first, meet a
-      broadcast of just those keys' dimension rows and are never shuffled; only
-      the others are. The facts are read twice, so they should be a stored
-      table, not a long computation.
+      it the join is salted.
+    * ``salted``: keys that hold more than ``hot_share`` of the facts are looked
+      for first (two passes over the key column). Their facts are spread over
+      pieces of at most that share, and their dimension rows repeated for each
+      piece. Without such keys it is a plain shuffled join.
     """
 
     rows: DataFrame
@@ -53,37 +56,61 @@ def measured_bytes(rows: DataFrame) -> int:
     return rows.agg(F.sum(width.cast("bigint"))).first()[0] or 0
 
 
-def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Keys that hold at least ``share`` of all facts.
+def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE) -> dict:
+    """Keys holding at least ``share`` of all facts, and their part of it.
 
-    At most ``1 / share`` keys can, whatever the data, so the list is bounded.
-    It takes one pass over the key column; counts are combined before the
-    shuffle.
+    Missing keys count as one key, None. At most ``1 / share`` keys qualify,
+    whatever the data, so the result is bounded. Neither pass shuffles by key:
+    the first keeps a bounded sketch for each task, the second counts just the
+    candidates, exactly.
     """
-    counted = facts.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = facts.agg(F.count(F.lit(1))).scalar()
-    hot = counted.where((F.col("n") >= total * F.lit(share)) & F.col(key).isNotNull())
-    return sorted(row[0] for row in hot.select(key).collect())
-
-
-def _split_join(facts: DataFrame, lookup: DataFrame, key: str, share: float) -> DataFrame:
+    keys = facts.select(key)
+    sketch = keys.freqItems([key], share / 2).first()
+    found = [(value,) for value in (sketch[0] or []) if value is not None]
+    candidates = facts.sparkSession.createDataFrame(found, keys.schema).withColumn("key", F.col(key))
+    counts = (
+        keys.join(F.broadcast(candidates), key, "left")
+        .groupBy("key", F.col(key).isNull().alias("missing"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .collect()
+    )
+    total = sum(row.n for row in counts)
+    named = [row for row in counts if row.missing or row.key is not None]
+    return {row.key: row.n / total for row in named if row.n >= share * total}
+
+
+def _salted_join(facts: DataFrame, lookup: DataFrame, key: str, share: float) -> DataFrame:
     hot = hot_keys(facts, key, share)
-    # Facts without a key match nothing, so they need no shuffle either.
-    stays = F.col(key).isNull() | F.col(key).isin(hot)
-    hot_lookup = F.broadcast(lookup.where(F.col(key).isin(hot)))
-    in_place = facts.where(stays).join(hot_lookup, key, "left")
-    return in_place.unionByName(facts.where(~stays).join(lookup, key, "left"))
+    if not hot:
+        return facts.join(lookup, key, "left")
+    pieces = facts.sparkSession.createDataFrame(
+        [(value, math.ceil(part / share)) for value, part in hot.items() if value is not None],
+        facts.select(key, F.lit(0).alias(_PIECES)).schema,
+    )
+    # A hash of the row, unlike a random number, is the same when a lost task is
+    # run again. Facts without a key match nothing and may go anywhere.
+    row_hash = F.xxhash64(*facts.columns)
+    spread = F.when(F.col(key).isNull(), F.lit(math.ceil(1 / share))).otherwise(F.col(_PIECES))
+    salted_facts = facts.join(F.broadcast(pieces), key, "left").withColumn(
+        _SALT, F.coalesce(F.pmod(row_hash, spread), F.lit(0)).cast("int")
+    )
+    repeated = F.sequence(F.lit(0), F.coalesce(F.col(_PIECES), F.lit(1)) - 1)
+    salted_lookup = lookup.join(F.broadcast(pieces), key, "left").withColumn(
+        _SALT, F.explode(repeated)
+    )
+    joined = salted_facts.drop(_PIECES).join(salted_lookup.drop(_PIECES), [key, _SALT], "left")
+    return joined.drop(_SALT)
 
 
 def _join(facts: DataFrame, lookup: DataFrame, dimension: Dimension) -> DataFrame:
     how = dimension.join
     if how == "measured":
         fits = measured_bytes(lookup) <= dimension.broadcast_limit
-        how = "broadcast" if fits else "split"
+        how = "broadcast" if fits else "salted"
     if how == "broadcast":
         return facts.join(F.broadcast(lookup), dimension.key, "left")
-    if how == "split":
-        return _split_join(facts, lookup, dimension.key, dimension.hot_share)
+    if how == "salted":
+        return _salted_join(facts, lookup, dimension.key, dimension.hot_share)
     if how == "auto":
         return facts.join(lookup, dimension.key, "left")
     raise ValueError(f"unknown join {dimension.join!r}")

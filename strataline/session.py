@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Beyond 2,000 shuffle partitions map tasks report average block sizes, which
+    # hides a skewed one from adaptive execution; this keeps such blocks exact.
+    "spark.shuffle.accurateBlockSkewedFactor": "5",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",

@@ -60,6 +60,16 @@ ORDER_FEED = """
     _corrupt_record string
 """
 
+# --- fixed values: schema and table names ----------------------------------
+BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
+FILES_TABLE = "processed_files"
+CUSTOMERS_TABLE = "customers"
+PRODUCTS_TABLE = "products"
+ORDERS_TABLE = "orders"
+SILVER_PRODUCTS_TABLE = "products_1"
+SILVER_ORDERS_TABLE = "order_enrich"
+KPI_VIEW = "kpi_agg"
+
 # --- fixed values: table layouts -------------------------------------------
 PROCESSED_FILES = """
     file_path string,

@@ -92,7 +92,7 @@ def _salted_join(facts: DataFrame, lookup: DataFrame, key: str, share: float) ->
     row_hash = F.xxhash64(*facts.columns)
     spread = F.when(F.col(key).isNull(), F.lit(math.ceil(1 / share))).otherwise(F.col(_PIECES))
     salted_facts = facts.join(F.broadcast(pieces), key, "left").withColumn(
-        _SALT, F.coalesce(F.pmod(row_hash, spread), F.lit(0)).cast("int")
+        _SALT, F.when(spread.isNull(), F.lit(0)).otherwise(F.pmod(row_hash, spread)).cast("int")
     )
     repeated = F.sequence(F.lit(0), F.coalesce(F.col(_PIECES), F.lit(1)) - 1)
     salted_lookup = lookup.join(F.broadcast(pieces), key, "left").withColumn(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataline import fixed_values as fixed
-from strataline.operators.dedupe import latest_per_key
+from strataline.operators.dedupe import latest_per_key_by_max
 from strataline.operators.ledger import BatchMarks
 from strataline.sources import tables
 
@@ -35,7 +35,7 @@ def merge_frames(
     """
     columns = target.columns
     changed = set(columns if update is None else update)
-    newest = latest_per_key(source.select(*columns), keys, [version])
+    newest = latest_per_key_by_max(source.select(*columns), keys, [version])
     old = target.select(*(F.col(c).alias(f"t_{c}") for c in columns), F.lit(1).alias("t_has"))
     new = newest.select(*(F.col(c).alias(f"s_{c}") for c in columns), F.lit(1).alias("s_has"))
 

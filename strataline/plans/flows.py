@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from strataline import fixed_values as fixed
 from strataline.functions.text import clean_customers
 from strataline.functions.values import money, parse_date, snake_case
-from strataline.operators.dedupe import latest_per_key
+from strataline.operators.dedupe import latest_per_key_by_max
 from strataline.operators.enrich import Dimension, enrich
 from strataline.operators.ledger import list_files
 from strataline.operators.quality import clean_rows, split_keyless
@@ -104,7 +104,7 @@ def refine_customers(lake: Lake, rebuild: bool = False) -> None:
     waiting = lake.marks.pending("customers", after=LANDED, before=REFINED)
     if rebuild:
         cleaned = clean_customers(lake.raw("customers").drop(BATCH))
-        rows = latest_per_key(cleaned, ["customer_id"], [fixed.LOAD_TS])
+        rows = latest_per_key_by_max(cleaned, ["customer_id"], [fixed.LOAD_TS])
         lake.customers.rebuild(rows, f"rebuild-{batch_name(datetime.now(timezone.utc))}")
     elif waiting:
         cleaned = clean_customers(lake.raw("customers", waiting).drop(BATCH))

@@ -16,9 +16,9 @@ from strataline.sources import tables
 BATCH = "batch"
 
 _BRONZE = {
-    "customers": fixed.BRONZE_CUSTOMERS,
-    "products": fixed.BRONZE_PRODUCTS,
-    "orders": fixed.BRONZE_ORDERS,
+    fixed.CUSTOMERS_TABLE: fixed.BRONZE_CUSTOMERS,
+    fixed.PRODUCTS_TABLE: fixed.BRONZE_PRODUCTS,
+    fixed.ORDERS_TABLE: fixed.BRONZE_ORDERS,
 }
 
 
@@ -38,36 +38,37 @@ class Lake:
 
     def __init__(self, spark: SparkSession, root: str, prefix: str = "", buckets: int = 32):
         self.spark, self.root = spark, root.rstrip("/")
-        self.schemas = [f"{prefix}{layer}" for layer in ("bronze", "silver", "gold")]
+        layers = (fixed.BRONZE, fixed.SILVER, fixed.GOLD)
+        self.schemas = [f"{prefix}{layer}" for layer in layers]
         bronze, silver, gold = self.schemas
         self.bronze = {flow: f"{bronze}.{flow}" for flow in _BRONZE}
-        self.order_enrich = f"{silver}.order_enrich"
-        self.kpi_view = f"{gold}.kpi_agg"
+        self.order_enrich = f"{silver}.{fixed.SILVER_ORDERS_TABLE}"
+        self.kpi_view = f"{gold}.{fixed.KPI_VIEW}"
         self.kpi_table = f"{gold}.kpi_totals"
-        self.marks = BatchMarks(
-            spark, f"{bronze}.batch_marks", self._place(f"{bronze}.batch_marks")
+        marks, files = f"{bronze}.batch_marks", f"{bronze}.{fixed.FILES_TABLE}"
+        self.marks = BatchMarks(spark, marks, self._place(marks))
+        self.files = FileLedger(spark, files, self._place(files))
+        self.products = self._keyed(
+            f"{silver}.{fixed.SILVER_PRODUCTS_TABLE}", fixed.SILVER_PRODUCTS, "product_id", buckets
         )
-        self.files = FileLedger(
-            spark, f"{bronze}.processed_files", self._place(f"{bronze}.processed_files")
-        )
-        self.products = BucketedTable(
-            spark,
-            f"{silver}.products",
-            fixed.SILVER_PRODUCTS,
-            ["product_id"],
-            self.marks,
-            buckets=buckets,
-            location=self._place(f"{silver}.products"),
-        )
-        self.customers = BucketedTable(
-            spark,
-            f"{silver}.customers",
+        self.customers = self._keyed(
+            f"{silver}.{fixed.CUSTOMERS_TABLE}",
             fixed.SILVER_CUSTOMERS,
-            ["customer_id"],
-            self.marks,
+            "customer_id",
+            buckets,
             null_safe=True,
+        )
+
+    def _keyed(self, name: str, columns: str, key: str, buckets: int, null_safe: bool = False):
+        return BucketedTable(
+            self.spark,
+            name,
+            columns,
+            [key],
+            self.marks,
+            null_safe=null_safe,
             buckets=buckets,
-            location=self._place(f"{silver}.customers"),
+            location=self._place(name),
         )
 
     def _place(self, table: str) -> str:

@@ -21,6 +21,9 @@ SETTINGS = {
     "spark.shuffle.accurateBlockSkewedFactor": "5",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Rows are larger in memory than in their files. Size estimates, which decide
+    # on broadcasts, have to allow for it.
+    "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.ui.enabled": "false",
 }
 

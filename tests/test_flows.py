@@ -319,6 +319,9 @@ def test_gold_in_all_its_forms(spark, lake, feeds):
     for name, keys in gold.REPORTS.items():
         expected = rows(reports[name])
         assert rows(gold.report_of_orders(orders, name)) == expected
+        by = ", ".join(keys)
+        text = f"SELECT {by}, sum(total_profit) FROM {lake.kpi_view} GROUP BY {by} ORDER BY {by}"
+        assert rows(spark.sql(text)) == expected
         part = together.where(F.col("report") == name).select(*keys, "total_profit")
         assert rows(part) == expected
     assert kpis.agg(F.sum("total_profit")).first()[0] == orders.agg(F.sum("profit")).first()[0]

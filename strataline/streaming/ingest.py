@@ -10,12 +10,15 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 
+from strataline.functions.values import snake_case
 from strataline.operators.upsert import BucketedTable
-from strataline.plans.flows import land
+from strataline.plans.flows import land, refine_orders, refine_products
 from strataline.plans.lake import Lake
+from strataline.sources.files import read_csv, read_json_documents, read_json_lines, stamp
 
 
 def drain(
@@ -54,6 +57,34 @@ def land_stream(
     drain(stream, lambda batch, name: land(lake, flow, batch, name), checkpoint, timeout)
 
 
+def load_products_stream(
+    lake: Lake,
+    folder: str,
+    checkpoint: str,
+    load_ts: datetime | None = None,
+    timeout: int | None = None,
+) -> None:
+    """Products from CSV files: land what is new, then merge it."""
+    stream = stamp(read_csv(lake.spark, folder, stream=True), load_ts)
+    land_stream(lake, "products", stream, checkpoint, timeout)
+    refine_products(lake)
+
+
+def load_orders_stream(
+    lake: Lake,
+    folder: str,
+    checkpoint: str,
+    load_ts: datetime | None = None,
+    lines: bool = False,
+    timeout: int | None = None,
+) -> None:
+    """Orders from JSON documents or lines: land what is new, then enrich it."""
+    read_json = read_json_lines if lines else read_json_documents
+    stream = stamp(snake_case(read_json(lake.spark, folder, stream=True)), load_ts)
+    land_stream(lake, "orders", stream, checkpoint, timeout)
+    refine_orders(lake)
+
+
 def merge_stream(
     table: BucketedTable, stream: DataFrame, checkpoint: str, timeout: int | None = None
 ) -> None:

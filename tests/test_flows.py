@@ -15,7 +15,12 @@ from strataline.plans import flows, gold
 from strataline.plans.lake import Lake, batch_name
 from strataline.sources import tables
 from strataline.sources.files import read_csv, read_json_documents, stamp
-from strataline.streaming.ingest import land_stream, merge_stream
+from strataline.streaming.ingest import (
+    land_stream,
+    load_orders_stream,
+    load_products_stream,
+    merge_stream,
+)
 from test_sources import FIELDS, HEADER, customer, order
 
 DAY = datetime(2024, 3, 1, tzinfo=timezone.utc)
@@ -347,6 +352,16 @@ def test_stream_lands_what_the_ledger_lands(lake, landing, tmp_path):
     assert len(lake.marks.passed("orders", flows.LANDED)) == 2
 
 
+def test_streams_give_what_the_ledger_gives(spark, lake, landing, tmp_path, feeds):
+    run(lake, feeds, at(0))
+    other = Lake(spark, str(tmp_path / "other"), lake.schemas[0].replace("bronze", "s_"), 4).create()
+    flows.load_customers(other, feeds["customers"], at(0))
+    load_products_stream(other, feeds["products"], str(tmp_path / "cp"), at(0), 120)
+    load_orders_stream(other, feeds["orders"], str(tmp_path / "co"), at(0), timeout=120)
+    assert rows(other.products.read()) == rows(lake.products.read())
+    assert rows(other.orders()) == rows(lake.orders())
+
+
 def test_stream_repeats_a_failed_batch_in_place(lake, landing, tmp_path, monkeypatch):
     folder, checkpoint = f"{landing.folder}/orders", str(tmp_path / "checkpoint")
     documents(landing, "one", order(1), order(2))

@@ -117,7 +117,13 @@ class FileLedger:
     def batches(self, obj: str) -> DataFrame:
         return self.entries(obj).select("batch").distinct()
 
-    def paths(self, obj: str, batch: str) -> list[str]:
-        """File names of one batch, for the reader. ``plan`` bounds how many."""
-        of_batch = self.entries(obj).where(F.col("batch") == batch)
-        return sorted(row.file_path for row in of_batch.select("file_path").distinct().collect())
+    def paths(self, obj: str, batch: str, present: DataFrame | None = None) -> list[str]:
+        """File names of one batch, for the reader. ``plan`` bounds how many.
+
+        Given a listing, files that are gone or were written again since they
+        were planned are left out; the latter belong to a new batch.
+        """
+        files = self.entries(obj).where(F.col("batch") == batch)
+        if present is not None:
+            files = files.join(present, ["file_path", "modification_time"], "left_semi")
+        return sorted(row.file_path for row in files.select("file_path").distinct().collect())

@@ -67,7 +67,8 @@ def land_new_files(
     done = set(lake.marks.passed(flow, LANDED))
     for batch in sorted(planned - done):
         stamped = datetime.strptime(batch, "%Y%m%dT%H%M%S%fZ").replace(tzinfo=timezone.utc)
-        land(lake, flow, stamp(read(lake.files.paths(flow, batch)), stamped), batch)
+        present = list_files(lake.spark, folder, glob)
+        land(lake, flow, stamp(read(lake.files.paths(flow, batch, present)), stamped), batch)
         landed.append(batch)
     while True:
         batch = batch_name(moment)
@@ -143,11 +144,12 @@ def load_products(
     folder: str,
     load_ts: datetime | None = None,
     files_per_batch: int = FILES_PER_BATCH,
+    glob: str = "*.csv",
 ) -> None:
     def read(paths: list[str]) -> DataFrame:
         return read_csv(lake.spark, paths)
 
-    land_new_files(lake, "products", folder, read, "*.csv", load_ts, files_per_batch)
+    land_new_files(lake, "products", folder, read, glob, load_ts, files_per_batch)
     refine_products(lake)
 
 
@@ -204,6 +206,7 @@ def load_orders(
     lines: bool = False,
     files_per_batch: int = FILES_PER_BATCH,
     join: str = "measured",
+    glob: str = "*.json",
 ) -> None:
     """``lines``: the files hold JSON lines instead of one document each."""
     read_json = read_json_lines if lines else read_json_documents
@@ -211,7 +214,7 @@ def load_orders(
     def read(paths: list[str]) -> DataFrame:
         return snake_case(read_json(lake.spark, paths))
 
-    land_new_files(lake, "orders", folder, read, "*.json", load_ts, files_per_batch)
+    land_new_files(lake, "orders", folder, read, glob, load_ts, files_per_batch)
     refine_orders(lake, join)
 
 

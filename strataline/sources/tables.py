@@ -56,8 +56,9 @@ def read(spark: SparkSession, name: str, hide: Sequence[str] = ()) -> DataFrame:
     return spark.table(name).drop(*hide)
 
 
-def _partition_columns(spark: SparkSession, name: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+def _is_partitioned(spark: SparkSession, name: str) -> bool:
+    lines = spark.sql(f"DESCRIBE TABLE {name}").collect()
+    return any(line.col_name == "# Partition Information" for line in lines)
 
 
 def _in_table_order(frame: DataFrame, name: str) -> DataFrame:
@@ -76,7 +77,7 @@ def append(frame: DataFrame, name: str) -> None:
 
 def overwrite(frame: DataFrame, name: str) -> None:
     """Replace all rows of an unpartitioned table, which the frame must not read."""
-    if _partition_columns(frame.sparkSession, name):
+    if _is_partitioned(frame.sparkSession, name):
         raise ValueError(f"{name} is partitioned: use replace_partitions and clear_partition")
     _in_table_order(frame, name).write.insertInto(name, overwrite=True)
 
@@ -87,7 +88,7 @@ def replace_partitions(frame: DataFrame, name: str) -> None:
     Writing the same rows twice leaves them once, so a batch that owns its
     partition can be written again after a failure.
     """
-    if not _partition_columns(frame.sparkSession, name):
+    if not _is_partitioned(frame.sparkSession, name):
         raise ValueError(f"{name} has no partitions")
     _in_table_order(frame, name).write.insertInto(name, overwrite=True)
 

@@ -183,6 +183,20 @@ def test_orders_count_once_after_a_failure(lake, landing, monkeypatch, what, own
     assert rows(lake.raw("orders").select("row_id")) == [(1,), (2,), (3,)]
 
 
+def test_a_planned_file_that_changed_is_loaded_once(lake, landing, monkeypatch):
+    folder = f"{landing.folder}/orders"
+    documents(landing, "kept", order(1))
+    documents(landing, "changed", order(2), modified=1_700_000_000)
+    gone = documents(landing, "gone", order(3))
+    with monkeypatch.context() as patch, pytest.raises(Stop):
+        failing(patch, flows, "land")
+        flows.load_orders(lake, folder, at(0))
+    documents(landing, "changed", order(4), modified=1_700_000_001)
+    os.remove(gone)
+    flows.load_orders(lake, folder, at(1))
+    assert rows(lake.orders().select("row_id")) == [(1,), (4,)]
+
+
 MERGE_POINTS = [
     ("before staging", "_stage", False),
     ("staged, not marked", "_stage", True),

@@ -163,19 +163,21 @@ def order_objects(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def write_order_documents(spark: SparkSession, sf: str) -> str:
-    """Orders as one JSON array per file; each fourth document is broken.
+    """Orders as one JSON array per file. A document with more orders of status
+    P than of status F is broken.
 
     A document holds a fixed range of keys, so its size is bounded and only the
     number of documents grows with the data.
     """
     document = F.floor(F.col("o_orderkey") / ORDERS_PER_DOCUMENT).alias("document")
     body = F.array_join(F.sort_array(F.collect_list(F.to_json("order"))), ",\n")
-    end = F.when(F.col("document") % 4 == 1, F.lit(",,\n]")).otherwise(F.lit("\n]"))
+    status = F.col("o_orderstatus")
+    broken = F.count_if(status == "P") > F.count_if(status == "F")
+    end = F.when(broken, F.lit(",,\n]")).otherwise(F.lit("\n]"))
+    text = F.concat(F.lit("[\n"), body, end).alias("value")
     folder = scratch(spark, "order-documents")
-    documents = order_objects(spark, sf).groupBy(document).agg(body.alias("body"))
-    documents.select("document", F.concat(F.lit("[\n"), "body", end).alias("value")).write.partitionBy(
-        "document"
-    ).text(folder)
+    documents = order_objects(spark, sf).groupBy(document).agg(text)
+    documents.write.partitionBy("document").text(folder)
     return folder
 
 

@@ -125,7 +125,14 @@ _ORDER_COLUMNS = (
     "cast(o_custkey as varchar) as customer_id, {price} as price, o_orderpriority as ship_mode"
 )
 _ORDERS = _ORDER_COLUMNS.format(price="o_totalprice")
-_DOCUMENT = f"o_orderkey // {ORDERS_PER_DOCUMENT}"
+_DOCUMENTS = f"""
+    select *, document_p > document_f as broken from (
+        select *, o_orderkey // {ORDERS_PER_DOCUMENT} as document,
+               count(*) filter (o_orderstatus = 'P') over by_document as document_p,
+               count(*) filter (o_orderstatus = 'F') over by_document as document_f
+        from orders
+        window by_document as (partition by o_orderkey // {ORDERS_PER_DOCUMENT}))
+"""
 
 _END_TO_END = f"""
     select cast(row_id as bigint) as row_id, cast(order_id as varchar) as order_id,
@@ -198,9 +205,9 @@ ORACLES: dict[str, str] = {
                || case when p_type = 'PROMO' then ',' || p_retailprice || ',left over' else '' end
                as raw_text
         from part where not ({_GOOD_PART})""",
-    "json_documents_clean": f"select {_ORDERS} from orders where ({_DOCUMENT}) % 4 <> 1",
+    "json_documents_clean": f"select {_ORDERS} from ({_DOCUMENTS}) where not broken",
     "json_documents_quarantine": f"""
-        select count(distinct {_DOCUMENT}) as n_rows from orders where ({_DOCUMENT}) % 4 = 1""",
+        select count(distinct document) as n_rows from ({_DOCUMENTS}) where broken""",
     "json_lines_clean": f"select {_ORDERS} from orders where o_orderstatus <> 'P'",
     "json_lines_quarantine": f"""
         select {_ORDER_COLUMNS.format(price='cast(null as double)')}

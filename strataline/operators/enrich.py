@@ -79,20 +79,21 @@ def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE) -> dict:
     return {row.key: row.n / total for row in named if row.n >= share * total}
 
 
-def _salted_join(facts: DataFrame, lookup: DataFrame, key: str, share: float) -> DataFrame:
-    hot = hot_keys(facts, key, share)
+def _salted_join(facts: DataFrame, lookup: DataFrame, key: str, hot: dict, share: float) -> DataFrame:
     if not hot:
         return facts.join(lookup, key, "left")
     pieces = facts.sparkSession.createDataFrame(
         [(value, math.ceil(part / share)) for value, part in hot.items() if value is not None],
         facts.select(key, F.lit(0).alias(_PIECES)).schema,
     )
-    # A hash of the row, unlike a random number, is the same when a lost task is
-    # run again. Facts without a key match nothing and may go anywhere.
-    row_hash = F.xxhash64(*facts.columns)
+    # Unlike a random number, this is the same when a lost task is run again. The
+    # hash alone would keep copies of one row together; those of different input
+    # partitions are told apart by the partition. Facts without a key match
+    # nothing and may go anywhere.
+    number = F.xxhash64(*facts.columns).bitwiseXOR(F.spark_partition_id().cast("bigint"))
     spread = F.when(F.col(key).isNull(), F.lit(math.ceil(1 / share))).otherwise(F.col(_PIECES))
     salted_facts = facts.join(F.broadcast(pieces), key, "left").withColumn(
-        _SALT, F.when(spread.isNull(), F.lit(0)).otherwise(F.pmod(row_hash, spread)).cast("int")
+        _SALT, F.when(spread.isNull(), F.lit(0)).otherwise(F.pmod(number, spread)).cast("int")
     )
     repeated = F.sequence(F.lit(0), F.coalesce(F.col(_PIECES), F.lit(1)) - 1)
     salted_lookup = lookup.join(F.broadcast(pieces), key, "left").withColumn(
@@ -102,17 +103,16 @@ def _salted_join(facts: DataFrame, lookup: DataFrame, key: str, share: float) ->
     return joined.drop(_SALT)
 
 
-def _join(facts: DataFrame, lookup: DataFrame, dimension: Dimension) -> DataFrame:
-    how = dimension.join
-    if how == "measured":
-        fits = measured_bytes(lookup) <= dimension.broadcast_limit
-        how = "broadcast" if fits else "salted"
-    if how == "broadcast":
-        return facts.join(F.broadcast(lookup), dimension.key, "left")
-    if how == "salted":
-        return _salted_join(facts, lookup, dimension.key, dimension.hot_share)
+def _join(
+    facts: DataFrame, counted: DataFrame, lookup: DataFrame, dimension: Dimension
+) -> DataFrame:
+    how, key, share = dimension.join, dimension.key, dimension.hot_share
+    if how == "measured" and measured_bytes(lookup) <= dimension.broadcast_limit:
+        return facts.join(F.broadcast(lookup), key, "left")
+    if how in ("measured", "salted"):
+        return _salted_join(facts, lookup, key, hot_keys(counted, key, share), share)
     if how == "auto":
-        return facts.join(lookup, dimension.key, "left")
+        return facts.join(lookup, key, "left")
     raise ValueError(f"unknown join {dimension.join!r}")
 
 
@@ -122,13 +122,17 @@ def enrich(facts: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
     Each dimension is cut to its key and needed columns before its join, so
     equal names elsewhere (a load time, say) cannot clash. A miss leaves NULL.
     """
+    given = facts
     for dimension in dimensions:
         clash = set(dimension.columns) & set(facts.columns)
         if clash:
             raise ValueError(f"facts already have {sorted(clash)}")
         lookup = dimension.rows.select(dimension.key, *dimension.columns)
         kept = facts.columns
-        joined = _join(facts, lookup, dimension)
+        # Joins before this one neither add nor drop facts, so keys are counted
+        # without running them, unless one of them has brought the key.
+        counted = given if dimension.key in given.columns else facts
+        joined = _join(facts, counted, lookup, dimension)
         added = [
             or_unknown(c).alias(c) if c in dimension.fill_unknown else F.col(c)
             for c in dimension.columns

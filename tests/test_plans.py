@@ -67,10 +67,15 @@ def test_a_dimension_over_the_threshold_is_not_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_facts_of_a_frequent_key_spread_over_partitions(spark, tmp_path):
+@pytest.mark.parametrize("copies", [False, True], ids=["different", "copies of one row"])
+def test_facts_of_a_frequent_key_spread_over_partitions(spark, tmp_path, copies):
     facts_path = str(tmp_path / "facts")
-    hot_third = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id"))
-    spark.range(9000).select("id", hot_third.alias("product_id")).write.parquet(facts_path)
+    hot = F.col("id") % 3 == 0
+    number = F.when(hot, F.lit(0)).otherwise(F.col("id")) if copies else F.col("id")
+    product = F.when(hot, F.lit(-1)).otherwise(F.col("id"))
+    spark.range(0, 9000, numPartitions=64).select(
+        number.alias("id"), product.alias("product_id")
+    ).write.parquet(facts_path)
     facts = spark.read.parquet(facts_path)
     products = spark.range(-1, 9000).select(
         F.col("id").alias("product_id"), F.lit("c").alias("category")
@@ -86,6 +91,7 @@ def test_facts_of_a_frequent_key_spread_over_partitions(spark, tmp_path):
 
     changed = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.files.openCostInBytes": "134217728",
         "spark.sql.adaptive.enabled": "false",
     }
     before = {key: spark.conf.get(key) for key in changed}

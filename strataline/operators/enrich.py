@@ -67,7 +67,8 @@ def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE) -> dict:
     keys = facts.select(key)
     sketch = keys.freqItems([key], share / 2).first()
     found = [(value,) for value in (sketch[0] or []) if value is not None]
-    candidates = facts.sparkSession.createDataFrame(found, keys.schema).withColumn("key", F.col(key))
+    spark = facts.sparkSession
+    candidates = spark.createDataFrame(found, keys.schema).withColumn("key", F.col(key))
     counts = (
         keys.join(F.broadcast(candidates), key, "left")
         .groupBy("key", F.col(key).isNull().alias("missing"))
@@ -79,7 +80,9 @@ def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE) -> dict:
     return {row.key: row.n / total for row in named if row.n >= share * total}
 
 
-def _salted_join(facts: DataFrame, lookup: DataFrame, key: str, hot: dict, share: float) -> DataFrame:
+def _salted_join(
+    facts: DataFrame, lookup: DataFrame, key: str, hot: dict, share: float
+) -> DataFrame:
     if not hot:
         return facts.join(lookup, key, "left")
     pieces = facts.sparkSession.createDataFrame(

@@ -11,21 +11,53 @@ from strataline import fixed_values as fixed
 from strataline.sources import tables
 
 
-class BatchMarks:
-    """One row per (flow, batch, step) that finished.
+PART = "part"
 
-    A mark is written only after the step's data. So a step without a mark may
-    have been done in part and is done again; every step is written so that
-    doing it again changes nothing.
+
+class Log:
+    """A table that is only added to, a small file for each addition.
+
+    Its readers do not mind a row being there twice. So ``compact`` may copy all
+    rows to a new partition first and clear the old ones after that: a failure
+    in between leaves copies and loses nothing. One writer at a time.
     """
 
-    COLUMNS = "flow string, batch string, step string"
+    COLUMNS: str
 
     def __init__(self, spark: SparkSession, name: str, location: str | None = None):
         self.spark, self.name, self.location = spark, name, location
 
     def create(self) -> None:
-        tables.create_table(self.spark, self.name, self.COLUMNS, self.location)
+        columns = f"{self.COLUMNS}, {PART} int"
+        tables.create_table(self.spark, self.name, columns, self.location, [PART])
+
+    def rows(self) -> DataFrame:
+        return tables.read(self.spark, self.name, hide=[PART])
+
+    def append(self, rows: DataFrame) -> None:
+        tables.append(rows.coalesce(1).withColumn(PART, F.lit(0)), self.name)
+
+    def compact(self) -> None:
+        """Bring the rows of all additions so far into as few files as they fill."""
+        found = self.spark.table(self.name).select(PART).distinct().collect()
+        old = [row[0] for row in found]
+        if old:
+            target = F.lit(max(old) + 1)
+            everything = self.rows().distinct().withColumn(PART, target)
+            tables.replace_partitions(everything.hint("rebalance", F.col(PART)), self.name)
+            for part in old:
+                tables.clear_partition(self.spark, self.name, PART, part)
+
+
+class BatchMarks(Log):
+    """One row per (flow, batch, step) that finished.
+
+    A mark is written only after the step's data. So a step without a mark may
+    have been done in part and is done again; every step is written so that
+    doing it again changes nothing.
+    """
+
+    COLUMNS = "flow string, batch string, step string"
 
     def add(self, flow: str, batches: Sequence[str], step: str) -> None:
         if batches:
@@ -35,10 +67,10 @@ class BatchMarks:
                 F.explode(F.array(*(F.lit(batch) for batch in batches))).alias("batch"),
                 F.lit(step).alias("step"),
             )
-            tables.append(rows, self.name)
+            self.append(rows)
 
     def _of(self, flow: str) -> DataFrame:
-        return self.spark.table(self.name).where(F.col("flow") == flow)
+        return self.rows().where(F.col("flow") == flow)
 
     def has(self, flow: str, batch: str, step: str) -> bool:
         wanted = (F.col("batch") == batch) & (F.col("step") == step)
@@ -69,7 +101,7 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     )
 
 
-class FileLedger:
+class FileLedger(Log):
     """The processed files of each object, one row per file version and batch.
 
     Files are entered *before* they are loaded, as the plan of a batch: after a
@@ -78,14 +110,8 @@ class FileLedger:
 
     COLUMNS = f"{fixed.PROCESSED_FILES}, batch string"
 
-    def __init__(self, spark: SparkSession, name: str, location: str | None = None):
-        self.spark, self.name, self.location = spark, name, location
-
-    def create(self) -> None:
-        tables.create_table(self.spark, self.name, self.COLUMNS, self.location)
-
     def entries(self, obj: str) -> DataFrame:
-        return self.spark.table(self.name).where(F.col("object") == obj)
+        return self.rows().where(F.col("object") == obj)
 
     def unseen(self, files: DataFrame, obj: str) -> DataFrame:
         """Files whose path and time are not in the ledger.
@@ -112,7 +138,7 @@ class FileLedger:
             F.lit(batch).alias("batch"),
         )
         if not rows.isEmpty():
-            tables.append(rows.coalesce(1), self.name)
+            self.append(rows)
 
     def batches(self, obj: str) -> DataFrame:
         return self.entries(obj).select("batch").distinct()

@@ -90,8 +90,8 @@ class Lake:
     def attach(self) -> Lake:
         """Create the tables in a new catalog over the data of an earlier one."""
         self.create()
-        keyed = [self.products.name, self.customers.name]
-        for name in [*self.bronze.values(), self.order_enrich, *keyed]:
+        others = (self.products, self.customers, self.marks, self.files)
+        for name in [*self.bronze.values(), self.order_enrich, *(t.name for t in others)]:
             tables.recover_partitions(self.spark, name)
         return self
 
@@ -112,6 +112,11 @@ class Lake:
         rows = self.spark.table(self.bronze[flow])
         return rows if batches is None else rows.where(F.col(BATCH).isin(batches))
 
+    def compact(self) -> None:
+        """Merge the small files of marks and ledger. No load may be running."""
+        self.marks.compact()
+        self.files.compact()
+
     def orders(self) -> DataFrame:
         return tables.read(self.spark, self.order_enrich, hide=[BATCH])
 

@@ -81,7 +81,9 @@ def sheet_rows(content: bytes, width: int) -> Iterator[list[str | None]]:
             yield cells
 
 
-def parse_workbooks(contents: DataFrame, schema: StructType | str = fixed.CUSTOMER_FEED) -> DataFrame:
+def parse_workbooks(
+    contents: DataFrame, schema: StructType | str = fixed.CUSTOMER_FEED
+) -> DataFrame:
     """Rows of the workbooks in the binary column ``content``.
 
     The first row of a sheet is its header and is skipped; columns are taken by

@@ -6,9 +6,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from checks.inputs import workbook
+from checks.inputs import new_prefix, workbook
 from conftest import rows
 from strataline import fixed_values as fixed
+from strataline.__main__ import main as command_line
 from strataline.functions.values import snake_case
 from strataline.operators.ledger import list_files
 from strataline.plans import flows, gold
@@ -87,6 +88,13 @@ def test_whole_job(lake, feeds):
     assert {r.customer_id: r.phone for r in silver.collect()} == {"C-1": None, "C-2": "01234567890"}
 
 
+def test_the_job_runs_from_a_command_line(spark, feeds, tmp_path, capsys):
+    feed_options = [word for name, folder in feeds.items() for word in (f"--{name}", folder)]
+    command_line([str(tmp_path / "lake"), "--prefix", new_prefix(), *feed_options])
+    out = capsys.readouterr().out
+    assert "by_year_customer" in out and "|2017      |3.25" in out
+
+
 def test_a_second_run_adds_only_new_files(lake, feeds, landing):
     run(lake, feeds, at(0))
     assert run(lake, feeds, at(1))["by_year"].count() == 3
@@ -325,6 +333,24 @@ def test_files_by_time_and_by_name(lake, landing):
     assert len(lake.files.paths("orders", "b2")) == 2
 
 
+def test_compacted_logs_say_the_same(lake, feeds, landing, monkeypatch):
+    run(lake, feeds, at(0))
+    marks, files = rows(lake.marks.rows()), rows(lake.files.rows())
+    with monkeypatch.context() as patch, pytest.raises(Stop):
+        failing(patch, tables, "clear_partition")
+        lake.marks.compact()
+    assert sorted(set(rows(lake.marks.rows())), key=repr) == marks
+    run(lake, feeds, at(1))
+    assert lake.orders().count() == 3
+    marks = sorted(set(rows(lake.marks.rows())), key=repr)
+    for _ in range(2):
+        lake.compact()
+        assert rows(lake.marks.rows()) == marks and rows(lake.files.rows()) == files
+        assert len(lake.spark.table(lake.marks.name).inputFiles()) == 1
+    run(lake, feeds, at(2))
+    assert lake.orders().count() == 3
+
+
 # --- gold ---------------------------------------------------------------------------
 
 

@@ -107,9 +107,18 @@ class BucketedTable:
 
     def recover(self) -> None:
         """Finish a merge that was staged but not copied over."""
+        self._check_buckets()
         for token in self.marks.pending(self.name, after="staged", before="merged"):
             self._publish(token, whole=self.marks.has(self.name, token, "whole"))
 
+    def _check_buckets(self) -> None:
+        # With another number a key's old row would be looked for in the wrong place.
+        known = self.marks.passed(self.name, "buckets")
+        if not known:
+            self.marks.add(self.name, [str(self.buckets)], "buckets")
+        elif known != [str(self.buckets)]:
+            raise ValueError(f"{self.name} was made with {known[0]} buckets, not {self.buckets}")
+
     def merge(self, source: DataFrame, token: str) -> None:
         """Upsert ``source``; a token that was merged before is not repeated."""
         self.recover()

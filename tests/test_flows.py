@@ -297,6 +297,17 @@ def test_a_rebuild_may_shrink_a_table(lake):
     assert rows(lake.products.read().select("product_id")) == [("P-0",)]
 
 
+def test_the_number_of_buckets_stays(spark, lake, landing):
+    products(landing, "one", "P-1,A,old,N,S,1")
+    flows.load_products(lake, f"{landing.folder}/products", at(0))
+    products(landing, "two", "P-1,A,new,N,S,1")
+    other = Lake(spark, lake.root, lake.schemas[0].removesuffix("bronze"), buckets=5).create()
+    with pytest.raises(ValueError):
+        flows.load_products(other, f"{landing.folder}/products", at(1))
+    flows.load_products(lake, f"{landing.folder}/products", at(2))
+    assert rows(lake.products.read().select("sub_category")) == [("new",)]
+
+
 def test_tables_survive_a_new_catalog(spark, lake, feeds):
     run(lake, feeds, at(0))
     before = rows(lake.orders())

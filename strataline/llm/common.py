@@ -59,6 +59,12 @@ def unpacked(packed_frame: DataFrame, columns: list[str], text: str, new_text: C
     )
 
 
+def space_words(text: Column) -> Column:
+    """Words between white space, as an array; none of null."""
+    blanks = F.translate(F.coalesce(text, F.lit("")), SPACES, " " * len(SPACES))
+    return F.array_remove(F.split(blanks, " "), "")
+
+
 def utf8_list(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
     """A string column of an Arrow batch as bytes, without decoding."""
     column = batch.column(batch.schema.get_field_index(name))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataline.llm import decontaminate, simhash
+from strataline.llm import decontaminate, mixing, simhash
 from strataline.llm.common import ROW, written
 
 
@@ -42,8 +42,14 @@ def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    mix = mixing.plan_mix(table(spark, sf, "documents", "doc_id", "text", "source"))
+    return mixing.taken(mix)
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op4_simhash": op4_simhash,
+    "op10_mixing": op10_mixing,
 }
 ORACLES: dict[str, str] = {}

@@ -87,6 +87,31 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """An expression with a name for a value it uses more than once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def keep_one_of_equal(rows: DataFrame, equal: DataFrame, key: list[str]) -> DataFrame:
+    """Of the rows (``row``, ``text``, key) whose key is in ``equal`` one each, all others as they are.
+
+    Which one is decided by a hash of its other columns. They are reduced before
+    the shuffle, so a key with very many rows does not fill a task.
+    """
+    if equal.isEmpty():
+        return rows
+    same = F.lit(True)
+    for name in key:
+        same = same & rows[name].eqNullSafe(equal[name])
+    one = (
+        rows.join(equal, same, "left_semi")
+        .groupBy(*key)
+        .agg(F.min_by(F.struct(ROW, "text"), F.xxhash64(ROW)).alias("kept"))
+        .select(f"kept.{ROW}", "kept.text", *key)
+    )
+    return rows.join(equal, same, "left_anti").select(ROW, "text", *key).unionByName(one)
+
+
 def map_rows(
     frame: DataFrame,
     schema: T.StructType,

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strataline.llm.common import ROW, packed, quoted, space_words, unpacked, written
+from strataline.llm.common import ROW, let, packed, quoted, space_words, unpacked, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -114,11 +114,6 @@ def _log_choose(n: Column, k: Column) -> Column:
     return _log_factorial(n) - _log_factorial(k) - _log_factorial(n - k)
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """An expression with a name for a value it uses more than once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def hypergeometric(total: Column, kind: Column, drawn: Column, u: Column) -> Column:
     """How many of ``kind`` among ``total`` are in ``drawn`` draws without replacement.
 
@@ -152,7 +147,7 @@ def hypergeometric(total: Column, kind: Column, drawn: Column, u: Column) -> Col
             lambda s: F.when(s["pick"] >= 0, s["pick"]).otherwise(b["high"]),
         )
 
-    return _let(bounds, invert)
+    return let(bounds, invert)
 
 
 def _take_left(level: int, seed: int) -> Callable[[Column, Column], Column]:
@@ -160,7 +155,7 @@ def _take_left(level: int, seed: int) -> Callable[[Column, Column], Column]:
 
     def step(state: Column, quota: Column) -> Column:
         u = _draw(seed, level, F.col("shard"), F.size(state["left"]))
-        return _let(
+        return let(
             hypergeometric(state["rest"], quota, state["draws"], u),
             lambda k: F.struct(
                 (state["rest"] - quota).alias("rest"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataline.llm import decontaminate, mixing, simhash
+from strataline.llm import decontaminate, linededup, mixing, simhash
 from strataline.llm.common import ROW, written
 
 
@@ -42,6 +42,16 @@ def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    report = linededup.line_report(table(spark, sf, "documents", "doc_id", "text"))
+    return report.select(
+        "doc_id",
+        F.col("n_lines").cast("bigint").alias("n_lines"),
+        F.size("deleted").cast("bigint").alias("n_deleted"),
+        F.array_join("deleted", ",").alias("deleted"),
+    )
+
+
 def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
     mix = mixing.plan_mix(table(spark, sf, "documents", "doc_id", "text", "source"))
     return mixing.taken(mix)
@@ -50,6 +60,64 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op4_simhash": op4_simhash,
+    "op8_line_dedup": op8_line_dedup,
     "op10_mixing": op10_mixing,
 }
-ORACLES: dict[str, str] = {}
+# Lines are compared as texts, runs as the lines joined; the shortest run with 50 words
+# from each line, forwards and backwards.
+OP8_SQL = """
+with numbered as (
+  select *, count(*) over (partition by doc_id, text) as n,
+    row_number() over (partition by doc_id, text) as copy
+  from (select doc_id, coalesce(text, '') as text from documents)
+), split_up as (
+  select doc_id, text, string_split(text, chr(10)) as lines from numbered where copy = 1
+), raw as (
+  select doc_id, text, unnest(lines) as line, unnest(range(len(lines))) as line_no from split_up
+), content as (
+  select doc_id, text, line, line_no,
+    len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) as words from raw
+), lines as (
+  select doc_id, text, line, words,
+    row_number() over (partition by doc_id, text order by line_no) - 1 as i,
+    sum(words) over (partition by doc_id, text order by line_no) as up_to
+  from content where words > 0
+), docs as (
+  select doc_id, text, list(line order by i) as all_lines, count(*) as n_lines, sum(words) as n_words
+  from lines group by all
+), ends as (
+  select a.doc_id, a.text, a.i as first, min(b.i) as last from lines a join lines b
+    on a.doc_id = b.doc_id and a.text = b.text and b.i >= a.i and b.up_to - a.up_to + a.words >= 50
+  group by all
+  union
+  select b.doc_id, b.text, max(a.i), b.i from lines a join lines b
+    on a.doc_id = b.doc_id and a.text = b.text and b.i >= a.i and b.up_to - a.up_to + a.words >= 50
+  group by b.doc_id, b.text, b.i
+), runs as (
+  select e.doc_id, e.text, e.first, e.last,
+    array_to_string(list_slice(d.all_lines, e.first + 1, e.last + 1), chr(10)) as run
+  from ends e join docs d on e.doc_id = d.doc_id and e.text = d.text
+), placed as (
+  select *, first_value({'doc_id': doc_id, 'text': text, 'first': first, 'last': last})
+    over (partition by run order by doc_id, text, first) as source
+  from runs
+), gone as (
+  select distinct doc_id, text, unnest(range(
+    case when doc_id = source.doc_id and text = source.text then greatest(first, source.last + 1) else first end,
+    last + 1)) as i
+  from placed where doc_id <> source.doc_id or text <> source.text or first <> source.first
+), gone_lists as (
+  select doc_id, text, list(i order by i) as deleted from gone group by all
+)
+select u.doc_id, coalesce(d.n_lines, 0) as n_lines,
+  case when u.copy > 1 and d.n_words >= 50 then d.n_lines else coalesce(len(g.deleted), 0) end as n_deleted,
+  case when u.copy > 1 and d.n_words >= 50 then array_to_string(range(d.n_lines), ',')
+    else coalesce(array_to_string(g.deleted, ','), '') end as deleted
+from numbered u
+left join docs d on u.doc_id = d.doc_id and u.text = d.text
+left join gone_lists g on u.doc_id = g.doc_id and u.text = g.text
+"""
+
+ORACLES = {
+    "op8_line_dedup": OP8_SQL,
+}

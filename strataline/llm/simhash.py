@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataline.llm.common import ROW, lower_ascii, map_rows, packed, unpacked, utf8_list, written
+from strataline.llm.common import ROW, keep_one_of_equal, lower_ascii, map_rows, packed, unpacked, utf8_list, written
 from strataline.llm.components import components
 
 SHINGLE = 3
@@ -261,28 +261,12 @@ def drop_near_duplicates(
     groups = near_duplicates(prints, F.col("id")).select("fingerprint", "component")
     keyed = written(prints.join(groups, "fingerprint").select("component", "id", "hash", "count", *key), "simhash-keys")
     first = keyed.groupBy("component").agg(F.min("key").alias("first"))
-    kept = keyed.join(first, "component").withColumn("keep", F.col("key") == F.col("first"))
-    goes = written(
-        kept.where(~F.col("keep") | (F.col("count") > 1)).select(
-            F.xxhash64("id", F.col("id").isNull(), "hash").alias("goes_key"), "id", "hash", "keep"
-        ),
-        "simhash-goes",
+    judged = keyed.join(first, "component").withColumn("keep", F.col("key") == F.col("first"))
+    goes = written(judged.where(~F.col("keep")).select("id", "hash"), "simhash-goes")
+    equal = written(judged.where(F.col("keep") & (F.col("count") > 1)).select("id", "hash"), "simhash-equal")
+    rows = documents.select(*packed(documents, text)).select(
+        ROW, "text", F.col(ROW).getField(doc_id).alias("id"), F.xxhash64(F.lit(0), "text").alias("hash")
     )
-    rows = documents.select(*packed(documents, text)).withColumn("hash", F.xxhash64(F.lit(0), "text"))
-    id_of = F.col(ROW).getField(doc_id)
-    rows = rows.withColumn("row_key", F.xxhash64(id_of, id_of.isNull(), "hash"))
-
-    def same(other: DataFrame) -> Column:
-        return (rows["row_key"] == other["goes_key"]) & id_of.eqNullSafe(other["id"]) & (rows["hash"] == other["hash"])
-
-    stay = rows.join(goes, same(goes), "left_anti").select(ROW, "text")
-    repeated = goes.where("keep")
-    if not repeated.isEmpty():
-        one = (
-            rows.join(repeated, same(repeated), "left_semi")
-            .groupBy("row_key", "hash")
-            .agg(F.min_by(F.struct(ROW, "text"), F.xxhash64(ROW)).alias("kept"))
-            .select(f"kept.{ROW}", "kept.text")
-        )
-        stay = stay.unionAll(one)
+    same = rows["id"].eqNullSafe(goes["id"]) & (rows["hash"] == goes["hash"])
+    stay = keep_one_of_equal(rows.join(goes, same, "left_anti"), equal, ["id", "hash"])
     return unpacked(stay, documents.columns, text)

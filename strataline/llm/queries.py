@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataline.llm import decontaminate, linededup, mixing, simhash
+from strataline.llm import decontaminate, linededup, mixing, quality, simhash, toxicity
 from strataline.llm.common import ROW, written
+from strataline.llm.training import held_out
 
 
 def table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
@@ -27,6 +28,17 @@ def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents", "doc_id", "text")
+    scorer = quality.fit(documents, table(spark, sf, "labels", "doc_id", "quality"))
+    return quality.with_scores(documents, scorer).select(
+        F.col(f"{ROW}.doc_id"),
+        held_out(F.col(f"{ROW}.doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
     prints = written(
         simhash.with_fingerprints(table(spark, sf, "documents", "doc_id", "text")).select(
@@ -52,6 +64,19 @@ def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents", "doc_id", "text")
+    model = toxicity.fit(documents, table(spark, sf, "labels", "doc_id", "toxic"))
+    return toxicity.with_severity(documents, model).select(
+        F.col(f"{ROW}.doc_id"),
+        held_out(F.col(f"{ROW}.doc_id")).alias("held_out"),
+        "n_words",
+        "severity",
+        "p_toxic",
+        (F.col("p_toxic") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
     mix = mixing.plan_mix(table(spark, sf, "documents", "doc_id", "text", "source"))
     return mixing.taken(mix)
@@ -59,8 +84,10 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_quality": op2_quality,
     "op4_simhash": op4_simhash,
     "op8_line_dedup": op8_line_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
 }
 # Lines are compared as texts, runs as the lines joined; the shortest run with 50 words

@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataline.llm import decontaminate, linededup, mixing, quality, simhash, toxicity
+from strataline.llm import (
+    decontaminate,
+    licenses,
+    linededup,
+    mixing,
+    quality,
+    rules,
+    simhash,
+    tokens,
+    toxicity,
+    urls,
+)
 from strataline.llm.common import ROW, written
 from strataline.llm.training import held_out
 
@@ -39,6 +50,22 @@ def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents", "doc_id", "text")
+    counted = rules.judged(documents).select("doc_id", "rejected_by", *rules.base_counts(documents))
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    return counted.select("doc_id", "rejected_by", "words.*", "word_chars", "n_symbols", "n_dup_lines").select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        failed.alias("base_failed"),
+        (~failed & F.col("rejected_by").isNull()).alias("kept"),
+    )
+
+
 def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
     prints = written(
         simhash.with_fingerprints(table(spark, sf, "documents", "doc_id", "text")).select(
@@ -54,6 +81,52 @@ def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.find_licenses(table(spark, sf, "documents", "doc_id", "text")).select(
+        F.col(f"{ROW}.doc_id"),
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+URL_RULES = [
+    urls.UrlRule.of("allow", "org/"),
+    urls.UrlRule.of("block", "example.org/es/"),
+    urls.UrlRule.of("block", "example.org/en/1"),
+    urls.UrlRule.of("allow", "com/fr/"),
+    urls.UrlRule.of("block", "com/de/"),
+]
+JUNK_MARKS = ("***", "###", "$$$")
+
+
+def op6_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """Listed are the addresses (host and path) of pages whose text has marks of generated junk."""
+    pages = table(spark, sf, "pages", "page_id", "url", "html")
+    junk = F.lit(False)
+    for mark in JUNK_MARKS:
+        junk = junk | F.contains("html", F.lit(mark))
+    parsed = pages.withColumns({"host": urls.host_of(F.col("url")), "path": urls.path_of(F.col("url"))})
+    listed = urls.with_listed(parsed, F.concat("host", "path"), junk)
+    best = urls.longest_rule(URL_RULES, F.col("host"), F.col("path"))
+    return listed.withColumn("best", best).select(
+        "page_id",
+        "host",
+        "path",
+        F.col("best.rule").alias("rule"),
+        F.coalesce("best.verdict", F.when(F.col("listed"), "block").otherwise("allow")).alias("verdict"),
+    )
+
+
+def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    counted = tokens.with_token_counts(table(spark, sf, "documents", "doc_id", "text"), tokens.Vocabulary.load())
+    return counted.select(F.col(f"{ROW}.doc_id"), "n_pretokens", "n_tokens")
+
+
 def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     report = linededup.line_report(table(spark, sf, "documents", "doc_id", "text"))
     return report.select(
@@ -85,7 +158,11 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality": op2_quality,
+    "op3_quality_rules": op3_quality_rules,
     "op4_simhash": op4_simhash,
+    "op5_licenses": op5_licenses,
+    "op6_url_filter": op6_url_filter,
+    "op7_token_counts": op7_token_counts,
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
@@ -145,6 +222,103 @@ left join docs d on u.doc_id = d.doc_id and u.text = d.text
 left join gone_lists g on u.doc_id = g.doc_id and u.text = g.text
 """
 
+OP1_SQL = r"""
+with docs as (
+  select row_number() over () as rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents
+), items as (
+  select cast(item_id as varchar) as item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark
+), item_starts as (
+  select item_id, w, least(13, len(w)) as size, unnest(range(1, greatest(len(w) - 12, 1) + 1)) as i
+  from items where len(w) > 0
+), windows as (
+  select item_id, size, array_to_string(list_slice(w, i, i + size - 1), ' ') as run from item_starts
+), doc_starts as (
+  select rid, w, size, unnest(range(1, len(w) - size + 2)) as i
+  from docs, (select distinct size from windows) where len(w) >= size
+), places as (
+  select rid, size, i, array_to_string(list_slice(w, i, i + size - 1), ' ') as run from doc_starts
+), found as (
+  select p.rid, p.i, p.size, x.item_id from places p join windows x on p.size = x.size and p.run = x.run
+), hit_words as (
+  select rid, count(distinct k) as n_hit from (select rid, unnest(range(i, i + size)) as k from found) group by rid
+), hit_items as (
+  select rid, count(*) as n_items, string_agg(item_id, ',' order by item_id) as names
+  from (select distinct rid, item_id from found) group by rid
+)
+select d.doc_id, len(d.w) as n_words, coalesce(h.n_hit, 0) as n_hit, coalesce(t.n_items, 0) as n_items,
+  sha256(coalesce(t.names, '')) as items_sha256,
+  coalesce(h.n_hit, 0) > 0 and 20 * coalesce(h.n_hit, 0) >= len(d.w) as contaminated
+from docs d left join hit_words h on d.rid = h.rid left join hit_items t on d.rid = t.rid
+"""
+
+OP3_SQL = r"""
+with docs as (
+  select row_number() over () as rid, doc_id, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), starts as (
+  select rid, i, array_to_string(list_slice(w, i, i + 4), ' ') as run
+  from (select rid, w, unnest(range(1, len(w) - 3)) as i from docs where len(w) >= 5)
+), repeated as (
+  select rid, i from (select rid, i, count(*) over (partition by rid, run) as n from starts) where n > 1
+), covered as (
+  select rid, count(distinct k) as n from (select rid, unnest(range(i, i + 5)) as k from repeated) group by rid
+), lines as (
+  select rid, count(*) as n_lines, count(*) - count(distinct line) as n_dup
+  from (select rid, unnest(string_split(text, chr(10))) as line from docs)
+  where regexp_matches(line, '[^\x20\x09-\x0D]') group by rid
+), counted as (
+  select d.doc_id, len(d.w) as n_words, length(regexp_replace(d.text, '[\x20\x09-\x0D]', '', 'g')) as word_chars,
+    length(d.text) - length(regexp_replace(d.text, '[#*$%&|<>]', '', 'g')) as n_symbols,
+    coalesce(l.n_dup, 0) as n_dup_lines, coalesce(c.n, 0) as n_repeat_words, coalesce(l.n_lines, 0) as n_lines,
+    length(d.text) - length(regexp_replace(d.text, '[A-Z]', '', 'g')) as capitals,
+    length(d.text) - length(regexp_replace(d.text, '[a-z]', '', 'g')) as small,
+    length(d.text) - length(replace(d.text, '!', '')) as exclamations, len(list_distinct(d.w)) as n_distinct
+  from docs d left join lines l on d.rid = l.rid left join covered c on d.rid = c.rid
+), judged as (
+  select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from counted
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and not (10 * n_symbols > n_words or capitals > small or 2 * exclamations > n_words
+    or 2 * n_dup_lines > n_lines or (n_words >= 50 and 10 * n_distinct < n_words)
+    or word_chars > 15 * n_words) as kept
+from judged
+"""
+
+OP6_SQL = r"""
+with parsed as (
+  select page_id, html, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') as path
+  from pages
+), listed as (
+  select distinct host || path as address from parsed
+  where contains(html, '***') or contains(html, '###') or contains(html, '$$$')
+), rules(verdict, host, path) as (
+  values ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+    ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), best as (
+  select p.page_id, p.host, p.path, arg_max(r.host || r.path, length(r.host || r.path)) as rule,
+    arg_max(r.verdict, length(r.host || r.path)) as verdict
+  from (select distinct page_id, host, path from parsed) p
+  join rules r on (p.host = r.host or ends_with(p.host, '.' || r.host)) and starts_with(p.path, r.path)
+  group by all
+)
+select p.page_id, p.host, p.path, b.rule,
+  coalesce(b.verdict, case when l.address is not null then 'block' else 'allow' end) as verdict
+from parsed p
+left join best b on p.page_id = b.page_id and p.host = b.host and p.path = b.path
+left join listed l on l.address = p.host || p.path
+"""
+
 ORACLES = {
+    "op1_decontaminate": OP1_SQL,
+    "op3_quality_rules": OP3_SQL,
+    "op6_url_filter": OP6_SQL,
     "op8_line_dedup": OP8_SQL,
 }

@@ -1,9 +1,9 @@
 """Connected components of links, by alternating large-star and small-star steps.
 
 Both steps are joins and grouped minima, so a hub with very many links is split
-by adaptive execution like any other skewed key. Each round ends in a reliable
-checkpoint. Chains shrink exponentially, so rounds grow with the logarithm of the
-longest path; no links are ever collected.
+by adaptive execution like any other skewed key. Each round is written to the
+shared folder, which cuts the lineage. Chains shrink exponentially, so rounds grow
+with the logarithm of the longest path; no links are ever collected.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataline.llm.common import checkpointed
+from strataline.llm.common import written
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -20,20 +20,25 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Repeated links and links of a node to itself change nothing; links with a null
     end are left out; no links give no rows.
     """
-    edges = checkpointed(
+    edges = written(
         links.where(F.col(a) != F.col(b))
         .select(F.greatest(a, b).alias("high"), F.least(a, b).alias("low"))
-        .distinct()
+        .distinct(),
+        "links",
+    )
+    while not _are_stars(edges):
+        edges = written(_small_star(_large_star(edges)), "links")
+    roots = edges.select(F.col("low").alias("node"), F.col("low").alias("root")).distinct()
+    return edges.select(F.col("high").alias("node"), F.col("low").alias("root")).unionAll(roots)
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node has one link downwards, or only links upwards."""
+    ends = edges.select(F.col("high").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionAll(
+        edges.select("low", F.lit(0), F.lit(1))
     )
-    before = None
-    while True:
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("high", "low").cast("decimal(38,0)"))).first()
-        if state == before or not state[0]:
-            return edges.select(F.col("high").alias("node"), F.col("low").alias("root")).unionAll(
-                edges.select("low", "low").distinct()
-            )
-        before = state
-        edges = checkpointed(_small_star(_large_star(edges)))
+    nodes = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return nodes.where((F.col("down") > 1) | ((F.col("down") > 0) & (F.col("up") > 0))).isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -44,11 +49,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
         .groupBy("node")
         .agg(F.min("other").alias("least"))
     )
-    return (
-        edges.join(smallest, edges["low"] == smallest["node"])
-        .select("high", F.col("least").alias("low"))
-        .distinct()
-    )
+    return edges.join(smallest, edges["low"] == smallest["node"]).select("high", F.col("least").alias("low"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

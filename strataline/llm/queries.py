@@ -285,7 +285,7 @@ with docs as (
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   not base_failed and not (10 * n_symbols > n_words or capitals > small or 2 * exclamations > n_words
-    or 2 * n_dup_lines > n_lines or (n_words >= 50 and 10 * n_distinct < n_words)
+    or 2 * n_dup_lines > n_lines or (n_words >= 50 and n_distinct * n_distinct < 4 * n_words)
     or word_chars > 15 * n_words) as kept
 from judged
 """

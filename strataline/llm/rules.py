@@ -126,6 +126,11 @@ def base_rules(text: Column) -> list[Rule]:
     ]
 
 
+def _monotonous(n_distinct: Column, n: Column) -> Column:
+    """Distinct words grow about with the root of the words; these are below twice the root."""
+    return (n >= 50) & (n_distinct.cast("bigint") * n_distinct < 4 * n)
+
+
 def production_rules(text: Column) -> list[Rule]:
     """The base rules, and limits on symbols, capitals, exclamations, lines, and word length."""
     capitals = _removed(text, CAPITALS)
@@ -140,7 +145,7 @@ def production_rules(text: Column) -> list[Rule]:
         ),
         Rule(
             "few_distinct_words",
-            let(space_words(text), lambda w: (F.size(w) >= 50) & (10 * F.size(F.array_distinct(w)) < F.size(w))),
+            let(space_words(text), lambda w: let(F.size(F.array_distinct(w)), lambda d: _monotonous(d, F.size(w)))),
         ),
         Rule("long_words", word_chars(text) > 15 * n_words(text)),
     ]

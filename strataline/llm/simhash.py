@@ -22,6 +22,7 @@ document id, null if all its ids are null; no documents give no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,9 @@ SHINGLE = 3
 DISTANCE = 3
 PARTS = DISTANCE + 1
 GROUP_LIMIT = 1 << 15
+OPEN_BITS = 15
 FANOUT = 8
-PAIRS_AT_ONCE = 1 << 15
+PAIRS_AT_ONCE = 1 << 12
 SEED = 42
 SHINGLES_AT_ONCE = 1 << 16
 
@@ -93,66 +95,101 @@ def _split(mask: int) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
+LINK = "a bigint, b bigint, part bigint"
+
+
 def near_links(classes: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
     """Links (``a``, ``b``) that join the distinct ``fingerprint`` of ``classes`` into components."""
-    found = None
-    masks, open_rows = [0], classes.select("fingerprint", F.lit(0).cast("bigint").alias("mask"))
+    masks, found = [0], []
+    rows = classes.select("fingerprint", F.lit(0).cast("bigint").alias("part"))
     while True:
-        last = 64 - bin(max(masks, key=lambda m: bin(m % (1 << 64)).count("1")) % (1 << 64)).count("1") <= 15
-        if last:
-            below = open_rows.withColumn("part", F.col("mask"))
-        else:
+        last = _open_bits(masks) <= OPEN_BITS
+        if not last:
             children = {m: _split(m % (1 << 64)) for m in masks}
-            part = F.coalesce(
+            below = F.coalesce(
                 *(
-                    F.when(F.col("mask") == m, F.array(*(F.lit(c).cast("bigint") for c in children[m])))
+                    F.when(F.col("part") == m, F.array(*(F.lit(c).cast("bigint") for c in children[m])))
                     for m in masks
                 )
             )
-            below = open_rows.select("fingerprint", F.explode(part).alias("part"))
+            rows = rows.select("fingerprint", F.explode(below).alias("part"))
             masks = sorted({c for m in masks for c in children[m]})
-        below = below.select(
-            "fingerprint", "part", F.xxhash64("part", F.col("fingerprint").bitwiseAND(F.col("part"))).alias("group")
-        )
-        large = below.groupBy("group").count().where(F.col("count") > limit).select("group")
-        large = None if last else written(large, "simhash-large")
-        any_large = large is not None and not large.isEmpty()
-        here = below.join(large, "group", "left_anti") if any_large else below
-        links = (
-            here.select("group", "fingerprint", gray_rank(F.col("fingerprint")).alias("rank"))
+        group = F.xxhash64("part", F.col("fingerprint").bitwiseAND(F.col("part")))
+        searched = (
+            rows.select(group.alias("group"), "fingerprint", "part", gray_rank(F.col("fingerprint")).alias("rank"))
             .repartition("group")
             .sortWithinPartitions("group", "rank")
-            .select("group", "fingerprint")
-            .mapInArrow(_search, "a bigint, b bigint")
-        )
-        found = links if found is None else found.unionAll(links)
-        if not any_large:
-            return found
-        open_rows = written(
-            below.join(large, "group", "left_semi").select("fingerprint", F.col("part").alias("mask")),
-            "simhash-open",
+            .select("group", "fingerprint", "part")
+            .mapInArrow(_searcher(None if last else limit), LINK)
         )
+        found.append(written(searched, "simhash-links"))
+        rows = found[-1].where(F.col("part").isNotNull()).select(F.col("a").alias("fingerprint"), "part")
+        if last or rows.isEmpty():
+            return reduce(DataFrame.unionAll, found).where(F.col("part").isNull()).select("a", "b")
+
 
+def _open_bits(masks: list[int]) -> int:
+    return max(64 - (m % (1 << 64)).bit_count() for m in masks)
 
-def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Link the fingerprints of each group; a group's rows come one after the other."""
-    groups, codes = np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    for batch in batches:
-        groups = np.r_[groups, batch.column(0).to_numpy()]
-        codes = np.r_[codes, batch.column(1).to_numpy().view(np.uint64)]
-        if len(groups) and groups[0] != groups[-1]:
-            end = int(np.flatnonzero(groups != groups[-1])[-1]) + 1
-            yield _links(groups[:end], codes[:end])
-            groups, codes = groups[end:], codes[end:]
-    if len(groups):
-        yield _links(groups, codes)
+
+def _searcher(limit: int | None):
+    """Link the fingerprints of each group; a group's rows come one after the other.
+
+    A group of more than ``limit`` rows is not held: its rows go on, with their part,
+    to be dealt again.
+    """
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64)] * 3
+        large = None
+        for batch in batches:
+            rows = [batch.column(k).to_numpy() for k in range(3)]
+            if large is not None and len(rows[0]):
+                end = int(np.searchsorted(rows[0] != large, True))
+                yield _put_off(rows[1][:end], rows[2][:end])
+                rows = [x[end:] for x in rows]
+                large = large if not len(rows[0]) else None
+            held = [np.r_[x, y] for x, y in zip(held, rows, strict=True)]
+            if not len(held[0]):
+                continue
+            end = int(np.flatnonzero(np.r_[True, held[0][1:] != held[0][:-1]])[-1])
+            yield from _finished([x[:end] for x in held], limit)
+            held = [x[end:] for x in held]
+            if limit is not None and len(held[0]) > limit:
+                large = held[0][0]
+                yield _put_off(*held[1:])
+                held = [x[:0] for x in held]
+        yield from _finished(held, limit)
+
+    return search
+
+
+def _finished(rows: list[np.ndarray], limit: int | None) -> Iterator[pa.RecordBatch]:
+    """Links of whole groups, and the rows of those beyond the limit."""
+    groups, codes, parts = rows
+    if not len(groups):
+        return
+    first = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]])
+    sizes = np.diff(np.r_[first, len(groups)])
+    over = np.repeat(sizes > (len(groups) if limit is None else limit), sizes)
+    if over.any():
+        yield _put_off(codes[over], parts[over])
+    yield _links(groups[~over], codes[~over].view(np.uint64))
+
+
+def _put_off(codes: np.ndarray, parts: np.ndarray) -> pa.RecordBatch:
+    none = pa.nulls(len(codes), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(codes), none, pa.array(parts)], names=["a", "b", "part"])
 
 
 def _links(groups: np.ndarray, codes: np.ndarray) -> pa.RecordBatch:
     root = linked(groups, codes)
     own = np.flatnonzero(root != np.arange(len(root)))
     signed = codes.view(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(signed[own]), pa.array(signed[root[own]])], names=["a", "b"])
+    none = pa.nulls(len(own), pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(signed[own]), pa.array(signed[root[own]]), none], names=["a", "b", "part"]
+    )
 
 
 def linked(groups: np.ndarray, codes: np.ndarray, distance: int = DISTANCE) -> np.ndarray:
@@ -161,7 +198,7 @@ def linked(groups: np.ndarray, codes: np.ndarray, distance: int = DISTANCE) -> n
     Codes of a group stand together, in Gray order.
     """
     n = len(codes)
-    new = np.r_[True, groups[1:] != groups[:-1]]
+    new = np.r_[True, groups[1:] != groups[:-1]][:n]
     first = np.flatnonzero(new)
     place = np.arange(n) - np.repeat(first, np.diff(np.r_[first, n]))
     # Levels from the codes upwards: where each node's children begin, its shared bits, its group's top.

@@ -71,9 +71,11 @@ class Model:
     def grades(self, text: bytes | None) -> tuple[int, float, float]:
         """Words, expected grade, probability of grade 1 or more."""
         at, values, total = self.vector(text)
+        if not self.index:
+            return total, 0.0, 0.0
         level = float(np.dot(self.weights[at], values)) if at else 0.0
         upper = 1 / (1 + np.exp(np.clip(self.thresholds - level, -700, 700)))
-        return total, float(upper.sum()), float(upper[0]) if len(upper) else 0.0
+        return total, float(upper.sum()), float(upper[0])
 
 
 def _choose(toxic: list[Counter], other: list[Counter]) -> tuple[list[bytes], set[bytes]]:

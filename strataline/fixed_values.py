@@ -32,7 +32,8 @@ CUSTOMER_FEED = """
     city string,
     state string,
     postal string,
-    region string
+    region string,
+    _corrupt_record string
 """
 
 PRODUCT_FEED = """
@@ -89,7 +90,8 @@ BRONZE_CUSTOMERS = """
     state string,
     postal string,
     region string,
-    load_ts timestamp
+    load_ts timestamp,
+    _corrupt_record string
 """
 
 BRONZE_PRODUCTS = """
@@ -126,7 +128,20 @@ SILVER_PRODUCTS = """
     load_ts timestamp
 """
 
-SILVER_CUSTOMERS = BRONZE_CUSTOMERS
+SILVER_CUSTOMERS = """
+    customer_id string,
+    customer_name string,
+    email string,
+    phone string,
+    address string,
+    segment string,
+    country string,
+    city string,
+    state string,
+    postal string,
+    region string,
+    load_ts timestamp
+"""
 
 SILVER_ORDERS = """
     row_id bigint,

@@ -34,7 +34,10 @@ def digits(value: Column | str) -> Column:
 
 def clean_phone(value: Column | str) -> Column:
     """All digits, extension included; NULL when there are too few to dial."""
-    found = digits(value)
+    return _dialable(digits(value))
+
+
+def _dialable(found: Column) -> Column:
     return F.when(F.length(found) >= fixed.PHONE_MIN_DIGITS, found)
 
 
@@ -51,4 +54,4 @@ def clean_customers(
     """
     return customers.withColumns(
         {name: clean_name(name), email: clean_email(email), phone: digits(phone)}
-    ).withColumn(phone, F.when(F.length(phone) >= fixed.PHONE_MIN_DIGITS, F.col(phone)))
+    ).withColumn(phone, _dialable(F.col(phone)))

@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataline.functions.values import or_unknown
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
-HOT_SHARE = 0.001
-_PIECES = "_pieces"
-_SALT = "_salt"
 _ROW_OVERHEAD = 32
 
 
@@ -32,11 +28,13 @@ class Dimension:
       adaptive execution splits skewed shuffle partitions.
     * ``measured``: the dimension's bytes are summed first (one aggregate over
       the needed columns). Within ``broadcast_limit`` it is broadcast, beyond
-      it the join is salted.
-    * ``salted``: keys that hold more than ``hot_share`` of the facts are looked
-      for first (two passes over the key column). Their facts are spread over
-      pieces of at most that share, and their dimension rows repeated for each
-      piece. Without such keys it is a plain shuffled join.
+      it the join is split.
+    * ``broadcast``: what ``measured`` comes to within the limit.
+    * ``split``: keys with more facts than an even part of a shuffle partition are
+      looked for first (two passes over the key column). Their dimension rows, as
+      many as there are shuffle partitions at most, are broadcast to their facts;
+      facts without a key need no row. Only the other facts are shuffled. Without
+      such keys it is a plain join. ``hot_share`` overrides what counts as hot.
     """
 
     rows: DataFrame
@@ -45,7 +43,7 @@ class Dimension:
     fill_unknown: Sequence[str] = ()
     join: str = "auto"
     broadcast_limit: int = BROADCAST_LIMIT
-    hot_share: float = HOT_SHARE
+    hot_share: float | None = None
 
 
 def measured_bytes(rows: DataFrame) -> int:
@@ -56,10 +54,23 @@ def measured_bytes(rows: DataFrame) -> int:
     return rows.agg(F.sum(width.cast("bigint"))).first()[0] or 0
 
 
-def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE) -> dict:
-    """Keys holding at least ``share`` of all facts, and their part of it.
+def resolved(dimension: Dimension) -> Dimension:
+    """With ``measured`` replaced by what it comes to."""
+    if dimension.join != "measured":
+        return dimension
+    size = measured_bytes(dimension.rows.select(dimension.key, *dimension.columns))
+    return replace(dimension, join="broadcast" if size <= dimension.broadcast_limit else "split")
 
-    Missing keys count as one key, None. At most ``1 / share`` keys qualify,
+
+def is_broadcast(dimension: Dimension) -> bool:
+    """Whether the join is sure to leave the facts where they are."""
+    return dimension.join == "broadcast"
+
+
+def hot_keys(facts: DataFrame, key: str, share: float) -> set:
+    """Keys holding more than ``share`` of all facts.
+
+    Missing keys count as one key, None. Fewer than ``1 / share`` keys qualify,
     whatever the data, so the result is bounded. Neither pass shuffles by key:
     the first keeps a bounded sketch for each task, the second counts just the
     candidates, exactly.
@@ -77,43 +88,40 @@ def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE) -> dict:
     )
     total = sum(row.n for row in counts)
     named = [row for row in counts if row.missing or row.key is not None]
-    return {row.key: row.n / total for row in named if row.n >= share * total}
+    return {row.key for row in named if row.n > share * total}
 
 
-def _salted_join(
-    facts: DataFrame, lookup: DataFrame, key: str, hot: dict, share: float
-) -> DataFrame:
+def even_share(facts: DataFrame) -> float:
+    """An even part of a shuffle: more facts of one key than this make a partition uneven."""
+    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return 1 / max(2, partitions)
+
+
+def _split_join(facts: DataFrame, lookup: DataFrame, key: str, hot: set) -> DataFrame:
     if not hot:
         return facts.join(lookup, key, "left")
-    pieces = facts.sparkSession.createDataFrame(
-        [(value, math.ceil(part / share)) for value, part in hot.items() if value is not None],
-        facts.select(key, F.lit(0).alias(_PIECES)).schema,
-    )
-    # Unlike a random number, this is the same when a lost task is run again. The
-    # hash alone would keep copies of one row together; those of different input
-    # partitions are told apart by the partition. Facts without a key match
-    # nothing and may go anywhere.
-    number = F.xxhash64(*facts.columns).bitwiseXOR(F.spark_partition_id().cast("bigint"))
-    spread = F.when(F.col(key).isNull(), F.lit(math.ceil(1 / share))).otherwise(F.col(_PIECES))
-    salted_facts = facts.join(F.broadcast(pieces), key, "left").withColumn(
-        _SALT, F.when(spread.isNull(), F.lit(0)).otherwise(F.pmod(number, spread)).cast("int")
-    )
-    repeated = F.sequence(F.lit(0), F.coalesce(F.col(_PIECES), F.lit(1)) - 1)
-    salted_lookup = lookup.join(F.broadcast(pieces), key, "left").withColumn(
-        _SALT, F.explode(repeated)
-    )
-    joined = salted_facts.drop(_PIECES).join(salted_lookup.drop(_PIECES), [key, _SALT], "left")
-    return joined.drop(_SALT)
+    named = sorted(value for value in hot if value is not None)
+
+    def is_hot(column: Column) -> Column:
+        return column.isin(named) if named else F.lit(False)
+
+    # Facts without a key stay where they are too: the broadcast rows do not match them.
+    stay = F.col(key).isNull() | is_hot(F.col(key))
+    kept = F.broadcast(lookup.where(is_hot(F.col(key))))
+    cold = lookup.where(F.col(key).isNotNull() & ~is_hot(F.col(key)))
+    at_rest = facts.where(stay).join(kept, key, "left")
+    return at_rest.unionByName(facts.where(~stay).join(cold, key, "left"))
 
 
 def _join(
     facts: DataFrame, counted: DataFrame, lookup: DataFrame, dimension: Dimension
 ) -> DataFrame:
-    how, key, share = dimension.join, dimension.key, dimension.hot_share
-    if how == "measured" and measured_bytes(lookup) <= dimension.broadcast_limit:
+    how, key = resolved(dimension).join, dimension.key
+    if how == "broadcast":
         return facts.join(F.broadcast(lookup), key, "left")
-    if how in ("measured", "salted"):
-        return _salted_join(facts, lookup, key, hot_keys(counted, key, share), share)
+    if how == "split":
+        share = dimension.hot_share or even_share(facts)
+        return _split_join(facts, lookup, key, hot_keys(counted, key, share))
     if how == "auto":
         return facts.join(lookup, key, "left")
     raise ValueError(f"unknown join {dimension.join!r}")

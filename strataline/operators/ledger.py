@@ -35,7 +35,8 @@ class Log:
         return tables.read(self.spark, self.name, hide=[PART])
 
     def append(self, rows: DataFrame) -> None:
-        tables.append(rows.coalesce(1).withColumn(PART, F.lit(0)), self.name)
+        # As few files as the rows fill, made by as many tasks as there were.
+        tables.append(rows.withColumn(PART, F.lit(0)).hint("rebalance"), self.name)
 
     def compact(self) -> None:
         """Bring the rows of all additions so far into as few files as they fill."""
@@ -76,9 +77,12 @@ class BatchMarks(Log):
         wanted = (F.col("batch") == batch) & (F.col("step") == step)
         return not self._of(flow).where(wanted).isEmpty()
 
+    def reached(self, flow: str, step: str) -> DataFrame:
+        """The batches (column ``batch``) that passed a step."""
+        return self._of(flow).where(F.col("step") == step).select("batch").distinct()
+
     def passed(self, flow: str, step: str) -> list[str]:
-        done = self._of(flow).where(F.col("step") == step)
-        return sorted(row.batch for row in done.select("batch").distinct().collect())
+        return sorted(row.batch for row in self.reached(flow, step).collect())
 
     def pending(self, flow: str, after: str, before: str) -> list[str]:
         """Names of batches that passed ``after`` but not yet ``before``."""
@@ -129,16 +133,37 @@ class FileLedger(Log):
         newest = self.entries(obj).agg(F.max("modification_time")).scalar()
         return files.where(newest.isNull() | (F.col("modification_time") > newest))
 
-    def plan(self, files: DataFrame, obj: str, batch: str) -> None:
-        """Enter files as the content of a batch. No files: no batch."""
-        rows = files.select(
-            "file_path",
-            F.lit(obj).alias("object"),
-            "modification_time",
-            F.lit(batch).alias("batch"),
-        )
-        if not rows.isEmpty():
-            self.append(rows)
+    def plan(self, files: DataFrame, obj: str, batch: str, files_per_batch: int | None = None) -> list[str]:
+        """Enter files as the content of a batch; returns the batches. No files: no batch.
+
+        With a limit, files are dealt by a hash into parts of about as many files,
+        each a batch of its own, named by the part's number.
+        """
+        rows = files.select("file_path", F.lit(obj).alias("object"), "modification_time")
+        count = rows.count()
+        if not count:
+            return []
+        if files_per_batch is None:
+            self.append(rows.withColumn("batch", F.lit(batch)))
+            return [batch]
+        parts = -(-count // files_per_batch)
+        part = F.pmod(F.xxhash64("file_path", "modification_time"), F.lit(parts))
+        name = F.concat(F.lit(f"{batch}-"), F.lpad(part.cast("string"), 6, "0"))
+        self.append(rows.withColumn("batch", name))
+        planned = self.entries(obj).where(F.startswith("batch", F.lit(f"{batch}-")))
+        return sorted(row.batch for row in planned.select("batch").distinct().collect())
+
+    def unfinished(self, obj: str, done: DataFrame) -> list[str]:
+        """Planned batches that are not among ``done`` (column ``batch``)."""
+        left = self.entries(obj).select("batch").distinct().join(done, "batch", "left_anti")
+        return sorted(row.batch for row in left.collect())
+
+    def unused_name(self, obj: str, batch: str) -> str:
+        """The name, with a number if batches of this name were planned before."""
+        taken = self.entries(obj).select(F.split_part("batch", F.lit("-"), F.lit(1)).alias("name"), "batch")
+        runs = F.count_distinct(F.split_part(F.col("batch"), F.lit("-"), F.lit(-2)))
+        before = taken.where(F.col("name") == batch).agg(runs).first()[0]
+        return f"{batch}-{before:03d}"
 
     def batches(self, obj: str) -> DataFrame:
         return self.entries(obj).select("batch").distinct()

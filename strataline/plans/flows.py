@@ -3,14 +3,15 @@
 A load has two halves that meet in the batch marks. *Landing* writes a batch of
 the feed to its own bronze partition and marks it. *Refining* takes every
 landed batch that silver has not marked. Files may also be landed by a stream
-(``strataline.streaming.ingest``); refining is the same.
+(``strataline.streaming.ingest``); refining is the same. *Publishing* adds the
+totals of every refined batch that gold has not marked.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,16 +20,16 @@ from strataline import fixed_values as fixed
 from strataline.functions.text import clean_customers
 from strataline.functions.values import money, parse_date, snake_case
 from strataline.operators.dedupe import latest_per_key_by_max
-from strataline.operators.enrich import Dimension, enrich
+from strataline.operators.enrich import Dimension, enrich, is_broadcast, resolved
 from strataline.operators.ledger import list_files
 from strataline.operators.quality import clean_rows, split_keyless
 from strataline.plans import gold
-from strataline.plans.lake import BATCH, Lake, batch_name
+from strataline.plans.lake import BATCH, Lake, batch_name, load_time
 from strataline.sources import tables
 from strataline.sources.files import read_csv, read_json_documents, read_json_lines, stamp
 from strataline.sources.workbook import read_workbooks
 
-LANDED, REFINED = "landed", "refined"
+LANDED, REFINED, PUBLISHED = "landed", "refined", "published"
 FILES_PER_BATCH = 10_000
 
 Reader = Callable[[list[str]], DataFrame]
@@ -57,33 +58,28 @@ def land_new_files(
 ) -> list[str]:
     """Land the folder's files that the ledger does not know; returns batches.
 
-    File names, never contents, pass the driver. More files than fit in one
-    batch become several, each stamped a microsecond later than the one before.
-    Batches planned by a run that failed are landed first, from the same files.
+    File names, never contents, pass the driver, those of one batch at a time.
+    More files than fit in one batch become several batches of the same load time,
+    so how files are dealt into batches changes no result. Batches planned by a
+    run that failed are landed first, from those of their files that are still as
+    they were; what an earlier attempt left in the partition is cleared.
     """
     landed = []
+    present = list_files(lake.spark, folder, glob)
+    for batch in lake.files.unfinished(flow, lake.marks.reached(flow, LANDED)):
+        paths = lake.files.paths(flow, batch, present)
+        tables.clear_partition(lake.spark, lake.bronze[flow], BATCH, batch)
+        if paths:
+            land(lake, flow, stamp(read(paths), load_time(batch)), batch)
+        else:
+            lake.marks.add(flow, [batch], LANDED)
+        landed.append(batch)
     moment = load_ts or datetime.now(timezone.utc)
-    planned = {row.batch for row in lake.files.batches(flow).collect()}
-    done = set(lake.marks.passed(flow, LANDED))
-    for batch in sorted(planned - done):
-        stamped = datetime.strptime(batch, "%Y%m%dT%H%M%S%fZ").replace(tzinfo=timezone.utc)
-        present = list_files(lake.spark, folder, glob)
-        land(lake, flow, stamp(read(lake.files.paths(flow, batch, present)), stamped), batch)
+    name = lake.files.unused_name(flow, batch_name(moment))
+    for batch in lake.files.plan(lake.files.unseen(present, flow), flow, name, files_per_batch):
+        land(lake, flow, stamp(read(lake.files.paths(flow, batch)), moment), batch)
         landed.append(batch)
-    while True:
-        batch = batch_name(moment)
-        if batch not in planned:
-            waiting = lake.files.unseen(list_files(lake.spark, folder, glob), flow)
-            chosen = waiting.orderBy("modification_time", "file_path").limit(files_per_batch)
-            lake.files.plan(chosen, flow, batch)
-            paths = lake.files.paths(flow, batch)
-            if not paths:
-                return landed
-            land(lake, flow, stamp(read(paths), moment), batch)
-            landed.append(batch)
-            if len(paths) < files_per_batch:
-                return landed
-        moment += timedelta(microseconds=1)
+    return landed
 
 
 # --- customers ---------------------------------------------------------------
@@ -100,15 +96,15 @@ def refine_customers(lake: Lake, rebuild: bool = False) -> None:
     """Clean customers and keep each one's latest delivery.
 
     The default merges only new batches. ``rebuild`` makes the table anew from
-    all of bronze and gives the same rows.
+    all landed batches and gives the same rows.
     """
     waiting = lake.marks.pending("customers", after=LANDED, before=REFINED)
     if rebuild:
-        cleaned = clean_customers(lake.raw("customers").drop(BATCH))
+        cleaned = clean_customers(clean_rows(lake.landed("customers")).drop(BATCH))
         rows = latest_per_key_by_max(cleaned, ["customer_id"], [fixed.LOAD_TS])
         lake.customers.rebuild(rows, f"rebuild-{batch_name(datetime.now(timezone.utc))}")
     elif waiting:
-        cleaned = clean_customers(lake.raw("customers", waiting).drop(BATCH))
+        cleaned = clean_customers(clean_rows(lake.raw("customers", waiting)).drop(BATCH))
         lake.customers.merge(cleaned, _token(waiting))
     lake.marks.add("customers", waiting, REFINED)
 
@@ -169,6 +165,14 @@ def order_facts(raw_orders: DataFrame) -> DataFrame:
     )
 
 
+def order_dimensions(products: DataFrame, customers: DataFrame, join: str = "auto") -> list[Dimension]:
+    categories = ["category", "sub_category"]
+    return [
+        Dimension(products, "product_id", categories, fill_unknown=categories, join=join),
+        Dimension(customers, "customer_id", ["customer_name", "country"], join=join),
+    ]
+
+
 def enrich_orders(
     facts: DataFrame, products: DataFrame, customers: DataFrame, join: str = "auto"
 ) -> DataFrame:
@@ -176,14 +180,7 @@ def enrich_orders(
 
     An unknown product gives the word for it, an unknown customer NULL.
     """
-    categories = ["category", "sub_category"]
-    return enrich(
-        facts,
-        [
-            Dimension(products, "product_id", categories, fill_unknown=categories, join=join),
-            Dimension(customers, "customer_id", ["customer_name", "country"], join=join),
-        ],
-    )
+    return enrich(facts, order_dimensions(products, customers, join))
 
 
 def refine_orders(lake: Lake, join: str = "measured") -> None:
@@ -191,9 +188,12 @@ def refine_orders(lake: Lake, join: str = "measured") -> None:
     waiting = lake.marks.pending("orders", after=LANDED, before=REFINED)
     if waiting:
         facts = order_facts(lake.raw("orders", waiting))
-        enriched = enrich_orders(facts, lake.products.read(), lake.customers.read(), join)
-        if len(waiting) > 1:
-            # Else each task of a shuffled join would write a file per batch.
+        dimensions = order_dimensions(lake.products.read(), lake.customers.read(), join)
+        dimensions = [resolved(dimension) for dimension in dimensions]
+        enriched = enrich(facts, dimensions)
+        if len(waiting) > 1 and not all(map(is_broadcast, dimensions)):
+            # Each task of a shuffled join would write a file per batch. Without a
+            # shuffle a task has rows of one batch, as it reads its partition.
             enriched = enriched.hint("rebalance", F.col(BATCH))
         tables.replace_partitions(enriched, lake.order_enrich)
         lake.marks.add("orders", waiting, REFINED)
@@ -221,15 +221,26 @@ def load_orders(
 # --- gold and the whole job --------------------------------------------------
 
 
+def kpi_of_batches(lake: Lake, batches: list[str]) -> DataFrame:
+    """The totals of each batch's orders, from these batches' partitions alone."""
+    orders = lake.spark.table(lake.order_enrich).where(F.col(BATCH).isin(batches))
+    return gold.kpi(orders, [BATCH])
+
+
 def publish_kpi(lake: Lake) -> None:
-    """Write the KPI once, so that reports do not each compute it anew."""
-    tables.overwrite(gold.kpi(lake.orders()), lake.kpi_table)
+    """Add the totals of new batches to the stored KPI, each in its own partition.
+
+    Totals are exact and add up, so earlier batches are not read again.
+    """
+    waiting = lake.marks.pending("orders", after=REFINED, before=PUBLISHED)
+    if waiting:
+        tables.replace_partitions(kpi_of_batches(lake, waiting), lake.kpi_table)
+        lake.marks.add("orders", waiting, PUBLISHED)
 
 
 def reports(lake: Lake) -> dict[str, DataFrame]:
-    """The four reports, from the published KPI."""
-    kpis = lake.spark.table(lake.kpi_table)
-    return {name: gold.report(kpis, name) for name in gold.REPORTS}
+    """The four reports, from the stored KPI."""
+    return {name: gold.report(lake.kpis(), name) for name in gold.REPORTS}
 
 
 def run_all(

@@ -20,13 +20,13 @@ REPORTS = {
 }
 
 
-def kpi(orders: DataFrame) -> DataFrame:
-    """Total profit by the four keys; undated orders form a NULL year.
+def kpi(orders: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Total profit by the four keys, and those in ``by``; undated orders form a NULL year.
 
     Sums are combined before the only shuffle, so a customer or product with
     most of the rows costs no more than any other.
     """
-    return orders.groupBy(F.year("order_date").alias("order_year"), *KPI_KEYS[1:]).agg(
+    return orders.groupBy(F.year("order_date").alias("order_year"), *KPI_KEYS[1:], *by).agg(
         F.sum("profit").cast(fixed.MONEY_TYPE).alias(TOTAL)
     )
 
@@ -49,7 +49,7 @@ def report_of_orders(orders: DataFrame, name: str) -> DataFrame:
 
 
 def total_by(kpis: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return kpis.groupBy(*keys).agg(F.sum(TOTAL).alias(TOTAL))
+    return kpis.groupBy(*keys).agg(F.sum(TOTAL).cast(fixed.MONEY_TYPE).alias(TOTAL))
 
 
 def all_reports(kpis: DataFrame) -> DataFrame:

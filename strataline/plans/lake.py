@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from strataline import fixed_values as fixed
 from strataline.operators.ledger import BatchMarks, FileLedger
 from strataline.operators.upsert import BucketedTable
-from strataline.plans.gold import kpi_view_query
+from strataline.plans.gold import KPI_KEYS, kpi_view_query, total_by
 from strataline.sources import tables
 
 BATCH = "batch"
@@ -29,9 +29,15 @@ def batch_name(load_ts: datetime) -> str:
     return load_ts.astimezone(timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
 
 
+def load_time(batch: str) -> datetime:
+    """The load time a batch is named after."""
+    moment = datetime.strptime(batch.split("-", 1)[0], "%Y%m%dT%H%M%S%fZ")
+    return moment.replace(tzinfo=timezone.utc)
+
+
 class Lake:
-    """Bronze and silver facts are partitioned by batch, silver keyed tables by
-    a hash of the key. Both service columns stay out of what is read.
+    """Bronze, silver facts and the KPI are partitioned by batch, silver keyed tables
+    by a hash of the key. Both service columns stay out of what is read.
 
     ``prefix`` goes before the schema names ``bronze``, ``silver`` and ``gold``.
     """
@@ -81,7 +87,7 @@ class Lake:
         for flow, columns in _BRONZE.items():
             self._create(self.bronze[flow], f"{columns}, {BATCH} string", [BATCH])
         self._create(self.order_enrich, f"{fixed.SILVER_ORDERS}, {BATCH} string", [BATCH])
-        self._create(self.kpi_table, fixed.GOLD_KPI, [])
+        self._create(self.kpi_table, f"{fixed.GOLD_KPI}, {BATCH} string", [BATCH])
         for part in (self.marks, self.files, self.products, self.customers):
             part.create()
         tables.create_view(self.spark, self.kpi_view, kpi_view_query(self.order_enrich))
@@ -91,7 +97,8 @@ class Lake:
         """Create the tables in a new catalog over the data of an earlier one."""
         self.create()
         others = (self.products, self.customers, self.marks, self.files)
-        for name in [*self.bronze.values(), self.order_enrich, *(t.name for t in others)]:
+        by_batch = [*self.bronze.values(), self.order_enrich, self.kpi_table]
+        for name in [*by_batch, *(t.name for t in others)]:
             tables.recover_partitions(self.spark, name)
         return self
 
@@ -120,6 +127,14 @@ class Lake:
     def orders(self) -> DataFrame:
         return tables.read(self.spark, self.order_enrich, hide=[BATCH])
 
+    def landed(self, flow: str) -> DataFrame:
+        """Bronze rows of the batches that were landed to their end."""
+        return self.raw(flow).join(self.marks.reached(flow, "landed"), BATCH, "left_semi")
+
+    def kpis(self) -> DataFrame:
+        """The stored KPI, summed over batches."""
+        return total_by(self.spark.table(self.kpi_table), KPI_KEYS)
+
     def quarantined(self, flow: str) -> DataFrame:
-        """Malformed rows of products or orders, raw text included."""
-        return self.raw(flow).where(F.col(fixed.CORRUPT).isNotNull()).drop(BATCH)
+        """Malformed rows of a flow, raw text or reason included."""
+        return self.landed(flow).where(F.col(fixed.CORRUPT).isNotNull()).drop(BATCH)

@@ -22,13 +22,16 @@ from strataline import fixed_values as fixed
 
 Paths = str | Sequence[str]
 
-# A file stream silently skips files older than the newest one it has seen
-# minus this age; the default of seven days would lose late deliveries.
-KEEP_LATE_FILES = {"maxFileAge": "36500d"}
+# A file stream remembers the paths it has seen, and silently skips files older than
+# the newest one minus this age, whose paths it forgets. So the age bounds both how
+# late a file may come and what the stream remembers; Spark's default is seven days.
+MAX_FILE_AGE = "90d"
+MAX_FILES_PER_TRIGGER = 10_000
 
 
 def _open(spark, form: str, paths: Paths, schema, stream: bool, options: dict) -> DataFrame:
-    source = spark.readStream.options(**KEEP_LATE_FILES) if stream else spark.read
+    bounds = {"maxFileAge": MAX_FILE_AGE, "maxFilesPerTrigger": MAX_FILES_PER_TRIGGER}
+    source = spark.readStream.options(**bounds) if stream else spark.read
     if stream and not isinstance(paths, str):
         raise ValueError("a stream watches one folder")
     return (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -93,10 +94,14 @@ def replace_partitions(frame: DataFrame, name: str) -> None:
     _in_table_order(frame, name).write.insertInto(name, overwrite=True)
 
 
-def clear_partition(spark: SparkSession, name: str, column: str, value: int) -> None:
-    """Remove the rows of one partition, which has to be an integer."""
+def clear_partition(spark: SparkSession, name: str, column: str, value: int | str) -> None:
+    """Remove the rows of one partition, given by an integer or a plain word."""
+    if isinstance(value, str):
+        if not re.fullmatch(r"[\w.-]+", value):
+            raise ValueError(f"{value!r} is no plain word")
+        value = f"'{value}'"
     kept = [field for field in spark.table(name).schema if field.name != column]
     spark.sql(
-        f"INSERT OVERWRITE TABLE {name} PARTITION ({column} = {int(value)}) SELECT * FROM {{none}}",
+        f"INSERT OVERWRITE TABLE {name} PARTITION ({column} = {value}) SELECT * FROM {{none}}",
         none=spark.createDataFrame([], StructType(kept)),
     )

@@ -2,7 +2,9 @@
 
 Spark finds, distributes and loads the files; the function run in each task
 only takes a workbook's first sheet apart. A sheet has at most 1,048,576 rows
-by format, which bounds what one task holds.
+by format, which bounds what one task holds. A file that cannot be read and a row
+with a cell beyond the schema cost no others: they are kept, with path and reason
+in the corrupt column.
 """
 
 from __future__ import annotations
@@ -53,8 +55,9 @@ def _first_sheet(book: zipfile.ZipFile) -> str:
     return target.lstrip("/") if target.startswith("/") else f"xl/{target}"
 
 
-def sheet_rows(content: bytes, width: int) -> Iterator[list[str | None]]:
-    """Rows of the first sheet as ``width`` texts each, header included."""
+def sheet_rows(content: bytes, width: int) -> Iterator[tuple[list[str | None], int]]:
+    """Rows of the first sheet as ``width`` texts each, header included, with the
+    number of filled cells beyond."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         shared: list[str] = []
         if "xl/sharedStrings.xml" in book.namelist():
@@ -66,47 +69,62 @@ def sheet_rows(content: bytes, width: int) -> Iterator[list[str | None]]:
             if node.tag != f"{_MAIN}row":
                 continue
             cells: list[str | None] = [None] * width
+            beyond = 0
             for place, cell in enumerate(node.findall(f"{_MAIN}c")):
                 reference = cell.get("r")
                 column = _column_number(reference) if reference else place
-                if column >= width:
-                    continue
                 if cell.get("t") == "inlineStr":
-                    cells[column] = _text(cell.find(f"{_MAIN}is"))
+                    inline = cell.find(f"{_MAIN}is")
+                    value = None if inline is None else _text(inline)
                 else:
                     value = cell.findtext(f"{_MAIN}v")
-                    is_shared = cell.get("t") == "s" and value is not None
-                    cells[column] = shared[int(value)] if is_shared else value
+                    if cell.get("t") == "s" and value is not None:
+                        value = shared[int(value)]
+                if column < width:
+                    cells[column] = value
+                else:
+                    beyond += value is not None
             node.clear()
-            yield cells
+            yield cells, beyond
+
+
+def _records(content: bytes, path: str, width: int) -> Iterator[list[str | None]]:
+    """A sheet's rows after its header, each with what is wrong with it or None."""
+    try:
+        for number, (cells, beyond) in enumerate(sheet_rows(content, width)):
+            if number and (beyond or any(cell is not None for cell in cells)):
+                wrong = f"{path}: row {number + 1} has {beyond} cells too many" if beyond else None
+                yield [*cells, wrong]
+    except (zipfile.BadZipFile, ElementTree.ParseError, LookupError, ValueError, AttributeError, StopIteration) as error:
+        yield [*[None] * width, f"{path}: {type(error).__name__}: {error}"]
 
 
 def parse_workbooks(
     contents: DataFrame, schema: StructType | str = fixed.CUSTOMER_FEED
 ) -> DataFrame:
-    """Rows of the workbooks in the binary column ``content``.
+    """Rows of the workbooks in the binary column ``content``, told by ``path`` if given.
 
     The first row of a sheet is its header and is skipped; columns are taken by
-    position. All columns of ``schema`` must be strings. Empty rows are skipped.
+    position. All columns of ``schema`` must be strings; the last is the corrupt
+    column. Empty rows are skipped. Of a file that breaks off, rows before the
+    break are kept.
     """
     names = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).fieldNames()
 
     def take_apart(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for content in batch["content"]:
-                rows = sheet_rows(content, len(names))
-                next(rows, None)
+            for content, path in zip(batch["content"], batch["path"], strict=True):
                 chunk: list[Sequence[str | None]] = []
-                for row in rows:
-                    if any(cell is not None for cell in row):
-                        chunk.append(row)
+                for row in _records(content, path, len(names) - 1):
+                    chunk.append(row)
                     if len(chunk) == _CHUNK:
                         yield pd.DataFrame(chunk, columns=names, dtype=object)
                         chunk = []
                 if chunk:
                     yield pd.DataFrame(chunk, columns=names, dtype=object)
 
-    return contents.select("content").mapInPandas(take_apart, schema)
+    path = F.col("path") if "path" in contents.columns else F.lit("workbook").alias("path")
+    return contents.select("content", path).mapInPandas(take_apart, schema)
 
 
 def read_workbooks(
@@ -120,4 +138,4 @@ def read_workbooks(
         .option("pathGlobFilter", "*.xlsx")
         .load(paths if isinstance(paths, str) else list(paths))
     )
-    return parse_workbooks(files.select(F.col("content")), schema)
+    return parse_workbooks(files.select("content", "path"), schema)

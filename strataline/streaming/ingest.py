@@ -1,9 +1,12 @@
 """Land files through a file stream instead of the ledger.
 
 The stream's checkpoint remembers each file by path, so late files are found
-and nothing is listed against a ledger. A micro-batch that failed is repeated
-with the same files under the same number, and lands in the same partition.
-A path written again is not read again; use the ledger for such folders.
+and nothing is listed against a ledger. It forgets those older than ``maxFileAge``
+before the newest, and skips files that come later than that. A micro-batch takes
+``maxFilesPerTrigger`` files at most; both are options of the loads below, passed on
+to the reader. A micro-batch that failed is repeated with the same files under the
+same number, and lands in the same partition. A path written again is not read
+again; use the ledger for such folders.
 """
 
 from __future__ import annotations
@@ -63,9 +66,10 @@ def load_products_stream(
     checkpoint: str,
     load_ts: datetime | None = None,
     timeout: int | None = None,
+    **options: str,
 ) -> None:
     """Products from CSV files: land what is new, then merge it."""
-    stream = stamp(read_csv(lake.spark, folder, stream=True), load_ts)
+    stream = stamp(read_csv(lake.spark, folder, stream=True, **options), load_ts)
     land_stream(lake, "products", stream, checkpoint, timeout)
     refine_products(lake)
 
@@ -77,10 +81,11 @@ def load_orders_stream(
     load_ts: datetime | None = None,
     lines: bool = False,
     timeout: int | None = None,
+    **options: str,
 ) -> None:
     """Orders from JSON documents or lines: land what is new, then enrich it."""
     read_json = read_json_lines if lines else read_json_documents
-    stream = stamp(snake_case(read_json(lake.spark, folder, stream=True)), load_ts)
+    stream = stamp(snake_case(read_json(lake.spark, folder, stream=True, **options)), load_ts)
     land_stream(lake, "orders", stream, checkpoint, timeout)
     refine_orders(lake)
 

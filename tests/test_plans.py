@@ -67,43 +67,58 @@ def test_a_dimension_over_the_threshold_is_not_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-@pytest.mark.parametrize("copies", [False, True], ids=["different", "copies of one row"])
-def test_facts_of_a_frequent_key_spread_over_partitions(spark, tmp_path, copies):
+def test_facts_of_hot_and_missing_keys_are_not_shuffled(spark, tmp_path):
+    kind = F.col("id") % 3
+    key = F.when(kind == 0, F.lit(-1)).when(kind == 1, F.col("id"))
     facts_path = str(tmp_path / "facts")
-    hot = F.col("id") % 3 == 0
-    number = F.when(hot, F.lit(0)).otherwise(F.col("id")) if copies else F.col("id")
-    product = F.when(hot, F.lit(-1)).otherwise(F.col("id"))
-    spark.range(0, 9000, numPartitions=64).select(
-        number.alias("id"), product.alias("product_id")
-    ).write.parquet(facts_path)
+    spark.range(0, 9000, numPartitions=16).select("id", key.alias("product_id")).write.parquet(facts_path)
     facts = spark.read.parquet(facts_path)
     products = spark.range(-1, 9000).select(
         F.col("id").alias("product_id"), F.lit("c").alias("category")
     )
-
-    def largest(join):
-        joined = enrich(
-            facts, [Dimension(products, "product_id", ["category"], join=join, hot_share=0.01)]
-        )
-        assert joined.where("category is not null").count() == joined.count() == 9000
-        parts = joined.groupBy(F.spark_partition_id().alias("p")).count()
-        return parts.agg(F.max("count")).first()[0]
-
-    changed = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.files.openCostInBytes": "134217728",
-        "spark.sql.adaptive.enabled": "false",
-    }
-    before = {key: spark.conf.get(key) for key in changed}
-    for key, value in changed.items():
-        spark.conf.set(key, value)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        # Eight partitions: a third of the rows in one of them, or an eighth each.
-        assert largest("auto") > 3000
-        assert largest("salted") < 1700
+        joined = enrich(facts, [Dimension(products, "product_id", ["category"], join="split")])
+        assert joined.count() == 9000 and joined.where("category is not null").count() == 6000
+        text = plan(joined)
     finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    at_rest, shuffled_part = re.split(r"\n +\+- SortMergeJoin", text, maxsplit=1)
+    # One branch broadcasts the hot key's row to the facts where they are.
+    assert "BroadcastHashJoin" in at_rest and "Exchange hashpartitioning" not in at_rest
+    assert "product_id#" in at_rest and "isnull(product_id" in at_rest
+    # The facts of the other branch are those with a key that is not hot.
+    scan = shuffled_part[shuffled_part.index("facts") - 800 : shuffled_part.index("facts") + 400]
+    assert re.search(r"NOT \(product_id#\d+L? = -1\)", shuffled_part), scan
+    assert "isnotnull(product_id" in shuffled_part
+
+
+def test_batches_that_wait_together_are_not_shuffled(spark, lake, landing, monkeypatch):
+    from strataline.plans import flows
+    from strataline.sources import tables
+
+    one = '{"Row ID": %d, "Order ID": "O", "Order Date": "1/2/2020", "Product ID": "P", "Profit": 1.0}'
+    for number in (1, 2):
+        landing(f"orders/{number}.json", one % number)
+    written = []
+    real = tables.replace_partitions
+
+    def remember(frame, name):
+        written.append((name, plan(frame)))
+        real(frame, name)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(flows, "refine_orders", lambda *a: None)
+        flows.load_orders(lake, f"{landing.folder}/orders", lines=True, files_per_batch=1)
+    assert len(lake.marks.pending("orders", flows.LANDED, flows.REFINED)) >= 1
+    monkeypatch.setattr(tables, "replace_partitions", remember)
+    flows.refine_orders(lake)
+    (text,) = [t for name, t in written if name == lake.order_enrich]
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text and "REBALANCE" not in text
+    flows.publish_kpi(lake)
+    (text,) = [t for name, t in written if name == lake.kpi_table]
+    assert re.search(r"PartitionFilters: \[.*batch#", text)
 
 
 def test_one_batch_is_read_from_its_partition(spark, lake):

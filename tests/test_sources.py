@@ -14,7 +14,7 @@ from strataline.sources import tables
 from strataline.sources.files import read_csv, read_json_documents, read_json_lines, stamp
 from strataline.sources.workbook import read_workbooks
 
-HEADER = "Product ID,Category,Sub-Category,Product Name,State,Price per product\n"
+HEADER = "id,kind,sort,title,where,cost\n"
 PRODUCTS = HEADER + (
     'P-1,Furniture,Tables,"Desk, oak",Ohio,120.5\n'
     "P-2,Technology,Phones,Phone; black,Utah,99.0\n"
@@ -28,8 +28,8 @@ def order(number, **changes):
     made = {
         "Row ID": number,
         "Order ID": f"O-{number}",
-        "Order Date": "21/8/2016",
-        "Ship Date": "25/8/2016",
+        "Order Date": "3/11/2016",
+        "Ship Date": "9/11/2016",
         "Ship Mode": "Standard",
         "Customer ID": "C-1",
         "Product ID": "P-1",
@@ -131,7 +131,7 @@ def test_rows_without_a_key_are_split_off(spark):
     assert keyless.count() == 2
 
 
-FIELDS = [line.split()[0] for line in fixed.CUSTOMER_FEED.strip().splitlines()]
+FIELDS = [line.split()[0] for line in fixed.CUSTOMER_FEED.strip().splitlines()][:-1]
 
 
 def customer(number, **changes):
@@ -145,13 +145,27 @@ def test_workbooks_inline_and_shared_text_and_empty_cells(spark, landing):
     landing("c.xlsx", workbook(header, []))
     landing("notes.txt", "not a workbook")
     frame = read_workbooks(spark, landing.folder)
-    assert frame.columns == FIELDS
+    assert frame.columns == [*FIELDS, fixed.CORRUPT]
+    assert frame.where(F.col(fixed.CORRUPT).isNotNull()).isEmpty()
     got = {r.customer_id: r for r in frame.collect()}
     assert sorted(got) == ["customer_id 1", "customer_id 2", "customer_id 3"]
     assert got["customer_id 2"].phone is None and got["customer_id 2"].region is None
     assert got["customer_id 3"].email == "<a&b>"
 
 
+def test_a_bad_workbook_and_a_row_too_wide_cost_no_others(spark, landing):
+    landing("good.xlsx", workbook(FIELDS, [customer(1), [*customer(2), "left over"]]))
+    landing("~$good.xlsx", b"locked by someone")
+    content = workbook(FIELDS, [customer(3)])
+    landing("cut.xlsx", content[: len(content) // 2])
+    found = read_workbooks(spark, landing.folder).collect()
+    good = [r for r in found if r[fixed.CORRUPT] is None]
+    assert [r.customer_id for r in good] == ["customer_id 1"]
+    reasons = sorted(r[fixed.CORRUPT] for r in found if r[fixed.CORRUPT])
+    assert len(reasons) == 3 and sum("BadZipFile" in reason for reason in reasons) == 2
+    assert any("row 3 has 1 cells too many" in reason for reason in reasons)
+
+
 def test_workbook_rows_beyond_one_chunk(spark, landing):
     landing("a.xlsx", workbook(FIELDS, [customer(i) for i in range(25_000)], shared=True))
     frame = read_workbooks(spark, landing.folder)

@@ -11,11 +11,12 @@ import sys
 import uuid
 import zipfile
 from collections.abc import Iterable
+from pathlib import Path
 from xml.sax.saxutils import escape
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataline.session import scratch
@@ -23,7 +24,7 @@ from strataline.session import scratch
 ORDERS_PER_DOCUMENT = 500
 CUSTOMERS_PER_WORKBOOK = 5_000
 
-CSV_HEADER = "Product ID,Category,Sub-Category,Product Name,State,Price per product"
+CSV_HEADER = "id,kind,sort,title,where,cost"
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -86,8 +87,8 @@ def customers(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def dirty_customers(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers whose name, email and phone need every cleaning rule.
+def dirty_customers(spark: SparkSession, sf: str, balance_below: float | None = None) -> DataFrame:
+    """Customers, all or the poorer ones, whose name, email and phone need every cleaning rule.
 
     Customers in debt have a phone number that is too short.
     """
@@ -95,7 +96,9 @@ def dirty_customers(spark: SparkSession, sf: str) -> DataFrame:
     long_phone = F.format_string(
         "(%d).%d.%dx%d", nation + 100, key % 800 + 200, key % 9000 + 1000, nation
     )
-    return customers(spark, sf).select(
+    everyone = customers(spark, sf)
+    chosen = everyone if balance_below is None else everyone.where(F.col("balance") < balance_below)
+    return chosen.select(
         key.cast("string").alias("customer_id"),
         F.concat(
             "segment", F.lit(" .];  "), "country", F.lit("'9 "), "customer_name"
@@ -116,11 +119,19 @@ def dirty_customers(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def write_product_csv(spark: SparkSession, sf: str) -> str:
-    """Parts as CSV. PROMO has a token too many, size 50 one too few."""
+def write_product_csv(
+    spark: SparkSession, sf: str, changed: tuple[str, ...] = (), folder: str | None = None
+) -> str:
+    """Parts as CSV. PROMO has a token too many, size 50 one too few.
+
+    ``changed`` are the brands to deliver, under another category, all if none.
+    """
+    kind = F.concat(F.lit("new "), "p_type") if changed else F.col("p_type")
+    parts = table(spark, sf, "part")
+    parts = parts.where(F.col("p_brand").isin(*changed)) if changed else parts
     fields = [
         F.col("p_partkey").alias("id"),
-        F.col("p_type").alias("category"),
+        kind.alias("category"),
         F.col("p_brand").alias("sub_category"),
         F.col("p_name").alias("name"),
         F.concat(F.lit("S"), F.col("p_size")).alias("state"),
@@ -132,9 +143,9 @@ def write_product_csv(spark: SparkSession, sf: str) -> str:
         .when(F.col("p_size") == 50, F.to_csv(F.struct(*fields)))
         .otherwise(full)
     )
-    folder = scratch(spark, "products-csv")
+    folder = folder or scratch(spark, "products-csv")
     # One raw line per row: separator and quote are characters no line contains.
-    table(spark, sf, "part").select(line.alias(CSV_HEADER)).write.csv(
+    parts.select(line.alias(CSV_HEADER)).write.mode("append").csv(
         folder, header=True, sep="\u0001", quote="\u0000"
     )
     return folder
@@ -192,11 +203,14 @@ def write_order_lines(spark: SparkSession, sf: str) -> str:
     return folder
 
 
-def write_sales_lines(spark: SparkSession, sf: str) -> str:
-    """All sales as JSON lines under the feed's names, profit to the cent."""
+def write_sales_lines(
+    spark: SparkSession, sf: str, which: Column | None = None, folder: str | None = None
+) -> str:
+    """Sales, all or some, as JSON lines under the feed's names, profit to the cent."""
     day = F.date_format("order_date", "d/M/yyyy")
-    folder = scratch(spark, "sales-lines")
-    sales(spark, sf).select(
+    folder = folder or scratch(spark, "sales-lines")
+    sold = sales(spark, sf)
+    (sold if which is None else sold.where(which)).select(
         F.col("row_id").alias("Row ID"),
         F.col("order_id").cast("string").alias("Order ID"),
         day.alias("Order Date"),
@@ -208,7 +222,7 @@ def write_sales_lines(spark: SparkSession, sf: str) -> str:
         F.col("profit").cast("double").alias("Price"),
         F.lit(0.0).alias("Discount"),
         F.col("profit").cast("double").alias("Profit"),
-    ).write.json(folder)
+    ).write.mode("append").json(folder)
     return folder
 
 
@@ -258,16 +272,42 @@ def workbook(header: list[str], rows: Iterable[Iterable[str | None]], shared: bo
 
 
 def customer_workbooks(spark: SparkSession, sf: str) -> DataFrame:
-    """Dirty customers as workbooks in a binary column ``content``.
+    """Dirty customers as workbooks in a binary column ``content``."""
+    return workbooks(dirty_customers(spark, sf))
 
-    A workbook holds a fixed range of keys, which bounds its group.
-    """
-    rows = dirty_customers(spark, sf)
+
+def workbooks(rows: DataFrame) -> DataFrame:
+    """Rows as workbooks (``book``, ``content``), each of a fixed range of keys, which
+    bounds its group."""
     names = rows.columns
 
-    def pack(group: pd.DataFrame) -> pd.DataFrame:
+    def pack(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         cells = group[names].astype(object).where(group[names].notna(), None)
-        return pd.DataFrame({"content": [workbook(names, cells.itertuples(index=False))]})
+        made = workbook(names, cells.itertuples(index=False))
+        return pd.DataFrame({"book": [key[0]], "content": [made]})
 
     book = F.floor(F.col("customer_id").cast("bigint") / CUSTOMERS_PER_WORKBOOK)
-    return rows.groupBy(book.alias("book")).applyInPandas(pack, "content binary")
+    return rows.groupBy(book.alias("book")).applyInPandas(pack, "book bigint, content binary")
+
+
+def write_workbooks(spark: SparkSession, rows: DataFrame) -> str:
+    """The workbooks as .xlsx files in a new folder of the shared one.
+
+    Spark has no writer for single binary files, so the tasks write through the
+    file system that holds the shared folder; only a local one is served.
+    """
+    folder = scratch(spark, "workbooks")
+    place = folder.removeprefix("file://").removeprefix("file:")
+    if "://" in place:
+        raise ValueError(f"cannot write single files below {folder}")
+    Path(place).mkdir(parents=True)
+
+    def put(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+        for batch in batches:
+            for number, content in zip(batch["book"], batch["content"], strict=True):
+                with open(f"{place}/{number}.xlsx", "wb") as file:
+                    file.write(content)
+            yield batch[["book"]]
+
+    workbooks(rows).mapInPandas(put, "book bigint").write.format("noop").mode("overwrite").save()
+    return folder

@@ -151,6 +151,15 @@ _END_TO_END = f"""
            on cast(s.customer_id as varchar) = c.customer_id
 """
 
+_DELIVERED = f"""
+    select d.customer_id, d.customer_name, d.phone,
+           case when c_acctbal < 0 then 'new ' || n_name else n_name end as country,
+           case when c_acctbal < 0 then date '2024-02-01' else date '2024-01-01' end as loaded
+    from ({_CLEAN_CUSTOMER}) d
+    join customer on d.customer_id = cast(c_custkey as varchar)
+    join nation on c_nationkey = n_nationkey
+"""
+
 _TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
@@ -189,8 +198,63 @@ ORACLES: dict[str, str] = {
     "distinct_rows": "select distinct l_partkey, l_returnflag, l_linestatus from lineitem",
     "latest_batch": f"""
         select * from ({_LOADS}) where load_ts = (select max(load_ts) from ({_LOADS}))""",
-    "newer_than_watermark": f"select * from ({_LOADS}) where load_ts > date '2024-01-20'",
-    "watermark_inclusive": f"select * from ({_LOADS}) where load_ts >= date '2024-01-20'",
+    "newer_than_watermark": f"""
+        select * from ({_LOADS}) where load_ts >
+            (select max(load_ts) from ({_LOADS}) where load_ts <= date '2024-01-20')""",
+    "watermark_inclusive": f"""
+        select * from ({_LOADS}) where load_ts >=
+            (select max(load_ts) from ({_LOADS}) where load_ts <= date '2024-01-20')""",
+    "newer_than_nothing": _LOADS,
+    "money_of_products": """
+        select l_orderkey, l_linenumber,
+               cast(round(cast(l_extendedprice as decimal(12,2)) * cast(l_discount as decimal(4,2)), 2)
+                    as decimal(38,2)) as discounted,
+               cast(round(cast(l_quantity as decimal(12,0)) * cast('0.005' as decimal(4,3)), 2)
+                    as decimal(38,2)) as halves
+        from lineitem""",
+    "reports_in_order": f"""
+        select order_year, category, total_profit,
+               row_number() over (order by order_year nulls first, category) as place
+        from (select cast(case when not returned then year(order_date) end as integer) as order_year,
+                     category, cast(sum(profit) as decimal(38,2)) as total_profit
+              from ({_CATEGORISED}) group by 1, 2)""",
+    "files_modified_since": """
+        with files as (select 'file:/events/' || event_id as file_path, date_trunc('second', ts) as t
+                       from events)
+        select 'events' as object, file_path from files
+        where t > (select max(t) from files where t < timestamp '2024-01-16 00:00:00')
+        union all select 'others', file_path from files""",
+    "ledger_entries": """
+        select 'file:/events/' || event_id as file_path,
+               strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') as modified,
+               'base' as planned_as
+        from events
+        union all select 'file:/local', '2024-01-01 00:00:00', 'loca'""",
+    "products_of_two_files": """
+        select cast(p_partkey as varchar) as product_id, greatest(p_type, reverse(p_type)) as category,
+               p_brand as sub_category, date '2024-01-01' as loaded
+        from part""",
+    "customers_merged": _DELIVERED,
+    "customers_rebuilt": _DELIVERED,
+    "end_to_end_two_deliveries": f"""
+        select cast(row_id as bigint) as row_id, cast(order_id as varchar) as order_id,
+               cast(order_date as date) as order_date,
+               cast(s.customer_id as varchar) as customer_id,
+               cast(product_id as varchar) as product_id, profit,
+               case when p_type is null then 'unknown'
+                    when order_id % 5 = 0 and p_brand in ('Brand#1', 'Brand#2') then 'new ' || p_type
+                    else p_type end as category,
+               coalesce(p_brand, 'unknown') as sub_category, c.customer_name,
+               case when order_id % 5 = 0 and c.balance < 0 then 'new ' || c.country
+                    else c.country end as country,
+               case when order_id % 5 = 0 then date '2024-02-01' else date '2024-01-01' end as load_ts
+        from ({_SALES}) s
+        left join (select * from part where {_GOOD_PART}) p on product_id = p_partkey
+        left join (select d.customer_name, d.customer_id, n_name as country, c_acctbal as balance
+                   from ({_CLEAN_CUSTOMER}) d
+                   join customer on d.customer_id = cast(c_custkey as varchar)
+                   join nation on c_nationkey = n_nationkey) c
+               on cast(s.customer_id as varchar) = c.customer_id""",
     "merge_upsert": _MERGED,
     "merge_upsert_bucketed": _MERGED,
     "csv_clean": f"""
@@ -230,7 +294,8 @@ ORACLES: dict[str, str] = {
     "temp_view_scan": """
         select o_orderkey, o_totalprice from orders where o_orderstatus = 'F'""",
     "batch_guards": " union all ".join(
-        f"select '{name}' as table_name, count(*) as n_rows, count(*) = 0 as is_empty from {name}"
+        f"select '{name}' as table_name, count(*) as n_rows, count(*) = 0 as is_empty from {name} "
+        f"union all select '{name} below zero', 0, true"
         for name in _TABLES
     ),
     "end_to_end_profit": f"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import inputs
@@ -21,11 +21,10 @@ from strataline.plans.lake import BATCH, Lake
 from strataline.session import scratch
 from strataline.sources import tables
 from strataline.sources.files import read_csv, read_json_documents, read_json_lines, stamp
-from strataline.sources.workbook import parse_workbooks
+from strataline.sources.workbook import parse_workbooks, read_workbooks
 from strataline.streaming.ingest import land_stream, merge_stream
 
 LOADED_AT = datetime(2024, 1, 1, tzinfo=timezone.utc)
-STREAM_TIMEOUT = 600
 TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
@@ -102,7 +101,7 @@ def _enriched(spark, sf, join, **changes):
         "returned",
     )
     facts = facts.withColumns(changes).drop("returned")
-    if join == "salted":
+    if join == "split":
         # It looks at the facts' keys first, so they are stored, as in bronze.
         folder = scratch(spark, "facts")
         facts.write.parquet(folder)
@@ -129,7 +128,7 @@ def order_enrich_salted(spark, sf):
     return _enriched(
         spark,
         sf,
-        "salted",
+        "split",
         customer_id=F.when(returned, F.lit(1)).otherwise(F.col("customer_id")),
         product_id=F.when(returned, F.col("product_id")),
     )
@@ -219,6 +218,35 @@ def watermark_inclusive(spark, sf):
     return incremental.newer_than(_loads(spark, sf), _loaded_before(spark, sf), inclusive=True)
 
 
+def newer_than_nothing(spark, sf):
+    """An empty target has no mark: all rows are new."""
+    loads = _loads(spark, sf)
+    return incremental.newer_than(loads, loads.where(F.col("event_id") < 0))
+
+
+def money_of_products(spark, sf):
+    """Exact decimals with a third and fourth digit, halves included, to the cent."""
+    exact = (F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_discount").cast("decimal(4,2)")).alias("exact")
+    half = F.col("l_quantity").cast("decimal(12,0)") * F.lit("0.005").cast("decimal(4,3)")
+    return inputs.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", money(exact).alias("discounted"), money(half).alias("halves")
+    )
+
+
+def reports_in_order(spark, sf):
+    """The place of each row in the report by year and category, undated orders included."""
+    undated = inputs.sales(spark, sf).withColumn(
+        "order_date", F.when(F.col("returned"), F.lit(None)).otherwise(F.col("order_date"))
+    )
+    categories = ["category", "sub_category"]
+    catalogue = Dimension(inputs.products(spark, sf), "product_id", categories, fill_unknown=categories)
+    ordered = gold.report(gold.kpi(enrich(undated, [catalogue])), "by_year_category")
+    # The id grows in the order of the partitions and of the rows in them, so it is the
+    # order in which the report comes; its rows are few.
+    came = ordered.withColumn("came", F.monotonically_increasing_id())
+    return came.withColumn("place", F.row_number().over(Window.orderBy("came"))).drop("came")
+
+
 # --- upsert ---------------------------------------------------------------------------
 
 
@@ -351,6 +379,52 @@ def file_ledger_new_files(spark, sf):
     )
 
 
+def _events_ledger(spark):
+    folder, schema = scratch(spark, "ledger"), inputs.new_prefix() + "ledger"
+    tables.create_schema(spark, schema, f"{folder}/schema")
+    ledger = FileLedger(spark, f"{schema}.processed_files", f"{folder}/files")
+    ledger.create()
+    return ledger
+
+
+def _event_files(spark, sf):
+    """A file for each event, of the event's time."""
+    return inputs.table(spark, sf, "events").select(
+        F.concat(F.lit("file:/events/"), "event_id").alias("file_path"),
+        F.date_trunc("second", F.col("ts").cast("timestamp")).alias("modification_time"),
+    )
+
+
+def files_modified_since(spark, sf):
+    """Files newer than all in the ledger, which knows those of the first half of the
+    month; and, for an object without an entry, all of them."""
+    ledger, files = _events_ledger(spark), _event_files(spark, sf)
+    known = files.where(F.col("modification_time") < F.lit("2024-01-16").cast("timestamp"))
+    ledger.plan(known, "events", "first")
+    return reduce(
+        DataFrame.unionByName,
+        (
+            ledger.modified_since(files, obj).select(F.lit(obj).alias("object"), "file_path")
+            for obj in ("events", "others")
+        ),
+    )
+
+
+def ledger_entries(spark, sf):
+    """Rows made by the caller are entered as files, in parts of a thousand, and read back."""
+    ledger, files = _events_ledger(spark), _event_files(spark, sf)
+    local = spark.createDataFrame(
+        [("file:/local", LOADED_AT)], "file_path string, modification_time timestamp"
+    )
+    ledger.plan(files, "events", "base", files_per_batch=1000)
+    ledger.plan(local, "events", "local")
+    return ledger.entries("events").select(
+        "file_path",
+        F.date_format("modification_time", "yyyy-MM-dd HH:mm:ss").alias("modified"),
+        F.substring("batch", 1, 4).alias("planned_as"),
+    )
+
+
 # --- streams -------------------------------------------------------------------------
 
 
@@ -367,7 +441,7 @@ def stream_ingest_orders(spark, sf):
     for delivery in (objects.where(~late), objects.where(late)):
         delivery.select("order.*").write.mode("append").json(landing)
         raw = snake_case(read_json_lines(spark, landing, stream=True))
-        land_stream(lake, "orders", stamp(raw, LOADED_AT), checkpoint, STREAM_TIMEOUT)
+        land_stream(lake, "orders", stamp(raw, LOADED_AT), checkpoint)
     return lake.raw("orders").select(*_ORDER_COLUMNS)
 
 
@@ -385,7 +459,7 @@ def stream_upsert_customers(spark, sf):
     for delivery in (everyone, debtors):
         delivery.drop("balance").write.mode("append").json(landing)
         versions = read_json_lines(spark, landing, columns, stream=True)
-        merge_stream(table, versions, checkpoint, STREAM_TIMEOUT)
+        merge_stream(table, versions, checkpoint)
     return table.read()
 
 
@@ -445,14 +519,15 @@ def temp_view_scan(spark, sf):
 
 
 def batch_guards(spark, sf):
-    """Row count of every table, and whether it is empty."""
-    counts = [
-        quality.row_count(inputs.table(spark, sf, name)).select(
-            F.lit(name).alias("table_name"), "n_rows"
-        )
-        for name in TABLES
-    ]
-    return reduce(DataFrame.unionByName, counts).withColumn("is_empty", F.col("n_rows") == 0)
+    """Row count of every table, and whether it is empty; the same of its rows that
+    cannot be, as their key is below zero."""
+    guarded = []
+    for name in TABLES:
+        rows = inputs.table(spark, sf, name)
+        for label, part in ((name, rows), (f"{name} below zero", rows.where(F.col(rows.columns[0]) < 0))):
+            counted = quality.row_count(part).select(F.lit(label).alias("table_name"), "n_rows")
+            guarded.append(counted.withColumn("is_empty", F.lit(quality.is_empty(part))))
+    return reduce(DataFrame.unionByName, guarded)
 
 
 # --- the whole job -------------------------------------------------------------------
@@ -476,6 +551,71 @@ def end_to_end_profit(spark, sf):
     return flows.reports(lake)["by_year_category"]
 
 
+SECOND_LOAD = datetime(2024, 2, 1, tzinfo=timezone.utc)
+
+
+def products_of_two_files(spark, sf):
+    """Two files deliver the same products in one run, each file a batch of its own;
+    the other columns decide between equal load times."""
+    lake, folder = _lake(spark), scratch(spark, "two-files")
+    listed = inputs.products(spark, sf).select(
+        F.col("product_id").cast("string"),
+        "category",
+        "sub_category",
+        F.lit("n").alias("product_name"),
+        F.lit("s").alias("state"),
+        F.lit(1.0).alias("price_per_product"),
+    )
+    for rows in (listed, listed.withColumn("category", F.reverse("category"))):
+        rows.write.mode("append").csv(folder, header=True)
+    flows.load_products(lake, folder, LOADED_AT, files_per_batch=1)
+    return lake.products.read().select(
+        "product_id", "category", "sub_category", F.col(fixed.LOAD_TS).cast("date").alias("loaded")
+    )
+
+
+def _customers_again(spark, sf):
+    """Customers in debt are delivered again, in another country."""
+    again = inputs.dirty_customers(spark, sf, balance_below=0)
+    return again.withColumn("country", F.concat(F.lit("new "), "country"))
+
+
+def _delivered_customers(lake, sf, rebuild):
+    spark = lake.spark
+    first = inputs.write_workbooks(spark, inputs.dirty_customers(spark, sf))
+    flows.load_customers(lake, first, LOADED_AT)
+    second = inputs.write_workbooks(spark, _customers_again(spark, sf))
+    flows.land_customers(lake, read_workbooks(spark, second), SECOND_LOAD)
+    flows.refine_customers(lake, rebuild)
+    return lake.customers.read().select(
+        "customer_id", "customer_name", "phone", "country", F.col(fixed.LOAD_TS).cast("date").alias("loaded")
+    )
+
+
+def customers_merged(spark, sf):
+    return _delivered_customers(_lake(spark), sf, rebuild=False)
+
+
+def customers_rebuilt(spark, sf):
+    return _delivered_customers(_lake(spark), sf, rebuild=True)
+
+
+def end_to_end_two_deliveries(spark, sf):
+    """The whole job twice. The second delivery has customers in debt again, all
+    products of two brands under another category, and the orders of status P."""
+    lake = _lake(spark)
+    customers = inputs.write_workbooks(spark, inputs.dirty_customers(spark, sf))
+    products = inputs.write_product_csv(spark, sf)
+    late = F.col("order_id") % 5 == 0
+    orders = inputs.write_sales_lines(spark, sf, ~late)
+    flows.run_all(lake, customers, products, orders, LOADED_AT, lines=True)
+    customers = inputs.write_workbooks(spark, _customers_again(spark, sf))
+    inputs.write_product_csv(spark, sf, changed=("Brand#1", "Brand#2"), folder=products)
+    inputs.write_sales_lines(spark, sf, late, folder=orders)
+    flows.run_all(lake, customers, products, orders, SECOND_LOAD, lines=True)
+    return lake.orders().withColumn(fixed.LOAD_TS, F.col(fixed.LOAD_TS).cast("date"))
+
+
 def end_to_end_orders(spark, sf):
     """The same, silver orders after a second run that finds nothing new."""
     lake = _loaded_lake(spark, sf)
@@ -526,5 +666,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         batch_guards,
         end_to_end_profit,
         end_to_end_orders,
+        newer_than_nothing,
+        money_of_products,
+        reports_in_order,
+        files_modified_since,
+        ledger_entries,
+        products_of_two_files,
+        customers_merged,
+        customers_rebuilt,
+        end_to_end_two_deliveries,
     )
 }

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from strataline.session import scratch
 
-ORDERS_PER_DOCUMENT = 500
+# About half a megabyte of JSON.
+ORDERS_PER_DOCUMENT = 2_000
 CUSTOMERS_PER_WORKBOOK = 5_000
 
 CSV_HEADER = "id,kind,sort,title,where,cost"
@@ -94,19 +95,19 @@ def dirty_customers(spark: SparkSession, sf: str, balance_below: float | None =
     """
     key, nation = F.col("customer_id"), F.col("nation")
     long_phone = F.format_string(
-        "(%d).%d.%dx%d", nation + 100, key % 800 + 200, key % 9000 + 1000, nation
+        "+%d / %d-%d (ext. %d)", nation + 100, key % 800 + 200, key % 9000 + 1000, nation
     )
     everyone = customers(spark, sf)
     chosen = everyone if balance_below is None else everyone.where(F.col("balance") < balance_below)
     return chosen.select(
         key.cast("string").alias("customer_id"),
         F.concat(
-            "segment", F.lit(" .];  "), "country", F.lit("'9 "), "customer_name"
+            "segment", F.lit(" ~{2}  "), "country", F.lit("_#7 "), "customer_name"
         ).alias("customer_name"),
         F.concat(
-            F.lit(" "), F.lower("segment"), F.lit("."), key, F.lit("+t(x)@ex ample-co.com;")
+            F.lit(" "), F.lower("segment"), F.lit("."), key, F.lit("+news<1>@mail. shop-4.org,")
         ).alias("email"),
-        F.when(F.col("balance") < 0, F.format_string("][;.%d", key % 800 + 200))
+        F.when(F.col("balance") < 0, F.format_string("~/%d", key % 800 + 200))
         .otherwise(long_phone)
         .alias("phone"),
         F.format_string("%d Main Street", key).alias("address"),

@@ -63,11 +63,11 @@ _ENRICHED = """
 
 _DIRTY = """
     select cast(c_custkey as varchar) as customer_id,
-           c_mktsegment || ' .];  ' || n_name || '''9 ' || c_name as customer_name,
-           ' ' || lower(c_mktsegment) || '.' || c_custkey || '+t(x)@ex ample-co.com;' as email,
-           case when c_acctbal < 0 then '][;.' || (c_custkey % 800 + 200)
-                else '(' || (c_nationkey + 100) || ').' || (c_custkey % 800 + 200) || '.'
-                     || (c_custkey % 9000 + 1000) || 'x' || c_nationkey end as phone,
+           c_mktsegment || ' ~{2}  ' || n_name || '_#7 ' || c_name as customer_name,
+           ' ' || lower(c_mktsegment) || '.' || c_custkey || '+news<1>@mail. shop-4.org,' as email,
+           case when c_acctbal < 0 then '~/' || (c_custkey % 800 + 200)
+                else '+' || (c_nationkey + 100) || ' / ' || (c_custkey % 800 + 200) || '-'
+                     || (c_custkey % 9000 + 1000) || ' (ext. ' || c_nationkey || ')' end as phone,
            cast(null as varchar) as city, cast(c_nationkey as varchar) as postal
     from customer left join nation on c_nationkey = n_nationkey
 """

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import operator
 import string
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -18,6 +20,8 @@ ROW = "row"
 ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 """A word of lower-cased text: ASCII digits and letters, and all beyond ASCII."""
 
+BROADCAST_LIMIT = 32 << 20
+
 SPACES = "\t\n\x0b\x0c\r"
 """White space besides the blank."""
 
@@ -79,6 +83,26 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def small_enough(table: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """A written table with a broadcast hint, if its rows come to at most ``limit`` bytes.
+
+    The size is summed first. Beyond it the join is Spark's to plan, and as both
+    sides are then shuffled as they are, adaptive execution can split a hot key.
+    """
+
+    def width(field: T.StructField) -> Column:
+        column = quoted(field.name)
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+        if isinstance(field.dataType, T.ArrayType):
+            return 8 * F.greatest(F.size(column), F.lit(0)) + 32
+        return F.lit(64 if isinstance(field.dataType, T.StructType) else 8)
+
+    size = reduce(operator.add, map(width, table.schema.fields), F.lit(16))
+    measured = table.agg(F.sum(size.cast("bigint"))).first()[0] or 0
+    return F.broadcast(table) if measured <= limit else table
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """An expression with a name for a value it uses more than once."""
     return F.element_at(F.transform(F.array(value), use), 1)

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strataline.llm.common import ROW, keep_one_of_equal, let, packed, quoted, space_words, written
+from strataline.llm.common import ROW, keep_one_of_equal, let, packed, quoted, small_enough, space_words, written
 
 MIN_WORDS = 50
 KEY = ["doc_id", "hash"]
@@ -169,7 +169,8 @@ def deleted_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
     name = ["k", "head", "tail"]
     first = named.groupBy(*name).agg(F.min(_place("start")).alias("first"), F.count("*").alias("n"))
-    later = named.join(first.where(F.col("n") > 1), name).where(_place("start") != F.col("first"))
+    first = small_enough(written(first.where(F.col("n") > 1), "lines-first"))
+    later = named.join(first, name).where(_place("start") != F.col("first"))
     own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("hash") == F.col("first.hash"))
     begin = F.when(own, F.greatest("start", F.col("first.start") + F.col("k"))).otherwise(F.col("start"))
     return written(
@@ -228,7 +229,7 @@ def remove_repeated_lines(
     rows = documents.select(*packed(documents, text))
     rows = rows.select(ROW, "text", F.col(ROW).getField(doc_id).alias("doc_id"), text_hash(F.col("text")).alias("hash"))
     rows = keep_one_of_equal(rows, written(repeated, "lines-equal"), KEY)
-    changed = rows.join(deleted, _same(rows, deleted), "left").select(ROW, "text", "deleted")
+    changed = rows.join(small_enough(deleted), _same(rows, deleted), "left").select(ROW, "text", "deleted")
     rebuilt = changed.withColumn("left", F.when(F.col("deleted").isNotNull(), _without("text", "deleted")))
     rebuilt = rebuilt.where(F.col("deleted").isNull() | F.col("left.any"))
     new_text = F.when(F.col("deleted").isNull(), F.col("text")).otherwise(F.col("left.text"))

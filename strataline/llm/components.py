@@ -1,7 +1,8 @@
 """Connected components of links, by alternating large-star and small-star steps.
 
-Both steps are joins and grouped minima, so a hub with very many links is split
-by adaptive execution like any other skewed key. Each round is written to the
+Both steps are grouped minima, written, and a join with them: by a broadcast while
+they are few, else between two plain shuffles, of which adaptive execution splits a
+hub with very many links like any other skewed key. Each step is written to the
 shared folder, which cuts the lineage. Chains shrink exponentially, so rounds grow
 with the logarithm of the longest path; no links are ever collected.
 """
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataline.llm.common import written
+from strataline.llm.common import small_enough, written
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -27,7 +28,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         "links",
     )
     while not _are_stars(edges):
-        edges = written(_small_star(_large_star(edges)), "links")
+        edges = written(_small_star(written(_large_star(edges), "links")), "links")
     roots = edges.select(F.col("low").alias("node"), F.col("low").alias("root")).distinct()
     return edges.select(F.col("high").alias("node"), F.col("low").alias("root")).unionAll(roots)
 
@@ -49,12 +50,14 @@ def _large_star(edges: DataFrame) -> DataFrame:
         .groupBy("node")
         .agg(F.min("other").alias("least"))
     )
+    smallest = small_enough(written(smallest, "links-smallest"))
     return edges.join(smallest, edges["low"] == smallest["node"]).select("high", F.col("least").alias("low"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link each node and its smaller neighbours to the smallest of them."""
     smallest = edges.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("least"))
+    smallest = small_enough(written(smallest, "links-smallest"))
     found = edges.join(smallest, edges["high"] == smallest["node"])
     return (
         found.select(F.col("low").alias("high"), F.col("least").alias("low"))

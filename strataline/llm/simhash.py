@@ -31,7 +31,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataline.llm.common import ROW, keep_one_of_equal, lower_ascii, map_rows, packed, unpacked, utf8_list, written
+from strataline.llm.common import (
+    ROW,
+    keep_one_of_equal,
+    lower_ascii,
+    map_rows,
+    packed,
+    small_enough,
+    unpacked,
+    utf8_list,
+    written,
+)
 from strataline.llm.components import components
 
 SHINGLE = 3
@@ -184,12 +194,14 @@ def _put_off(codes: np.ndarray, parts: np.ndarray) -> pa.RecordBatch:
 
 def _links(groups: np.ndarray, codes: np.ndarray) -> pa.RecordBatch:
     root = linked(groups, codes)
-    own = np.flatnonzero(root != np.arange(len(root)))
     signed = codes.view(np.int64)
+    # All links of a component go to its smallest code, as components() wants them.
+    smallest = signed.copy()
+    np.minimum.at(smallest, root, signed)
+    to = smallest[root]
+    own = np.flatnonzero(to != signed)
     none = pa.nulls(len(own), pa.int64())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(signed[own]), pa.array(signed[root[own]]), none], names=["a", "b", "part"]
-    )
+    return pa.RecordBatch.from_arrays([pa.array(signed[own]), pa.array(to[own]), none], names=["a", "b", "part"])
 
 
 def linked(groups: np.ndarray, codes: np.ndarray, distance: int = DISTANCE) -> np.ndarray:
@@ -305,5 +317,5 @@ def drop_near_duplicates(
         ROW, "text", F.col(ROW).getField(doc_id).alias("id"), F.xxhash64(F.lit(0), "text").alias("hash")
     )
     same = rows["id"].eqNullSafe(goes["id"]) & (rows["hash"] == goes["hash"])
-    stay = keep_one_of_equal(rows.join(goes, same, "left_anti"), equal, ["id", "hash"])
+    stay = keep_one_of_equal(rows.join(small_enough(goes), same, "left_anti"), equal, ["id", "hash"])
     return unpacked(stay, documents.columns, text)

@@ -51,16 +51,12 @@ def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
-    documents = table(spark, sf, "documents", "doc_id", "text")
-    counted = rules.judged(documents).select("doc_id", "rejected_by", *rules.base_counts(documents))
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return counted.select("doc_id", "rejected_by", "words.*", "word_chars", "n_symbols", "n_dup_lines").select(
-        "doc_id",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
+    judged = rules.judged(table(spark, sf, "documents", "doc_id", "text"))
+    failed = rules.base_failed(F.col("counts"))
+    counted = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select(
+        F.col(f"{ROW}.doc_id"),
+        *(F.col(f"counts.{name}") for name in counted),
         failed.alias("base_failed"),
         (~failed & F.col("rejected_by").isNull()).alias("kept"),
     )

@@ -6,9 +6,10 @@ of rejections per second. It is one CASE expression, so a text that a rule rejec
 is not shown to the later ones. The order changes the time, and which of several
 rules is named, never whether a text is kept.
 
-All rules are built-in expressions over the text. The words repeated within a text
-come from a hash of each window of five words: only texts in which two hashes are
-equal look for their places.
+All rules are built-in expressions. Counts that are reported for every text anyway
+are made once, and rules use them. The words repeated within a text come from a hash
+of each window of five words: only texts in which two hashes are equal look for
+their places.
 
 Defined results: null and empty texts have no words and are rejected for it; a
 text of any length counts whole; repeated rows get the same verdict; no rows give
@@ -23,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataline.llm.common import SPACES, let, quoted, space_words, written
+from strataline.llm.common import SPACES, let, packed, quoted, space_words, unpacked, written
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -59,27 +60,10 @@ def _removed(text: Column, characters: str) -> Column:
     return F.char_length(text) - F.char_length(F.translate(text, characters, ""))
 
 
-def n_words(text: Column) -> Column:
-    return F.size(space_words(text)).cast("bigint")
-
-
-def word_chars(text: Column) -> Column:
-    return F.char_length(F.translate(text, " " + SPACES, "")).cast("bigint")
-
-
-def n_symbols(text: Column) -> Column:
-    return _removed(text, SYMBOLS).cast("bigint")
-
-
 def _content_lines(text: Column) -> Column:
     return F.filter(F.split(text, "\n"), lambda line: F.regexp_like(line, F.lit(WORD)))
 
 
-def n_dup_lines(text: Column) -> Column:
-    """Lines with a word that are equal to an earlier line."""
-    return let(_content_lines(text), lambda lines: F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint")
-
-
 def n_repeat_words(words: Column, window: int = WINDOW) -> Column:
     """Words in windows of ``window`` words that stand in the text at least twice."""
 
@@ -111,50 +95,80 @@ def n_repeat_words(words: Column, window: int = WINDOW) -> Column:
         alone = F.size(F.array_distinct(hashes)) == F.size(hashes)
         return F.when(alone, 0).otherwise(let(starts(hashes), covered))
 
-    hashes = F.transform(
-        F.sequence(F.lit(0), F.size(words) - window),
-        lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(window))),
-    )
-    return F.when(F.size(words) <= window, 0).otherwise(let(hashes, count)).cast("bigint")
+    def windows(hashed: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.size(hashed) - window),
+            lambda i: F.xxhash64(*(F.get(hashed, i + k) for k in range(window))),
+        )
 
+    hashed = F.transform(words, lambda word: F.xxhash64(word))
+    found = let(hashed, lambda h: let(windows(h), count))
+    return F.when(F.size(words) <= window, 0).otherwise(found).cast("bigint")
+
+
+def counts(text: Column) -> Column:
+    """What the rules and reports need of a text without nulls, as one struct, each computed once."""
+    words = let(
+        space_words(text),
+        lambda w: F.struct(
+            F.size(w).cast("bigint").alias("all"),
+            F.size(F.array_distinct(w)).cast("bigint").alias("distinct"),
+            n_repeat_words(w).alias("repeated"),
+        ),
+    )
+    lines = let(
+        _content_lines(text),
+        lambda x: F.struct(
+            F.size(x).cast("bigint").alias("all"), F.size(F.array_distinct(x)).cast("bigint").alias("distinct")
+        ),
+    )
+    return let(
+        F.struct(words.alias("words"), lines.alias("lines")),
+        lambda c: F.struct(
+            c["words"]["all"].alias("n_words"),
+            c["words"]["distinct"].alias("n_distinct_words"),
+            c["words"]["repeated"].alias("n_repeat_words"),
+            c["lines"]["all"].alias("n_lines"),
+            (c["lines"]["all"] - c["lines"]["distinct"]).alias("n_dup_lines"),
+            F.char_length(F.translate(text, " " + SPACES, "")).cast("bigint").alias("word_chars"),
+            _removed(text, SYMBOLS).cast("bigint").alias("n_symbols"),
+        ),
+    )
 
-def base_rules(text: Column) -> list[Rule]:
-    """Too few words; too many in repeated windows."""
-    return [
-        Rule("few_words", n_words(text) < 10),
-        Rule("repeated_words", let(space_words(text), lambda w: 100 * n_repeat_words(w) > 20 * F.size(w))),
-    ]
 
+def base_failed(c: Column) -> Column:
+    """Too few words, or too many in repeated windows."""
+    return (c["n_words"] < 10) | (100 * c["n_repeat_words"] > 20 * c["n_words"])
 
-def _monotonous(n_distinct: Column, n: Column) -> Column:
-    """Distinct words grow about with the root of the words; these are below twice the root."""
-    return (n >= 50) & (n_distinct.cast("bigint") * n_distinct < 4 * n)
 
+def production_rules(text: Column, c: Column) -> list[Rule]:
+    """The base rules, and limits on symbols, capitals, exclamations, lines, and words.
 
-def production_rules(text: Column) -> list[Rule]:
-    """The base rules, and limits on symbols, capitals, exclamations, lines, and word length."""
-    capitals = _removed(text, CAPITALS)
+    ``c`` are the text's ``counts``; capitals and exclamations are counted only in
+    texts that come to these rules. Distinct words grow about with the root of the
+    words: those of a monotonous text are below twice the root.
+    """
+    distinct, n = c["n_distinct_words"], c["n_words"]
     return [
-        *base_rules(text),
-        Rule("symbols", 10 * n_symbols(text) > n_words(text)),
-        Rule("capitals", capitals > _removed(text, SMALL)),
-        Rule("exclamations", 2 * _removed(text, "!") > n_words(text)),
-        Rule(
-            "repeated_lines",
-            let(_content_lines(text), lambda x: 2 * (F.size(x) - F.size(F.array_distinct(x))) > F.size(x)),
-        ),
-        Rule(
-            "few_distinct_words",
-            let(space_words(text), lambda w: let(F.size(F.array_distinct(w)), lambda d: _monotonous(d, F.size(w)))),
-        ),
-        Rule("long_words", word_chars(text) > 15 * n_words(text)),
+        Rule("few_words", n < 10),
+        Rule("repeated_words", 100 * c["n_repeat_words"] > 20 * n),
+        Rule("symbols", 10 * c["n_symbols"] > n),
+        Rule("capitals", _removed(text, CAPITALS) > _removed(text, SMALL)),
+        Rule("exclamations", 2 * _removed(text, "!") > n),
+        Rule("repeated_lines", 2 * c["n_dup_lines"] > c["n_lines"]),
+        Rule("few_distinct_words", (n >= 50) & (distinct * distinct < 4 * n)),
+        Rule("long_words", c["word_chars"] > 15 * n),
     ]
 
 
 def estimates(rows: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Estimate]:
-    """Rejections and seconds of each rule over about ``sample_rows`` of the rows, best first."""
+    """Rejections and seconds of each rule over about ``sample_rows`` of the texts, best first.
+
+    The rules may use the columns ``text`` and ``counts``.
+    """
     total = rows.count()
-    sample = written(rows.sample(fraction=min(1.0, sample_rows / max(1, total)), seed=3), "rules-sample")
+    sample = rows.sample(fraction=min(1.0, sample_rows / max(1, total)), seed=3)
+    sample = written(sample.withColumn("counts", counts(F.col("text"))), "rules-sample")
 
     def run(condition: Column) -> tuple[int, float]:
         began = time.perf_counter()
@@ -179,25 +193,19 @@ def cascade(rules: list[Rule]) -> Column:
     return verdict
 
 
-def judged(documents: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS, as_name: str = "rejected_by") -> DataFrame:
-    """The documents with the rule that rejects each, by the cascade in its best order."""
-    body = F.coalesce(quoted(text).cast("string"), F.lit(""))
-    texts = documents.select(body.alias("text"))
-    order = [e.rule.name for e in estimates(texts, production_rules(F.col("text")), sample_rows)]
-    rules = sorted(production_rules(body), key=lambda rule: order.index(rule.name))
-    return documents.withColumn(as_name, cascade(rules))
+def judged(
+    documents: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS, as_name: str = "rejected_by"
+) -> DataFrame:
+    """Each document's other columns (``row``), its ``text`` and ``counts``, and the rule that rejects it."""
+    frame = documents.select(*packed(documents, text))
+    body = F.coalesce("text", F.lit(""))
+    sample_of = documents.select(F.coalesce(quoted(text).cast("string"), F.lit("")).alias("text"))
+    rules = production_rules(F.col("text"), F.col("counts"))
+    order = [e.rule.name for e in estimates(sample_of, rules, sample_rows)]
+    rules = sorted(production_rules(body, F.col("counts")), key=lambda rule: order.index(rule.name))
+    return frame.withColumn("counts", counts(body)).withColumn(as_name, cascade(rules))
 
 
-def base_counts(documents: DataFrame, text: str = "text") -> list[Column]:
-    """The columns ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``."""
-    body = F.coalesce(quoted(text).cast("string"), F.lit(""))
-    words = let(
-        space_words(body),
-        lambda w: F.struct(F.size(w).cast("bigint").alias("n_words"), n_repeat_words(w).alias("n_repeat_words")),
-    )
-    return [
-        words.alias("words"),
-        word_chars(body).alias("word_chars"),
-        n_symbols(body).alias("n_symbols"),
-        n_dup_lines(body).alias("n_dup_lines"),
-    ]
+def keep_accepted(documents: DataFrame, text: str = "text") -> DataFrame:
+    """The documents that no rule rejects, with their columns."""
+    return unpacked(judged(documents, text).where(F.col("rejected_by").isNull()), documents.columns, text)

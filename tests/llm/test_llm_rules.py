@@ -29,8 +29,8 @@ def test_repeated_words_agree_with_brute_force(spark, docs):
 
 def test_counts(docs):
     row = docs(["a#b é\U0001f600|\n\n x\nx \nx\r\n x\n"])
-    found = row.select(*rules.base_counts(row)).first()
-    assert (found.words.n_words, found.word_chars, found.n_symbols, found.n_dup_lines) == (6, 10, 2, 1)
+    found = row.select(rules.counts(F.col("text")).alias("counts")).first().counts
+    assert (found.n_words, found.word_chars, found.n_symbols, found.n_dup_lines) == (6, 10, 2, 1)
 
 
 def test_order_does_not_change_what_is_kept(spark, docs):
@@ -38,14 +38,16 @@ def test_order_does_not_change_what_is_kept(spark, docs):
         " ".join(f"w{k * j % 97}" for j in range(60)) for k in range(1, 30)
     ]
     frame = docs(texts)
-    all_rules = rules.production_rules(F.coalesce(F.col("text"), F.lit("")))
+    all_rules = rules.production_rules(F.col("text"), F.col("counts"))
+    counted = frame.withColumn("counts", rules.counts(F.col("text")))
     kept = []
     for order in (all_rules, all_rules[::-1]):
-        rows = frame.withColumn("by", rules.cascade(order)).collect()
+        rows = counted.withColumn("by", rules.cascade(order)).collect()
         kept.append([r.doc_id for r in rows if r.by is None])
     assert kept[0] == kept[1]
     judged = rules.judged(frame).collect()
-    assert [r.doc_id for r in judged if r.rejected_by is None] == kept[0]
+    assert [r.row.doc_id for r in judged if r.rejected_by is None] == kept[0]
+    assert [r.doc_id for r in rules.keep_accepted(frame).collect()] == kept[0]
 
 
 def test_estimates_are_ordered_by_rejections_per_second(docs):
@@ -67,8 +69,8 @@ def test_cascade_stops_at_the_first_rule_that_rejects(spark):
 
 
 def test_awkward_documents(awkward, nothing):
-    judged = rules.judged(awkward)
-    assert judged.columns == [*awkward.columns, "rejected_by"]
-    by = {(r.doc_id, r.text): r.rejected_by for r in judged.collect()}
+    by = {(r.row.doc_id, r.text): r.rejected_by for r in rules.judged(awkward).collect()}
     assert sum(v is None for v in by.values()) == 3 and by[(1, None)] is not None
-    assert rules.judged(nothing).collect() == []
+    kept = rules.keep_accepted(awkward)
+    assert kept.schema == awkward.schema and kept.count() == 4
+    assert rules.keep_accepted(nothing).collect() == []

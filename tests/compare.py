@@ -49,3 +49,8 @@ def differences(frame, db, sql: str) -> list[str]:
         *(f"missing {row}" for row in list(missing)[:3]),
         *(f"extra {row}" for row in list(extra)[:3]),
     ]
+
+
+def rows(frame):
+    """Rows as a sorted list of tuples."""
+    return sorted((tuple(r) for r in frame.collect()), key=repr)

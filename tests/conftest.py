@@ -46,8 +46,3 @@ def landing(tmp_path):
 
     put.folder = str(tmp_path / "landing")
     return put
-
-
-def rows(frame):
-    """Rows as a sorted list of tuples."""
-    return sorted((tuple(r) for r in frame.collect()), key=repr)

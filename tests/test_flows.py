@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.inputs import new_prefix, workbook
-from conftest import rows
+from compare import rows
 from strataline import fixed_values as fixed
 from strataline.__main__ import main as command_line
 from strataline.functions.values import snake_case

@@ -3,7 +3,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from compare import rows
 from strataline.functions.text import clean_customers, clean_email, clean_name, clean_phone
 from strataline.functions.values import money, or_unknown, parse_date, snake_case
 

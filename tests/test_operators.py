@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from compare import rows
 from strataline.operators.dedupe import distinct_rows, latest_per_key, latest_per_key_by_max
 from strataline.operators.enrich import Dimension, enrich, hot_keys, measured_bytes
 from strataline.operators.incremental import high_water_mark, latest_batch, newer_than

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from checks.inputs import workbook
-from conftest import rows
+from compare import rows
 from strataline import fixed_values as fixed
 from strataline.functions.values import snake_case
 from strataline.operators.quality import clean_rows, is_empty, quarantine, row_count, split_keyless

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from strataline.llm import (
     decontaminate,
+    divergence,
+    interactions,
     licenses,
     linededup,
     mixing,
+    packing,
     quality,
     rules,
     simhash,
@@ -151,6 +154,25 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.taken(mix)
 
 
+def op11_interactions(spark: SparkSession, sf: str) -> DataFrame:
+    marked = interactions.masks(table(spark, sf, "documents", "doc_id", "text", "source"))
+    return interactions.audit(interactions.mask_counts(marked, table(spark, sf, "labels", "doc_id", "quality", "toxic")))
+
+
+def op12_packing(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path(packing.VOCABULARY)
+    packed = packing.pack(packing.pieces(table(spark, sf, "documents", "doc_id", "text"), vocabulary))
+    return packed.select(
+        F.col(f"{ROW}.doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op13_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit(table(spark, sf, "documents", "text", "lang", "source"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality": op2_quality,
@@ -162,6 +184,9 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "op11_interactions": op11_interactions,
+    "op12_packing": op12_packing,
+    "op13_divergence": op13_divergence,
 }
 # Lines are compared as texts, runs as the lines joined; the shortest run with 50 words
 # from each line, forwards and backwards.
@@ -312,9 +337,96 @@ left join best b on p.page_id = b.page_id and p.host = b.host and p.path = b.pat
 left join listed l on l.address = p.host || p.path
 """
 
+OP11_SQL = r"""
+with docs as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), known as (
+  select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic
+  from labels where doc_id is not null group by doc_id
+), failed as (
+  select d.part, coalesce(k.good, 0) as good, coalesce(k.toxic, 0) as toxic, [
+    len(w) < 50,
+    100 * len(list_distinct(w)) < 65 * len(w),
+    100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 5 * length(text),
+    regexp_matches(text, '[#$%&*|]'),
+    coalesce(min(d.doc_id) over (partition by text) < d.doc_id, false)] as fails
+  from docs d left join known k on d.doc_id = k.doc_id
+), counted as (
+  select part, fails, count(*) as n, sum(good) as good, sum(toxic) as toxic from failed group by all
+), letters(k) as (
+  values (1), (2), (3), (4), (5)
+), orders as (
+  select [a.k, b.k, c.k, d.k, e.k] as ks from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5
+), steps as (
+  select array_to_string(list_transform(ks, lambda x: substr('ABCDE', x, 1)), '') as filter_order,
+    step, ks[step] as own, ks[1:step - 1] as before
+  from orders, (select unnest(range(1, 6)) as step)
+), judged as (
+  select c.*, s.filter_order, s.step, s.own, c.fails[s.own] as here,
+    len(list_filter(s.before, lambda x: c.fails[x])) > 0 as earlier,
+    len(list_filter(c.fails, lambda x: x)) as n_fails
+  from counted c, steps s
+), summed as (
+  select part, filter_order, step, own,
+    cast(coalesce(sum(n) filter (not here and not earlier), 0) as bigint) as kept,
+    cast(coalesce(sum(n) filter (here and not earlier), 0) as bigint) as removed,
+    cast(coalesce(sum(n) filter (here and earlier), 0) as bigint) as redundant,
+    cast(coalesce(sum(n) filter (here and n_fails = 1), 0) as bigint) as unique_fails,
+    cast(coalesce(sum(good) filter (here and not earlier), 0) as bigint) as good_lost,
+    cast(coalesce(sum(toxic) filter (here and not earlier), 0) as bigint) as toxic_lost
+  from judged group by all
+)
+select * exclude (own), cast(sum(removed) over (partition by part, own) as bigint) as shapley from summed
+"""
+
+OP13_SQL = r"""
+with docs as (
+  select row_number() over () as rid, coalesce(lang, '') as lang, coalesce(source, '') as source, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents
+), found as (
+  select lang, source, term, count(*) as n, count(distinct rid) as docs
+  from (select rid, lang, source, unnest(w) as term from docs) group by all
+), kept as (
+  select lang, term, sum(n)::hugeint as n from found group by lang, term having sum(docs) >= 3
+), groups as (
+  select d.lang, d.source, coalesce(t.total, 0)::hugeint as total
+  from (select distinct lang, source from docs) d left join (
+    select lang, source, sum(n) as total from found semi join kept using (lang, term) group by all
+  ) t on d.lang = t.lang and d.source = t.source
+), langs as (
+  select lang, count(*)::hugeint as v, sum(n)::hugeint as total from kept group by lang
+), shares as (
+  select g.lang, g.source, k.term, coalesce(f.n, 0) as n,
+    1 + 1000000000::hugeint * (coalesce(f.n, 0) + 1) // (g.total + l.v) as p,
+    1 + 1000000000::hugeint * (k.n + 1) // (l.total + l.v) as q
+  from groups g join kept k on g.lang = k.lang join langs l on l.lang = g.lang
+  left join found f on f.lang = g.lang and f.source = g.source and f.term = k.term
+), summed as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+), pairs as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(s.value, 0)::bigint as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join summed s on s.lang = a.lang and s.source = a.source and s.item = b.source
+), above as (
+  select lang, source, 'term' as part, term as item, ((p - q) * (p - q) // q)::bigint as value
+  from shares where n > 0 and p > q
+), ranked as (
+  select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank
+  from (select * from pairs union all select * from above)
+)
+select * from ranked where part = 'pair' or rank <= 200
+"""
+
 ORACLES = {
     "op1_decontaminate": OP1_SQL,
     "op3_quality_rules": OP3_SQL,
     "op6_url_filter": OP6_SQL,
     "op8_line_dedup": OP8_SQL,
+    "op11_interactions": OP11_SQL,
+    "op13_divergence": OP13_SQL,
 }

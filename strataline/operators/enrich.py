@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from strataline.functions.values import or_unknown
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
 _ROW_OVERHEAD = 32
 
+LEAST_SHARE = 1 / 16_384
+"""No key with a smaller share of the facts is treated as hot: there would be too many to track."""
+# A sketch of m keys is off by 3.5 / m of the facts at most, and returns the keys that it
+# counts above that, so those above 7 / m are all among them.
+_TRACKED_EACH = 7
+_HOT = "_is_hot"
+
 
 @dataclass(frozen=True)
 class Dimension:
@@ -31,10 +40,11 @@ class Dimension:
       it the join is split.
     * ``broadcast``: what ``measured`` comes to within the limit.
     * ``split``: keys with more facts than an even part of a shuffle partition are
-      looked for first (two passes over the key column). Their dimension rows, as
-      many as there are shuffle partitions at most, are broadcast to their facts;
-      facts without a key need no row. Only the other facts are shuffled. Without
-      such keys it is a plain join. ``hot_share`` overrides what counts as hot.
+      looked for first, by a sketch of bounded size and one exact count. Their
+      dimension rows, which have to fit ``broadcast_limit`` as well, are broadcast to
+      their facts; facts without a key need no row. Only the other facts are
+      shuffled. Without such keys it is a plain join. ``hot_share`` overrides what
+      counts as hot.
     """
 
     rows: DataFrame
@@ -67,28 +77,37 @@ def is_broadcast(dimension: Dimension) -> bool:
     return dimension.join == "broadcast"
 
 
-def hot_keys(facts: DataFrame, key: str, share: float) -> set:
-    """Keys holding more than ``share`` of all facts.
+@dataclass(frozen=True)
+class HotKeys:
+    """The keys with many facts (``key``, ``n``), the facts without a key, and the number of all facts."""
+
+    counts: DataFrame
+    missing: int
+    total: int
+
+
+def hot_keys(facts: DataFrame, key: str, share: float) -> HotKeys:
+    """The keys holding more than ``share`` of all facts.
 
-    Missing keys count as one key, None. Fewer than ``1 / share`` keys qualify,
-    whatever the data, so the result is bounded. Neither pass shuffles by key:
-    the first keeps a bounded sketch for each task, the second counts just the
-    candidates, exactly.
+    A share below ``LEAST_SHARE`` counts as that, so fewer than ``1 / LEAST_SHARE`` keys
+    qualify, whatever the data and however many shuffle partitions there are. Neither
+    pass shuffles by key: each task of the first keeps a heavy-hitter sketch of as many
+    keys as finds every key above the share for certain, and the sketches are merged; the second
+    counts just the candidates, exactly.
     """
-    keys = facts.select(key)
-    sketch = keys.freqItems([key], share / 2).first()
-    found = [(value,) for value in (sketch[0] or []) if value is not None]
+    share = max(share, LEAST_SHARE)
+    tracked = math.ceil(_TRACKED_EACH / share)
+    keys = facts.select(F.col(key).alias("key"))
+    sketch = F.expr(f"approx_top_k(key, {tracked}, {tracked}) FILTER (WHERE key IS NOT NULL)")
+    total, present, found = keys.agg(F.count(F.lit(1)), F.count("key"), sketch).first()
     spark = facts.sparkSession
-    candidates = spark.createDataFrame(found, keys.schema).withColumn("key", F.col(key))
-    counts = (
-        keys.join(F.broadcast(candidates), key, "left")
-        .groupBy("key", F.col(key).isNull().alias("missing"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .collect()
-    )
-    total = sum(row.n for row in counts)
-    named = [row for row in counts if row.missing or row.key is not None]
-    return {row.key for row in named if row.n > share * total}
+    schema = StructType([StructField("key", facts.schema[key].dataType), StructField("n", LongType())])
+    # The sketch counts to at least what it says it may be off by, so no candidate is missing.
+    candidates = spark.createDataFrame([(row.item, 0) for row in found], schema).select("key")
+    counts = keys.join(F.broadcast(candidates), "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    kept = [(row.key, row.n) for row in counts.where(F.col("n") > share * total).collect()]
+    hot = spark.createDataFrame(sorted(kept, key=lambda row: -row[1]), schema)
+    return HotKeys(hot, total - present, total)
 
 
 def even_share(facts: DataFrame) -> float:
@@ -97,20 +116,25 @@ def even_share(facts: DataFrame) -> float:
     return 1 / max(2, partitions)
 
 
-def _split_join(facts: DataFrame, lookup: DataFrame, key: str, hot: set) -> DataFrame:
-    if not hot:
-        return facts.join(lookup, key, "left")
-    named = sorted(value for value in hot if value is not None)
+def _rows_of_hot(lookup: DataFrame, key: str, hot: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """The hot keys whose dimension rows together fit the limit, the most frequent first; and those rows."""
+    while True:
+        rows = lookup.join(F.broadcast(hot.select(F.col("key").alias(key))), key, "left_semi")
+        if measured_bytes(rows) <= limit:
+            return hot, rows
+        hot = hot.sparkSession.createDataFrame(hot.take(hot.count() // 2), hot.schema)
 
-    def is_hot(column: Column) -> Column:
-        return column.isin(named) if named else F.lit(False)
 
+def _split_join(facts: DataFrame, lookup: DataFrame, key: str, hot: DataFrame, limit: int) -> DataFrame:
+    hot, rows = _rows_of_hot(lookup, key, hot, limit)
+    named = F.broadcast(hot.select(F.col("key").alias(key), F.lit(True).alias(_HOT)))
+    marked = facts.join(named, key, "left")
     # Facts without a key stay where they are too: the broadcast rows do not match them.
-    stay = F.col(key).isNull() | is_hot(F.col(key))
-    kept = F.broadcast(lookup.where(is_hot(F.col(key))))
-    cold = lookup.where(F.col(key).isNotNull() & ~is_hot(F.col(key)))
-    at_rest = facts.where(stay).join(kept, key, "left")
-    return at_rest.unionByName(facts.where(~stay).join(cold, key, "left"))
+    stay = F.col(_HOT) | F.col(key).isNull()
+    at_rest = marked.where(stay).drop(_HOT).join(F.broadcast(rows), key, "left")
+    cold = lookup.join(named, key, "left_anti").where(F.col(key).isNotNull())
+    moved = marked.where(F.col(_HOT).isNull() & F.col(key).isNotNull()).drop(_HOT)
+    return at_rest.unionByName(moved.join(cold, key, "left"))
 
 
 def _join(
@@ -121,7 +145,10 @@ def _join(
         return facts.join(F.broadcast(lookup), key, "left")
     if how == "split":
         share = dimension.hot_share or even_share(facts)
-        return _split_join(facts, lookup, key, hot_keys(counted, key, share))
+        hot = hot_keys(counted, key, share)
+        if hot.counts.isEmpty() and hot.missing <= share * hot.total:
+            return facts.join(lookup, key, "left")
+        return _split_join(facts, lookup, key, hot.counts, dimension.broadcast_limit)
     if how == "auto":
         return facts.join(lookup, key, "left")
     raise ValueError(f"unknown join {dimension.join!r}")

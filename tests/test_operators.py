@@ -166,6 +166,10 @@ def test_every_fact_stays_once_whatever_the_join(spark, join):
     ]
 
 
+def hot_names(facts, key, share):
+    return {row.key for row in hot_keys(facts, key, share).counts.collect()}
+
+
 def test_a_split_join_of_skewed_facts_equals_a_plain_one(spark):
     chance = random.Random(1)
     keys = ["hot"] * 1000 + [f"k{chance.randrange(300)}" for _ in range(1500)] + [None] * 500
@@ -180,7 +184,8 @@ def test_a_split_join_of_skewed_facts_equals_a_plain_one(spark):
             facts, [Dimension(products, "product_id", ["category"], join=join, hot_share=0.1)]
         )
 
-    assert hot_keys(facts, "product_id", 0.1) == {"hot", None}
+    assert hot_names(facts, "product_id", 0.1) == {"hot"}
+    assert hot_keys(facts, "product_id", 0.1).missing == 500
     assert rows(joined("split")) == rows(joined("auto"))
 
 
@@ -203,9 +208,31 @@ def test_equal_names_are_refused(spark):
 
 def test_hot_keys_are_bounded_by_the_share(spark):
     facts = spark.range(1000).select((F.col("id") % 10).alias("k"))
-    assert hot_keys(facts, "k", 0.09) == set(range(10))
-    assert hot_keys(facts, "k", 0.1) == set()
-    assert hot_keys(facts.limit(0), "k", 0.1) == set()
+    assert hot_names(facts, "k", 0.09) == set(range(10))
+    assert hot_names(facts, "k", 0.1) == set()
+    assert hot_names(facts.limit(0), "k", 0.1) == set()
+
+
+def test_every_key_above_the_share_is_found_among_many(spark):
+    # Two hundred keys, each just above the share, among very many that come once.
+    ids = F.col("id")
+    key = F.when(ids % 4 == 0, F.concat(F.lit("h"), (ids / 4).cast("long") % 200)).otherwise(ids.cast("string"))
+    facts = spark.range(0, 400_000, 1, 16).select(key.alias("k"))
+    assert hot_names(facts, "k", 499 / 400_000) == {f"h{n}" for n in range(200)}
+    assert hot_names(facts, "k", 500 / 400_000) == set()
+
+
+def test_the_share_has_a_floor_whatever_the_partitions(spark):
+    facts = spark.range(0, 100_000, 1, 8).select(F.when(F.col("id") < 9, -1).otherwise(F.col("id")).alias("k"))
+    assert hot_names(facts, "k", 1 / 500_000) == {-1}
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 120, 1])
+def test_rows_of_hot_keys_fit_the_limit(spark, limit):
+    facts = spark.range(0, 900, 1, 4).select("id", (F.col("id") % 5).alias("k"))
+    lookup = spark.range(0, 4).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 20).alias("x"))
+    joined = enrich(facts, [Dimension(lookup, "k", ["x"], join="split", hot_share=0.1, broadcast_limit=limit)])
+    assert rows(joined) == [(k, k % 5, "x" * 20 if k % 5 < 4 else None) for k in sorted(range(900), key=lambda n: repr((n, n % 5)))]
 
 
 @few

@@ -73,6 +73,10 @@ class BatchMarks(Log):
     def _of(self, flow: str) -> DataFrame:
         return self.rows().where(F.col("flow") == flow)
 
+    def steps(self, flow: str) -> list[tuple[str, str]]:
+        """All (batch, step) of a flow, in one look."""
+        return [tuple(row) for row in self._of(flow).select("batch", "step").distinct().collect()]
+
     def has(self, flow: str, batch: str, step: str) -> bool:
         wanted = (F.col("batch") == batch) & (F.col("step") == step)
         return not self._of(flow).where(wanted).isEmpty()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections import defaultdict
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,12 +63,16 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
 class BucketedTable:
     """A keyed parquet table, partitioned by a hash of its key.
 
-    A merge reads and rewrites only the buckets the batch has keys for. It goes
-    in two steps, because replacing several partitions is not atomic: the new
-    content of those buckets is written to a staging table and marked, then
-    copied over. A failure before the mark leaves the table untouched; one
-    after it is finished from the staging table by ``recover``, which every
-    merge runs first. One writer at a time.
+    A merge reads only the buckets the batch has keys for, and writes their new content
+    once, into a folder of its own: a *version*. Then the catalog's partitions are pointed
+    there, one bucket after the other. So readers find each bucket whole at any time, old
+    or new. Marks say which versions are written and which are published: a failure
+    before the first mark leaves the table untouched, one after it is finished by
+    ``recover``, which every merge runs first, by pointing again. One writer at a time.
+
+    Where the catalog itself is lost, ``attach`` points each bucket to the latest
+    published version that has it. Superseded folders stay, for queries that still read
+    them, until ``clear_superseded``.
 
     Keys are unique, so a hash spreads them evenly whatever rows they had.
     Choose ``buckets`` so that one holds some hundred megabytes; it is fixed for
@@ -90,39 +96,61 @@ class BucketedTable:
         self.keys, self.version, self.update = list(keys), version, update
         self.null_safe, self.buckets = null_safe, buckets
         self.marks, self.location = marks, location
-        self.staged = f"{name}_staged"
 
     def create(self) -> None:
         columns = f"{self.columns}, {BUCKET} int"
         tables.create_table(self.spark, self.name, columns, self.location, [BUCKET])
-        beside = f"{self.location}_staged" if self.location else None
-        tables.create_table(self.spark, self.staged, columns, beside)
 
     def drop(self) -> None:
         tables.drop_table(self.spark, self.name)
-        tables.drop_table(self.spark, self.staged)
 
     def read(self) -> DataFrame:
         return tables.read(self.spark, self.name, hide=[BUCKET])
 
-    def recover(self) -> None:
-        """Finish a merge that was staged but not copied over."""
-        self._check_buckets()
-        for token in self.marks.pending(self.name, after="staged", before="merged"):
-            self._publish(token, whole=self.marks.has(self.name, token, "whole"))
+    def attach(self) -> None:
+        """Point a newly created table to what was published under an earlier catalog."""
+        steps = self._steps()
+        current: dict[int, str] = {}
+        found = self._written(sorted(steps["staged"] & steps["merged"]))
+        for version in sorted(found):
+            if version in steps["whole"]:
+                current = {}
+            current |= dict.fromkeys(found[version], version)
+        self._point(current)
 
-    def _check_buckets(self) -> None:
+    def recover(self) -> None:
+        """Publish versions that were written but not published to their end."""
+        steps = self._steps()
+        self._check_buckets(steps["buckets"])
+        self._finish(steps)
+
+    def _finish(self, steps: dict[str, set[str]]) -> None:
+        for version in sorted(steps["staged"] - steps["merged"]):
+            buckets = self._written([version]).get(version, [])
+            self._publish(version, buckets, whole=version in steps["whole"])
+            steps["merged"].add(version)
+
+    def _steps(self) -> dict[str, set[str]]:
+        """What has passed each step, in one look at the marks."""
+        passed = defaultdict(set)
+        for batch, step in self.marks.steps(self.name):
+            passed[step].add(batch)
+        return passed
+
+    def _check_buckets(self, known: set[str]) -> None:
         # With another number a key's old row would be looked for in the wrong place.
-        known = self.marks.passed(self.name, "buckets")
         if not known:
             self.marks.add(self.name, [str(self.buckets)], "buckets")
-        elif known != [str(self.buckets)]:
-            raise ValueError(f"{self.name} was made with {known[0]} buckets, not {self.buckets}")
+        elif known != {str(self.buckets)}:
+            raise ValueError(f"{self.name} was made with {min(known)} buckets, not {self.buckets}")
 
     def merge(self, source: DataFrame, token: str) -> None:
         """Upsert ``source``; a token that was merged before is not repeated."""
-        self.recover()
-        if self.marks.has(self.name, token, "merged"):
+        steps = self._steps()
+        self._check_buckets(steps["buckets"])
+        self._finish(steps)
+        version = _next_version(steps["staged"] | steps["merged"], token)
+        if any(_token_of(done) == _token_of(version) for done in steps["merged"]):
             return
         bucket = bucket_of(self.keys, self.buckets)
         # At most ``buckets`` integers come back; they prune the target's scan.
@@ -132,32 +160,88 @@ class BucketedTable:
             merged = merge_frames(
                 target, source, self.keys, self.version, self.update, self.null_safe
             )
-            self._stage(merged)
-            self.marks.add(self.name, [token], "staged")
-            self._publish(token, whole=False)
+            self._stage(merged, version)
+            self.marks.add(self.name, [version], "staged")
+            self._publish(version, touched, whole=False)
         else:
-            self.marks.add(self.name, [token], "merged")
+            self.marks.add(self.name, [version], "merged")
 
     def rebuild(self, rows: DataFrame, token: str) -> None:
         """Replace the whole table by ``rows``, which must have unique keys."""
-        self.recover()
-        self._stage(rows)
-        self.marks.add(self.name, [token], "whole")
-        self.marks.add(self.name, [token], "staged")
-        self._publish(token, whole=True)
-
-    def _stage(self, rows: DataFrame) -> None:
+        steps = self._steps()
+        self._check_buckets(steps["buckets"])
+        self._finish(steps)
+        version = _next_version(steps["staged"] | steps["merged"], token)
+        self._stage(rows, version)
+        self.marks.add(self.name, [version], "whole")
+        self.marks.add(self.name, [version], "staged")
+        self._publish(version, self._written([version]).get(version, []), whole=True)
+
+    # --- versions -----------------------------------------------------------------
+
+    def _folder(self) -> str:
+        place = self.location or tables.location_of(self.spark, self.name)
+        return f"{place}/{_VERSIONS}"
+
+    def _stage(self, rows: DataFrame, version: str) -> None:
         placed = rows.withColumn(BUCKET, bucket_of(self.keys, self.buckets))
-        tables.overwrite(placed, self.staged)
-
-    def _publish(self, token: str, whole: bool) -> None:
-        staged = self.spark.table(self.staged)
-        if whole:
-            buckets = staged.select(BUCKET).distinct()
-            stale = self.spark.table(self.name).select(BUCKET).distinct().subtract(buckets)
-            for row in stale.collect():
-                tables.clear_partition(self.spark, self.name, BUCKET, row[0])
         # One bucket goes to as few files as its size allows: adaptive execution
         # splits a large bucket over tasks and packs small ones together.
-        tables.replace_partitions(staged.hint("rebalance", F.col(BUCKET)), self.name)
-        self.marks.add(self.name, [token], "merged")
+        gathered = placed.hint("rebalance", F.col(BUCKET))
+        gathered.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self._folder()}/{_VERSION}={version}")
+
+    def _written(self, versions: list[str]) -> dict[str, list[int]]:
+        """The buckets that these versions, whose folders are there, have; from the folders' names."""
+        if not versions:
+            return {}
+        columns = f"{self.columns}, {_VERSION} string, {BUCKET} int"
+        folder = self._folder()
+        places = [f"{folder}/{_VERSION}={v}" for v in versions] if len(versions) == 1 else [folder]
+        files = self.spark.read.schema(columns).option("basePath", folder).parquet(*places)
+        found = files.where(F.col(_VERSION).isin(versions)).select(_VERSION, BUCKET).distinct().collect()
+        buckets = defaultdict(list)
+        for version, bucket in found:
+            buckets[version].append(bucket)
+        return buckets
+
+    def _publish(self, version: str, buckets: list[int], whole: bool) -> None:
+        self._point(dict.fromkeys(sorted(buckets), version))
+        if whole:
+            stale = tables.partitions(self.spark, self.name, BUCKET) - set(map(str, buckets))
+            tables.forget_partitions(self.spark, self.name, BUCKET, sorted(stale))
+        self.marks.add(self.name, [version], "merged")
+
+    def _point(self, versions: dict[int, str]) -> None:
+        folder = self._folder()
+        places = {str(b): f"{folder}/{_VERSION}={v}/{BUCKET}={b}" for b, v in versions.items()}
+        tables.point_partitions(self.spark, self.name, BUCKET, places)
+
+    def clear_superseded(self) -> list[str]:
+        """Delete the folders of published versions that no bucket points to any more; returns them.
+
+        A query that began before the last merge may still read them: call it when there is none.
+        """
+        steps = self._steps()
+        written = self._written(sorted(steps["staged"] & steps["merged"]))
+        current = set(tables.partition_places(self.spark, self.name, BUCKET).values())
+        folder, gone = self._folder(), []
+        for version, buckets in written.items():
+            for bucket in buckets:
+                place = f"{_VERSION}={version}/{BUCKET}={bucket}"
+                if not any(used.endswith(f"/{_VERSIONS}/{place}") for used in current):
+                    tables.delete_folder(self.spark, f"{folder}/{place}")
+                    gone.append(place)
+        return sorted(gone)
+
+
+_VERSIONS, _VERSION = "versions", "version_of"
+
+
+def _next_version(known: set[str], token: str) -> str:
+    """A name after all known ones, with a digest of the token behind the number."""
+    number = 1 + max((int(name.split("-")[0]) for name in known), default=0)
+    return f"{number:08d}-{hashlib.sha256(token.encode()).hexdigest()[:16]}"
+
+
+def _token_of(version: str) -> str:
+    return version.split("-")[1]

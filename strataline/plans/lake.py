@@ -96,10 +96,11 @@ class Lake:
     def attach(self) -> Lake:
         """Create the tables in a new catalog over the data of an earlier one."""
         self.create()
-        others = (self.products, self.customers, self.marks, self.files)
         by_batch = [*self.bronze.values(), self.order_enrich, self.kpi_table]
-        for name in [*by_batch, *(t.name for t in others)]:
+        for name in [*by_batch, self.marks.name, self.files.name]:
             tables.recover_partitions(self.spark, name)
+        for keyed in (self.products, self.customers):
+            keyed.attach()
         return self
 
     def _create(self, name: str, columns: str, partitioned_by: list[str]) -> None:

@@ -105,3 +105,55 @@ def clear_partition(spark: SparkSession, name: str, column: str, value: int | st
         f"INSERT OVERWRITE TABLE {name} PARTITION ({column} = {value}) SELECT * FROM {{none}}",
         none=spark.createDataFrame([], StructType(kept)),
     )
+
+
+# --- partitions at places of their own -------------------------------------------
+
+
+def location_of(spark: SparkSession, name: str) -> str:
+    lines = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    return next(line.data_type for line in lines if line.col_name == "Location")
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def partitions(spark: SparkSession, name: str, column: str) -> set[str]:
+    """The values of the only partition column, as text."""
+    found = spark.sql(f"SHOW PARTITIONS {name}").collect()
+    return {row.partition.removeprefix(f"{column}=") for row in found}
+
+
+def partition_places(spark: SparkSession, name: str, column: str) -> dict[str, str]:
+    """Where the catalog says each partition lies."""
+    places = {}
+    for value in partitions(spark, name, column):
+        lines = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({column} = {value})").collect()
+        places[value] = next(line.data_type for line in lines if line.col_name == "Location")
+    return places
+
+
+def point_partitions(spark: SparkSession, name: str, column: str, places: dict[str, str]) -> None:
+    """Let partitions (by an integer) lie at these folders; each changes at once, none is ever absent."""
+    known = partitions(spark, name, column)
+    new = {value: place for value, place in places.items() if value not in known}
+    if new:
+        parts = " ".join(f"PARTITION ({column} = {v}) LOCATION {_literal(p)}" for v, p in new.items())
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+    for value, place in places.items():
+        if value in known:
+            spark.sql(f"ALTER TABLE {name} PARTITION ({column} = {value}) SET LOCATION {_literal(place)}")
+
+
+def forget_partitions(spark: SparkSession, name: str, column: str, values: Sequence[str]) -> None:
+    """Take partitions out of an external table's catalog entry; their files stay."""
+    if values:
+        parts = ", ".join(f"PARTITION ({column} = {value})" for value in values)
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
+
+
+def delete_folder(spark: SparkSession, place: str) -> None:
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(place)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -193,6 +193,19 @@ def write_order_documents(spark: SparkSession, sf: str) -> str:
     return folder
 
 
+def write_order_documents_with_faults(spark: SparkSession, sf: str) -> str:
+    """Orders as one JSON array per file, each of a fixed range of keys. Those of status P have
+    a text where a number goes."""
+    document = F.floor(F.col("o_orderkey") / ORDERS_PER_DOCUMENT).alias("document")
+    bad = F.to_json(F.col("order").withField("Price", F.lit("n/a")))
+    element = F.when(F.col("o_orderstatus") == "P", bad).otherwise(F.to_json("order"))
+    text = F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list(element)), ",\n"), F.lit("]"))
+    folder = scratch(spark, "order-documents")
+    documents = order_objects(spark, sf).groupBy(document).agg(text.alias("value"))
+    documents.write.partitionBy("document").text(folder)
+    return folder
+
+
 def write_order_lines(spark: SparkSession, sf: str) -> str:
     """Orders as JSON lines; those of status P have a text where a number goes."""
     good = F.to_json("order")

@@ -175,7 +175,7 @@ ORACLES: dict[str, str] = {
     "profit_from_view": _report("order_year", "category"),
     "order_enrich": _ENRICHED.format(sales=_SALES),
     "order_enrich_measured": _ENRICHED.format(sales=_SALES),
-    "order_enrich_salted": _ENRICHED.format(
+    "order_enrich_split": _ENRICHED.format(
         sales=f"""select * replace (case when returned then 1 else customer_id end as customer_id,
                                     case when returned then product_id end as product_id)
                   from ({_SALES})"""
@@ -272,6 +272,15 @@ ORACLES: dict[str, str] = {
     "json_documents_clean": f"select {_ORDERS} from ({_DOCUMENTS}) where not broken",
     "json_documents_quarantine": f"""
         select count(distinct document) as n_rows from ({_DOCUMENTS}) where broken""",
+    "json_elements_clean": f"select {_ORDERS} from orders where o_orderstatus <> 'P'",
+    # A set-aside element is written anew: names in order, numbers without trailing zeros.
+    "json_elements_quarantine": f"""
+        select {_ORDER_COLUMNS.format(price='cast(null as double)')},
+               '{{"Customer ID":"' || o_custkey || '","Discount":0,"Order Date":"' || day
+               || '","Order ID":"O-' || o_orderkey || '","Price":"n/a","Product ID":"P","Profit":'
+               || regexp_replace(cast(o_totalprice as varchar), '[.]0$', '') || ',"Quantity":1,"Row ID":' || o_orderkey || ',"Ship Date":"' || day
+               || '","Ship Mode":"' || o_orderpriority || '"}}' as raw_text
+        from (select *, strftime(o_orderdate, '%-d/%-m/%Y') as day from orders) where o_orderstatus = 'P'""",
     "json_lines_clean": f"select {_ORDERS} from orders where o_orderstatus <> 'P'",
     "json_lines_quarantine": f"""
         select {_ORDER_COLUMNS.format(price='cast(null as double)')}
@@ -282,6 +291,9 @@ ORACLES: dict[str, str] = {
         select event_id, user_id, event_type, value from events
         where ts >= timestamp '2024-01-16 00:00:00'""",
     "stream_ingest_orders": f"select {_ORDERS} from orders",
+    "stream_orders_once": f"""
+        select {_ORDERS}, cast(case when o_orderstatus = 'P' then 2 else 1 end as integer) as came_on
+        from orders""",
     "stream_upsert_customers": """
         select c_custkey as customer_id, c_name as customer_name,
                case when c_acctbal < 0 then lower(c_mktsegment) else c_mktsegment end as segment,
@@ -304,3 +316,4 @@ ORACLES: dict[str, str] = {
         from ({_END_TO_END}) group by 1, 2 order by 1, 2""",
     "end_to_end_orders": _END_TO_END,
 }
+ORACLES["order_enrich_salted"] = ORACLES["order_enrich_split"]

@@ -26,7 +26,7 @@ from strataline.operators.quality import clean_rows, split_keyless
 from strataline.plans import gold
 from strataline.plans.lake import BATCH, Lake, batch_name, load_time
 from strataline.sources import tables
-from strataline.sources.files import read_csv, read_json_documents, read_json_lines, stamp
+from strataline.sources.files import read_csv, read_json_elements, read_json_lines, stamp
 from strataline.sources.workbook import read_workbooks
 
 LANDED, REFINED, PUBLISHED = "landed", "refined", "published"
@@ -209,7 +209,7 @@ def load_orders(
     glob: str = "*.json",
 ) -> None:
     """``lines``: the files hold JSON lines instead of one document each."""
-    read_json = read_json_lines if lines else read_json_documents
+    read_json = read_json_lines if lines else read_json_elements
 
     def read(paths: list[str]) -> DataFrame:
         return snake_case(read_json(lake.spark, paths))

@@ -24,6 +24,10 @@ SETTINGS = {
     # Rows are larger in memory than in their files. Size estimates, which decide
     # on broadcasts, have to allow for it.
     "spark.sql.sources.fileCompressionFactor": "3.0",
+    # Keys that streams remember lie on disk, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.ui.enabled": "false",
 }
 

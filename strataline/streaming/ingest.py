@@ -12,16 +12,25 @@ again; use the ledger for such folders.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+import operator
+from collections.abc import Callable, Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from strataline import fixed_values as fixed
 from strataline.functions.values import snake_case
 from strataline.operators.upsert import BucketedTable
 from strataline.plans.flows import land, refine_orders, refine_products
 from strataline.plans.lake import Lake
-from strataline.sources.files import read_csv, read_json_documents, read_json_lines, stamp
+from strataline.sources.files import read_csv, read_json_elements, read_json_lines, stamp
+
+ORDER_KEYS = ("row_id", "order_id")
+MAX_FILE_AGE_INTERVAL = "90 days"
+"""As long as a file stream remembers its files."""
+_ALONE = "_alone"
 
 
 def drain(
@@ -53,6 +62,27 @@ def drain(
         query.stop()
 
 
+def once_within(
+    stream: DataFrame, keys: Sequence[str], delay: str = MAX_FILE_AGE_INTERVAL, time: str = fixed.LOAD_TS
+) -> DataFrame:
+    """The first row of each key, also over micro-batches and restarts.
+
+    The stream's state holds every key for ``delay`` after its time at least, and lets go of
+    it when a later run has passed that time by the delay again, so the delay bounds the
+    state; a key that comes after that counts again. Rows that are older than the latest by
+    more than the delay are dropped, so load times must not go back that far.
+    Rows in which any key is missing, malformed ones among them, all stay.
+
+    Choose ``spark.sql.shuffle.partitions`` before the first run: it fixes the number of
+    parts of the state.
+    """
+    whole = reduce(operator.and_, (F.col(k).isNotNull() for k in keys))
+    # A row without a key gets one that no other row has.
+    alone = F.when(~whole, F.uuid())
+    keyed = stream.withColumn(_ALONE, alone).withWatermark(time, delay)
+    return keyed.dropDuplicatesWithinWatermark([*keys, _ALONE]).drop(_ALONE)
+
+
 def land_stream(
     lake: Lake, flow: str, stream: DataFrame, checkpoint: str, timeout: int | None = None
 ) -> None:
@@ -81,11 +111,18 @@ def load_orders_stream(
     load_ts: datetime | None = None,
     lines: bool = False,
     timeout: int | None = None,
+    once_by: Sequence[str] = (),
     **options: str,
 ) -> None:
-    """Orders from JSON documents or lines: land what is new, then enrich it."""
-    read_json = read_json_lines if lines else read_json_documents
+    """Orders from JSON documents or lines: land what is new, then enrich it.
+
+    With ``once_by`` (``ORDER_KEYS``, say) an order that comes in several files, a file
+    written again under another name among them, lands once.
+    """
+    read_json = read_json_lines if lines else read_json_elements
     stream = stamp(snake_case(read_json(lake.spark, folder, stream=True, **options)), load_ts)
+    if once_by:
+        stream = once_within(stream, once_by)
     land_stream(lake, "orders", stream, checkpoint, timeout)
     refine_orders(lake)
 

@@ -17,10 +17,13 @@ from strataline.plans.lake import Lake, batch_name
 from strataline.sources import tables
 from strataline.sources.files import read_csv, read_json_documents, stamp
 from strataline.streaming.ingest import (
+    ORDER_KEYS,
+    drain,
     land_stream,
     load_orders_stream,
     load_products_stream,
     merge_stream,
+    once_within,
 )
 from test_sources import FIELDS, HEADER, customer, order
 
@@ -293,26 +296,68 @@ def test_products_merge_after_a_failure(lake, landing, monkeypatch, what, name,
     assert got == sorted(expected.items(), key=repr)
 
 
-def test_half_published_buckets_are_finished(lake, landing, monkeypatch):
-    """A failure in the middle of replacing buckets loses a bucket's folder."""
+def test_half_published_buckets_are_finished_and_no_reader_misses_a_row(lake, landing, monkeypatch):
+    """A failure between two buckets; the table has every key at any time."""
     folder = f"{landing.folder}/products"
     products(landing, "one", *(f"P-{i},A,old,N,S,1" for i in range(20)))
     flows.load_products(lake, folder, at(0))
     products(landing, "two", *(f"P-{i},A,new,N,S,1" for i in range(10)))
+    real, seen = type(lake.products)._point, []
+
+    def one_by_one(self, versions):
+        for bucket, version in versions.items():
+            real(self, {bucket: version})
+            seen.append(rows(self.read().select("product_id", "sub_category")))
+            if len(seen) == 2:
+                raise Stop
+
     with monkeypatch.context() as patch, pytest.raises(Stop):
-        failing(patch, type(lake.products), "_publish")
+        patch.setattr(type(lake.products), "_point", one_by_one)
         flows.load_products(lake, folder, at(1))
-    lost = lake.spark.table(lake.products.name).select(F.min("bkt")).first()[0]
-    path = lake.products.location
-    for name in os.listdir(f"{path}/bkt={lost}"):
-        os.remove(f"{path}/bkt={lost}/{name}")
-    lake.spark.catalog.refreshTable(lake.products.name)
-    assert lake.products.read().count() < 20
+    assert all(len(found) == 20 for found in seen)
+    assert 0 < sum(kind == "new" for _, kind in seen[-1]) < 10
     flows.refine_products(lake)
     got = rows(lake.products.read().select("product_id", "sub_category"))
     assert got == sorted([(f"P-{i}", "new" if i < 10 else "old") for i in range(20)], key=repr)
 
 
+def parquet_files(folder):
+    return sorted(f"{where}/{name}" for where, _, names in os.walk(folder) for name in names if name.endswith(".parquet"))
+
+
+def test_a_merge_writes_new_content_once_and_old_folders_can_go(spark, lake, landing):
+    folder, place = f"{landing.folder}/products", lake.products.location
+    products(landing, "one", *(f"P-{i},A,old,N,S,1" for i in range(40)))
+    flows.load_products(lake, folder, at(0))
+    first = parquet_files(place)
+    assert len(first) == 4
+    products(landing, "two", "P-1,A,new,N,S,1")
+    flows.load_products(lake, folder, at(1))
+    added = sorted(set(parquet_files(place)) - set(first))
+    assert len(added) == 1 and "bkt=" in added[0]
+    before = rows(lake.products.read())
+    assert len(lake.products.clear_superseded()) == 1
+    assert rows(lake.products.read()) == before and len(parquet_files(place)) == 4
+    assert lake.products.clear_superseded() == []
+    lake.drop()
+    again = Lake(spark, lake.root, lake.schemas[0].removesuffix("bronze"), buckets=4).attach()
+    assert rows(again.products.read()) == before
+
+
+def test_a_rebuild_survives_a_new_catalog(spark, lake):
+    columns = "product_id string, category string, sub_category string, load_ts timestamp"
+    made = [(f"P-{i}", "c", "s", at(0)) for i in range(20)]
+    lake.products.merge(spark.createDataFrame(made, columns), "first")
+    lake.products.merge(spark.createDataFrame([], columns), "nothing")
+    lake.products.rebuild(spark.createDataFrame(made[:1], columns), "one")
+    lake.products.merge(spark.createDataFrame([("P-0", "d", "s", at(1))], columns), "later")
+    lake.products.merge(spark.createDataFrame([("P-0", "e", "s", at(2))], columns), "first")
+    assert rows(lake.products.read().select("product_id", "category")) == [("P-0", "d")]
+    lake.drop()
+    again = Lake(spark, lake.root, lake.schemas[0].removesuffix("bronze"), buckets=4).attach()
+    assert rows(again.products.read().select("product_id", "category")) == [("P-0", "d")]
+
+
 # --- keyed tables -------------------------------------------------------------------
 
 
@@ -487,6 +532,54 @@ def test_stream_repeats_a_failed_batch_in_place(lake, landing, tmp_path, monkeyp
     assert rows(lake.raw("orders").select("row_id")) == [(1,), (2,), (3,)]
 
 
+def test_a_type_error_in_a_document_costs_one_order(lake, landing, tmp_path):
+    documents(landing, "one", order(1), order(2, **{"Profit": "much"}), order(3))
+    flows.load_orders(lake, f"{landing.folder}/orders", at(0))
+    assert rows(lake.orders().select("row_id")) == [(1,), (3,)]
+    (bad,) = lake.quarantined("orders").collect()
+    assert (bad.row_id, bad.profit) == (2, None) and '"Profit":"much"' in bad._corrupt_record
+
+
+def test_orders_that_come_again_land_once_also_after_a_restart(lake, landing, tmp_path, monkeypatch):
+    folder, checkpoint = f"{landing.folder}/orders", str(tmp_path / "checkpoint")
+
+    def load(hours):
+        load_orders_stream(lake, folder, checkpoint, at(hours), timeout=120, once_by=ORDER_KEYS)
+
+    no_id = order(8, **{"Order ID": None})
+    documents(landing, "one", order(1), order(2), no_id, no_id)
+    load(0)
+    documents(landing, "one-again", order(2), order(1), order(3), order(1, **{"Order ID": "O-other"}))
+    documents(landing, "more", order(3), order(4, **{"Profit": "much"}), order(4, **{"Profit": "much"}))
+    with monkeypatch.context() as patch, pytest.raises(Exception):
+        failing(patch, lake.marks, "add")
+        load(1)
+    load(2)
+    documents(landing, "late", order(4), order(1))
+    load(3)
+    assert rows(lake.orders().select("row_id", "order_id")) == [
+        (1, "O-1"), (1, "O-other"), (2, "O-2"), (3, "O-3"), (8, None), (8, None),
+    ]
+    # An order counts with the first row of its key, well-formed or not.
+    assert lake.quarantined("orders").count() == 1
+
+
+def test_keys_are_forgotten_after_the_delay(spark, landing, tmp_path):
+    folder, checkpoint = f"{landing.folder}/orders", str(tmp_path / "checkpoint")
+    taken = []
+    for day in (0, 10, 40, 140, 141):
+        documents(landing, f"day{day}", order(1), order(day + 2), order(day + 2))
+        stream = stamp(snake_case(read_json_documents(spark, folder, stream=True)), at(24 * day))
+        drain(
+            once_within(stream, ["row_id"], "40 days"),
+            lambda batch, _: taken.extend((day, r.row_id) for r in batch.collect()),
+            checkpoint,
+            120,
+        )
+    # Seen on day 0 and remembered until a run has passed day 80 and come to its end.
+    assert sorted(taken) == [(0, 1), (0, 2), (10, 12), (40, 42), (140, 142), (141, 1), (141, 143)]
+
+
 def test_stream_merges_versions(lake, landing, tmp_path):
     folder, checkpoint = f"{landing.folder}/products", str(tmp_path / "checkpoint")
     for hours, text in enumerate(["old", "new"]):

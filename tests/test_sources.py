@@ -11,7 +11,13 @@ from strataline import fixed_values as fixed
 from strataline.functions.values import snake_case
 from strataline.operators.quality import clean_rows, is_empty, quarantine, row_count, split_keyless
 from strataline.sources import tables
-from strataline.sources.files import read_csv, read_json_documents, read_json_lines, stamp
+from strataline.sources.files import (
+    read_csv,
+    read_json_documents,
+    read_json_elements,
+    read_json_lines,
+    stamp,
+)
 from strataline.sources.workbook import read_workbooks
 
 HEADER = "id,kind,sort,title,where,cost\n"
@@ -97,6 +103,67 @@ def test_a_type_error_flags_the_rows_of_its_document_only(spark, landing, tmp_pa
     assert [r["Row ID"] for r in clean_rows(all_rows).collect()] == [1]
 
 
+def test_elements_of_well_formed_documents_are_read_alike(spark, landing, tmp_path):
+    odd = order(3, **{"Order ID": 7, "Ship Mode": None, "Customer ID": 'é "q" \\ \n', "Price": 5, "Profit": 1e-7, "More": [1]})
+    del odd["Product ID"]
+    paths = [
+        landing("a.json", json.dumps([order(1), odd], indent=2)),
+        landing("b.json", json.dumps(order(4, **{"Ship Mode": {"by": ["sea", None]}, "Profit": -12345678.25}), separators=(",", ":"))),
+        landing("c.json", "[]"),
+        landing("d.json", json.dumps([order(n) for n in range(5, 400)])),
+    ]
+    frame = read_json_elements(spark, paths)
+    assert frame.schema == StructType.fromDDL(fixed.ORDER_FEED)
+    assert rows(frame) == rows(read_json_documents(spark, paths))
+    assert is_empty(quarantine(written(spark, frame, tmp_path)))
+
+
+ELEMENTS = [
+    (order(1), True),
+    (order(2, **{"Quantity": "two"}), False),
+    (order(3, **{"Quantity": 1.5}), False),
+    (order(4, **{"Row ID": 12345678901234567890}), False),
+    (order(5, **{"Price": "5"}), False),
+    (order(6, **{"Price": True}), False),
+    (order(7, **{"Price": {}}), False),
+    (7, False),
+    (None, False),
+    ([order(8)], False),
+    (order(9, **{"Price": None}), True),
+    ({}, True),
+]
+
+
+def test_a_type_error_costs_its_own_element_only(spark, landing, tmp_path):
+    path = landing("a.json", json.dumps([element for element, _ in ELEMENTS]))
+    all_rows = written(spark, read_json_elements(spark, [path]), tmp_path)
+    clean = [r["Row ID"] for r in clean_rows(all_rows).collect()]
+    assert sorted(clean, key=repr) == [1, 9, None]
+    texts = [json.loads(r[fixed.CORRUPT]) for r in quarantine(all_rows).collect()]
+    bad = [element for element, good in ELEMENTS if not good]
+    assert sorted(texts, key=repr) == sorted((dict(sorted(b.items())) if isinstance(b, dict) else b for b in bad), key=repr)
+    # What is right in an element stays, as with lines.
+    assert {r["Order ID"] for r in quarantine(all_rows).collect()} == {f"O-{n}" for n in range(2, 8)} | {None}
+
+
+def test_broken_blank_and_repeating_documents(spark, landing, tmp_path):
+    texts = {"broken": '[{"Row ID": 1},,]', "repeats": '[{"Row ID": 1, "Row ID": 2}]', "text": '"x"', "null": "null"}
+    paths = [landing(f"{name}.json", text) for name, text in texts.items()]
+    paths += [landing("blank.json", " \n"), landing("empty.json", ""), landing("good.json", json.dumps(order(1)))]
+    all_rows = written(spark, read_json_elements(spark, paths), tmp_path)
+    assert [r["Row ID"] for r in clean_rows(all_rows).collect()] == [1]
+    assert sorted(r[fixed.CORRUPT] for r in quarantine(all_rows).collect()) == sorted(texts.values())
+
+
+def test_large_documents_go_through_the_other_reader(spark, landing, monkeypatch):
+    from strataline.sources import files
+
+    paths = [landing("a.json", json.dumps([order(n) for n in range(50)])), landing("b.json", json.dumps([order(99)]))]
+    monkeypatch.setattr(files, "ELEMENT_DOCUMENT_BYTES", 1000)
+    assert rows(read_json_elements(spark, paths)) == rows(read_json_documents(spark, paths))
+    assert read_json_elements(spark, paths).count() == 51
+
+
 def test_json_lines_isolate_each_error(spark, landing, tmp_path):
     lines = [json.dumps(order(1)), '{"Row ID": 2,', json.dumps(order(3, **{"Quantity": "two"}))]
     all_rows = written(spark, read_json_lines(spark, landing("o.json", "\n".join(lines))), tmp_path)

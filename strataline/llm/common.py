@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import operator
+import pickle
 import string
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +47,14 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def free_name(name: str, taken: Iterable[str]) -> str:
+    """The name, with as many underscores behind it as it takes to be new."""
+    taken = {other.lower() for other in taken}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def packed(frame: DataFrame, text: str) -> list[Column]:
     """A frame as two columns: its text as ``text``, and ``row``, a struct of all others.
 
@@ -52,7 +62,8 @@ def packed(frame: DataFrame, text: str) -> list[Column]:
     carried twice.
     """
     others = [quoted(c) for c in frame.columns if c != text]
-    return [F.struct(*others, F.lit(0).alias("_")).alias(ROW), quoted(text).cast("string").alias("text")]
+    filler = F.lit(0).alias(free_name("_", frame.columns))
+    return [F.struct(*others, filler).alias(ROW), quoted(text).cast("string").alias("text")]
 
 
 def unpacked(packed_frame: DataFrame, columns: list[str], text: str, new_text: Column | None = None) -> DataFrame:
@@ -103,6 +114,23 @@ def small_enough(table: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     return F.broadcast(table) if measured <= limit else table
 
 
+class Shared:
+    """A value that goes to each worker once, with the classes of this package it is made of.
+
+    A broadcast alone would look for those classes in the worker's own copy of the
+    repository, which there need not be.
+    """
+
+    def __init__(self, spark: SparkSession, value: object):
+        self.content = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get(self) -> object:
+        """The value, for as long as a task wants it: the worker keeps nothing of it."""
+        content = self.content.value
+        self.content.__dict__.pop("_value", None)
+        return pickle.loads(content)
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """An expression with a name for a value it uses more than once."""
     return F.element_at(F.transform(F.array(value), use), 1)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataline.llm.common import ROW, alnum_words, map_rows, packed, utf8_list
+from strataline.llm.common import ROW, Shared, alnum_words, map_rows, packed, quoted, utf8_list
 
 # Phrases with their labels, and notices with label, text and key phrases.
 PHRASES = (
@@ -102,7 +102,7 @@ def document_frequencies(documents: DataFrame, text: str = "text") -> tuple[dict
             [pa.array([w for w, _ in rows]), pa.array([n for _, n in rows], pa.int64())], names=["word", "n"]
         )
 
-    texts = documents.select(F.col(f"`{text}`").cast("string").alias("text"))
+    texts = documents.select(quoted(text).cast("string").alias("text"))
     counted = texts.mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect()
     found = {r.word.encode(): r.n for r in counted}
     return found, found.pop(b"", 0)
@@ -171,11 +171,12 @@ class Index:
 def find_licenses(documents: DataFrame, text: str = "text", keep_text: bool = False) -> DataFrame:
     """The other columns (``row``), the text if wanted, and what the scan finds in it."""
     index = Index(*document_frequencies(documents, text))
-    shared = documents.sparkSession.sparkContext.broadcast(index)
+    shared = Shared(documents.sparkSession, index)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        own = shared.get()
         for batch in batches:
-            found = [shared.value.scan(t) for t in utf8_list(batch)]
+            found = [own.scan(t) for t in utf8_list(batch)]
             yield {name: [f[k] for f in found] for k, name in enumerate(FOUND.names)}
 
     return map_rows(documents.select(*packed(documents, text)), FOUND, work, [ROW, "text"] if keep_text else [ROW])

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataline.llm.common import ROW, map_rows, packed, unpacked, utf8_list
+from strataline.llm.common import ROW, Shared, map_rows, packed, unpacked, utf8_list
 from strataline.llm.training import SAMPLE, labelled_sample
 
 DICTIONARY_BYTES = 1 << 17
@@ -146,10 +146,10 @@ def fit(
 
 def with_scores(documents: DataFrame, scorer: Scorer, text: str = "text", keep_text: bool = False) -> DataFrame:
     """The other columns (``row``), the text if wanted, and its ``score``."""
-    shared = documents.sparkSession.sparkContext.broadcast(scorer)
+    shared = Shared(documents.sparkSession, scorer)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        own = shared.value
+        own = shared.get()
         if own.measure:
             own.measure.start()
         for batch in batches:

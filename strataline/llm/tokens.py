@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from strataline.llm.common import ROW, map_rows, packed
+from strataline.llm.common import ROW, Shared, map_rows, packed
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -102,16 +102,17 @@ def with_token_counts(
     documents: DataFrame, vocabulary: Vocabulary, text: str = "text", keep_text: bool = False
 ) -> DataFrame:
     """The other columns (``row``), the text if wanted, ``n_pretokens`` and ``n_tokens``."""
-    shared = documents.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = Shared(documents.sparkSession, vocabulary)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         known: dict[str, int] = {}
+        own = shared.get()
         for batch in batches:
             cut = [Counter(pretokens(t)) for t in batch.column("text").to_pylist()]
             new = set().union(*cut) - known.keys()
             if len(known) + len(new) > KEPT:
                 known, new = {}, set().union(*cut)
-            known.update(shared.value.counts(new))
+            known.update(own.counts(new))
             yield {
                 "n_pretokens": [sum(c.values()) for c in cut],
                 "n_tokens": [sum(n * known[w] for w, n in c.items()) for c in cut],

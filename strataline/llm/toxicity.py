@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from strataline.llm.common import ROW, alnum_words, map_rows, packed, utf8_list
+from strataline.llm.common import ROW, Shared, alnum_words, map_rows, packed, utf8_list
 from strataline.llm.training import SAMPLE, labelled_sample
 
 FEATURES = 2_048
@@ -154,11 +154,12 @@ def fit(
 
 def with_severity(documents: DataFrame, model: Model, text: str = "text", keep_text: bool = False) -> DataFrame:
     """The other columns (``row``), the text if wanted, ``n_words``, ``severity`` and ``p_toxic``."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(documents.sparkSession, model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        own = shared.get()
         for batch in batches:
-            found = [shared.value.grades(t) for t in utf8_list(batch)]
+            found = [own.grades(t) for t in utf8_list(batch)]
             yield {name: [f[k] for f in found] for k, name in enumerate(RESULT.names)}
 
     return map_rows(documents.select(*packed(documents, text)), RESULT, work, [ROW, "text"] if keep_text else [ROW])

@@ -17,13 +17,18 @@ def test_membership_is_exact(spark, n, most):
     assert all(r.listed == (r.key in listed) for r in rows)
 
 
-def test_levels_shrink(spark):
-    keys = spark.range(20_000).select(F.col("id").cast("string").alias("key"))
-    cascade = urls.Cascade(keys.where("cast(key as int) < 4000"), keys.where("cast(key as int) >= 4000"))
-    sizes = [words for _, words in cascade.filters]
-    assert len(sizes) > 1 and sizes[1] < sizes[0] / 4
-    table, words = cascade.filters[0]
+@pytest.mark.parametrize(("listed", "others"), [(4000, 16_000), (100, 100_000), (3000, 300), (1, 50_000)])
+def test_no_level_is_much_larger_than_the_first(spark, listed, others):
+    keys = spark.range(listed + others).select(F.col("id").cast("string").alias("key"))
+    number = F.col("key").cast("int")
+    cascade = urls.Cascade(keys.where(number < listed), keys.where(number >= listed))
+    sizes = [words for _, words, _ in cascade.filters]
+    assert max(sizes) <= 2 * sizes[0] + 4
+    assert all(later <= earlier / 2 + 4 for earlier, later in zip(sizes[1:], sizes[2:], strict=False))
+    table, words, _ = cascade.filters[0]
     assert len(table.first().words) == words
+    wrong = keys.where(cascade.lists(F.col("key")) != (number < listed))
+    assert wrong.isEmpty()
 
 
 @pytest.mark.parametrize(
@@ -70,3 +75,12 @@ def test_nulls_and_no_pages(spark):
         "a": True, "b": False, "": False,
     }
     assert urls.with_listed(pages.limit(0), F.col("key"), F.col("flag")).collect() == []
+
+
+def test_long_urls_and_clashing_columns(spark, awkward):
+    pages = awkward.withColumns({"listed": F.lit("mine"), "url": F.concat(F.lit("http://H/"), F.coalesce("text", F.lit("")))})
+    found = urls.with_listed(pages, urls.path_of(F.col("url")), F.col("text").contains("prose") | F.col("text").contains("w7"))
+    assert found.columns == [*pages.columns, "listed_"]
+    rows = found.collect()
+    assert len(rows) == pages.count() and all(r.listed == "mine" for r in rows)
+    assert {r.doc_id for r in rows if r.listed_} == {4}

@@ -10,9 +10,9 @@ A word that is in no benchmark item can be in no match, so it ends a suffix: the
 arrays hold only runs of benchmark words.
 
 The benchmark is dealt into blocks of about ``block_words`` words by a hash of
-the item. Each block is broadcast, so what a task holds is bounded whatever the
-benchmark's size; the documents go through the blocks one after the other in the
-same stage, without a shuffle.
+the item, which are broadcast one by one. A task takes each batch of documents
+through the blocks, of which it holds one at a time, so that is bounded whatever the
+benchmark's size. There is one such step and no shuffle.
 
 Defined results: a null or empty text has no words and no matches; an item
 without words has no window; an item with a null id makes hits but is not named;
@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 from strataline.llm.common import (
     ALNUM_WORD,
     ROW,
+    Shared,
     alnum_words,
     map_rows,
     packed,
@@ -160,9 +161,9 @@ class Block:
         found = np.flatnonzero(high > low)
         longest: dict[tuple[int, int], tuple[int, int, int]] = {}
         ends = np.cumsum(high[found] - low[found])
-        # Queries go in pieces of bounded size. A piece ends at an item's end, unless the
-        # item has more places alone: then a match may be reported in parts.
-        a = 0
+        # Queries go in pieces of bounded size, at items' ends if they can. Where an item is
+        # cut, its runs up to the cut wait for those that follow them.
+        a, waiting = 0, None
         while a < len(found):
             b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + PLACES_AT_ONCE)))
             if b < len(found):
@@ -182,12 +183,23 @@ class Block:
             new = np.r_[True, (owner[1:] != owner[:-1]) | (diagonal[1:] != diagonal[:-1]) | (place[1:] != place[:-1] + 1) | (doc[1:] != doc[:-1])]
             first = np.flatnonzero(new)
             run = np.diff(np.r_[first, len(place)])
-            size = self.need[which[first]] + run - 1
-            for k in np.lexsort((place[first], -size)):
+            begin, size = place[first].copy(), self.need[which[first]] + run - 1
+            if waiting is not None and q[0] == waiting[0] + 1 and self.owner[q[0]] == self.owner[waiting[0]]:
+                _, diagonals, begins, lengths = waiting
+                follows = np.flatnonzero(which[first] == q[0])
+                at = np.minimum(np.searchsorted(diagonals, diagonal[first[follows]]), len(diagonals) - 1)
+                joined = (diagonals[at] == diagonal[first[follows]]) & (begins[at] + lengths[at] == begin[follows] + self.need[q[0]] - 1)
+                follows, at = follows[joined], at[joined]
+                begin[follows], size[follows] = begins[at], lengths[at] + run[follows]
+            last = np.r_[first[1:], len(place)] - 1
+            ending = np.flatnonzero(which[last] == q[-1])
+            ending = ending[np.argsort(diagonal[first[ending]])]
+            waiting = (q[-1], diagonal[first[ending]], begin[ending], size[ending]) if len(ending) else None
+            for k in np.lexsort((begin, -size)):
                 at = first[k]
                 key = (int(owner[at]), int(doc[at]))
                 if key not in longest or longest[key][2] < size[k]:
-                    longest[key] = (int(self.inside[which[at]]), int(place[at]), int(size[k]))
+                    longest[key] = (int(begin[k] - diagonal[at]), int(begin[k]), int(size[k]))
             a = b
         return np.cumsum(hit[:-1]) > 0, [(doc, item, *at) for (item, doc), at in longest.items()]
 
@@ -245,42 +257,38 @@ def find_matches(
     total = items.where(F.col("text").isNotNull()).agg(F.sum(n_words)).first()[0] or 0
     n_blocks = max(1, -(-total // block_words))
     dealt = F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks))
-    frame = documents.select(
-        *packed(documents, text),
-        F.lit(None).cast("array<bigint>").alias("spans_before"),
-        F.lit(None).cast(T.ArrayType(MATCH)).alias("matches_before"),
-    )
+    blocks = []
     for k in range(n_blocks):
         rows = items.where(dealt == k).orderBy("id", "text").collect()
         block = Block([(r.id, r.text and r.text.encode()) for r in rows], window)
-        shared = documents.sparkSession.sparkContext.broadcast(block)
-        last = k == n_blocks - 1
-        frame = map_rows(
-            frame, FOUND, _scanner(shared, shard_words), [ROW, "text"] if keep_text or not last else [ROW]
-        )
-        if not last:
-            frame = frame.select(
-                ROW, "text", F.col("spans").alias("spans_before"), F.col("matches").alias("matches_before")
-            )
+        blocks.append(Shared(documents.sparkSession, block))
+    found = map_rows(
+        documents.select(*packed(documents, text)),
+        FOUND,
+        _scanner(blocks, shard_words),
+        [ROW, "text"] if keep_text else [ROW],
+    )
     named = F.filter(F.col("matches.item_id"), lambda name: name.isNotNull())
-    return frame.withColumn("items", F.array_sort(F.array_distinct(named))).drop("spans")
+    return found.withColumn("items", F.array_sort(F.array_distinct(named))).drop("spans")
 
 
-def _scanner(shared, shard_words: int):
+def _scanner(blocks: list[Shared], shard_words: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        only = blocks[0].get() if len(blocks) == 1 else None
         for batch in batches:
             texts = utf8_list(batch)
-            spans = [x or [] for x in batch.column("spans_before").to_pylist()]
-            matches = batch.column("matches_before").to_pylist()
-            out = {f.name: [] for f in FOUND.fields}
-            for (size, hit, found), before in zip(
-                shared.value.scan(texts, spans, shard_words), matches, strict=True
-            ):
-                out["n_words"].append(size)
-                out["n_hit"].append(sum(hit[1::2]) - sum(hit[::2]))
-                out["spans"].append(hit)
-                out["matches"].append((before or []) + [dict(zip(MATCH.names, m, strict=True)) for m in found])
-            yield out
+            sizes, spans, matches = [0] * len(texts), [[] for _ in texts], [[] for _ in texts]
+            for shared in blocks:
+                block = only or shared.get()
+                scanned = block.scan(texts, spans, shard_words)
+                spans = [[]] * len(texts)
+                for k, (size, hit, found) in enumerate(scanned):
+                    sizes[k], spans[k] = size, hit
+                    matches[k] += [dict(zip(MATCH.names, m, strict=True)) for m in found]
+                # Before the next block is loaded.
+                del block
+            hits = [sum(hit[1::2]) - sum(hit[::2]) for hit in spans]
+            yield dict(zip(FOUND.names, (sizes, hits, spans, matches), strict=True))
 
     return scan
 

@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from strataline.llm import decontaminate
 from strataline.llm.common import ROW
 from strataline.llm.decontaminate import clean_documents, find_matches, suffix_array
 
@@ -60,6 +61,33 @@ def test_longest_match_and_its_place(spark, docs):
     assert row.n_hit == 35
 
 
+@pytest.mark.parametrize("at_once", [1, 2, 7, 40])
+def test_matches_are_whole_however_places_are_dealt(monkeypatch, at_once):
+    """One item with very many places: its longest matches as in one piece."""
+    rng = random.Random(at_once)
+    items = [("a", b"x y " * 9 + b"z " + b"x y " * 4), ("b", b"y x y x z x y x y x")]
+    block = decontaminate.Block(items, 4)
+    texts = [" ".join(rng.choice(["x y", "x y", "x y", "z", "q"]) for _ in range(80)).encode() for _ in range(6)]
+    whole = list(block.scan(texts, [[]] * 6, 1 << 20))
+    monkeypatch.setattr(decontaminate, "PLACES_AT_ONCE", at_once)
+    dealt = list(block.scan(texts, [[]] * 6, 1 << 20))
+    sizes = [{(m[0], m[3]) for m in found} for _, _, found in whole]
+    assert [{(m[0], m[3]) for m in found} for _, _, found in dealt] == sizes and any(sizes)
+    assert [x[:2] for x in dealt] == [x[:2] for x in whole]
+    for text, (_, _, found) in zip(texts, dealt, strict=True):
+        for name, item_start, start, size in found:
+            item = dict(items)[name].split()
+            assert item[item_start : item_start + size] == text.split()[start : start + size]
+
+
+def test_many_blocks_are_one_step(spark, docs):
+    items = [(k, f"a{k} b c d e f g") for k in range(40)]
+    found_ = find_matches(docs(["x a3 b c d e f g y", "b c d e f"]), benchmark(spark, items), window=4, block_words=30)
+    text = found_._jdf.queryExecution().executedPlan().toString()
+    assert text.count("MapInArrow") == 1
+    assert [r[2] for r in found(found_)][0] == sorted(map(str, range(40)))
+
+
 def test_suffix_array_is_in_order():
     rng = np.random.default_rng(2)
     for high in (2, 3, 50, 70_000):

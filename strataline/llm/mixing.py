@@ -11,8 +11,10 @@ shards by these quotas: the draws are disjoint, and every copy is used once.
 Within its shard each document gets a random place.
 
 All of it is expressions over DataFrames; draws come from hashes of a seed, so
-every run gives the same mix. Only block tables are put in order by source, never
-documents, and a block's documents are bounded by its words.
+every run gives the same mix. Blocks and shards have the same sizes whatever the totals.
+Only blocks are put in order by source, in ranges, never documents; a block's documents
+are bounded by its words. A node of the tree is a row with a number for each source, so
+sources may be some thousands.
 
 Defined results: a null or empty text has size 0 and is taken as often as its
 block; a null source is a source of its own, the last; rows with the same id and
@@ -30,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strataline.llm.common import ROW, let, packed, quoted, space_words, unpacked, written
+from strataline.llm.common import ROW, free_name, let, packed, quoted, space_words, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -38,8 +40,12 @@ MOST = 2
 BLOCK_WORDS = 1 << 14
 SHARD_WORDS = 1 << 22
 SEED = 20
-MOST_BLOCKS = 1 << 20
-MOST_SHARDS = 1 << 14
+RANGE = 1 << 12
+"""Blocks of a source that are summed in order by one task; their sums are then summed in turn."""
+DEAL_BITS = 12
+"""A source's block copies are numbered in so many parts, as a power of two."""
+LEVELS_AT_ONCE = 8
+"""Levels of the tree that one stage makes."""
 FILL_ROUNDS = 6
 FEW_SOURCES = 100_000
 
@@ -174,6 +180,8 @@ def split_quotas(root: DataFrame, levels: int, seed: int = SEED) -> DataFrame:
     """
     nodes = root.select(F.lit(0).cast("bigint").alias("shard"), "quotas")
     for level in range(levels):
+        if level and level % LEVELS_AT_ONCE == 0:
+            nodes = written(nodes.repartition("shard"), "mix-nodes")
         total = F.aggregate("quotas", F.lit(0).cast("bigint"), lambda a, q: a + q)
         start = F.struct(
             F.col("total").alias("rest"),
@@ -213,7 +221,7 @@ def plan_mix(
         "mix-units",
     )
     totals = units.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("words"))
-    n_blocks = F.greatest(F.lit(1), F.least(F.lit(MOST_BLOCKS), F.ceil(F.col("words") / block_words)))
+    n_blocks = F.greatest(F.lit(1), F.ceil(F.col("words") / block_words))
     passes = F.when(F.col("words") > 0, F.floor(F.col("target") / F.col("words"))).otherwise(0).cast("bigint")
     sources = written(
         targets(totals)
@@ -223,13 +231,25 @@ def plan_mix(
         "mix-sources",
     )
     placed = _in_blocks(units, sources, seed)
-    cumulative = W.partitionBy("number").orderBy("block")
-    blocks = (
+    summed = written(
         placed.groupBy("number", "block")
         .agg(F.sum(F.col("size") * F.col("n")).alias("block_words"), F.first("passes").alias("passes"), F.first("rest").alias("rest"))
-        .withColumn("up_to", F.sum("block_words").over(cumulative))
+        .withColumn("range", F.floor(F.col("block") / RANGE)),
+        "mix-block-sums",
+    )
+    in_order = W.partitionBy("number").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    ranges = summed.groupBy("number", "range").agg(F.sum("block_words").alias("range_words")).select(
+        "number", "range", F.coalesce(F.sum("range_words").over(in_order), F.lit(0)).alias("earlier")
+    )
+    blocks = (
+        summed.join(ranges, ["number", "range"])
+        .withColumn("up_to", F.col("earlier") + F.sum("block_words").over(W.partitionBy("number", "range").orderBy("block")))
+        .drop("range", "earlier")
         .withColumn("before", F.col("up_to") - F.col("block_words"))
-        .withColumn("whole", F.col("passes") + (F.col("up_to") <= F.col("rest")).cast("bigint"))
+        .withColumn(
+            "whole",
+            F.col("passes") + ((F.col("up_to") <= F.col("rest")) & (F.col("passes") < MOST)).cast("bigint"),
+        )
         .withColumn("cut", (F.col("before") < F.col("rest")) & (F.col("up_to") > F.col("rest")))
     )
     blocks = written(blocks.withColumn("room", F.col("rest") - F.col("before")), "mix-blocks")
@@ -285,7 +305,7 @@ def _deal(blocks: DataFrame, shard_words: int, seed: int) -> DataFrame:
         "number", "block", F.explode(F.sequence(F.lit(1).cast("bigint"), n_copies)).alias("copy"), "whole"
     )
     words = blocks.agg(F.sum(F.col("whole") * F.col("block_words"))).first()[0] or 0
-    n_shards = max(1, min(MOST_SHARDS, math.ceil(words / shard_words)))
+    n_shards = max(1, math.ceil(words / shard_words))
     quotas = copies.groupBy("number").agg(F.count("*").alias("quota"))
     listed = F.array_sort(F.collect_list(F.struct("number", "quota")))
     root = quotas.agg(listed.alias("all")).select(F.col("all.number").alias("numbers"), F.col("all.quota").alias("quotas"))
@@ -298,8 +318,14 @@ def _deal(blocks: DataFrame, shard_words: int, seed: int) -> DataFrame:
         .where(F.col("quota") > 0)
         .select("number", "shard", F.explode(F.sequence(F.col("to") - F.col("quota") + 1, F.col("to"))).alias("turn"))
     )
-    permuted = W.partitionBy("number").orderBy(F.xxhash64(F.lit(seed + 2), "block", "copy"), "block", "copy")
-    turns = copies.withColumn("turn", F.row_number().over(permuted).cast("bigint"))
+    copies = copies.withColumn("order", F.xxhash64(F.lit(seed + 2), "block", "copy"))
+    copies = copies.withColumn("part", F.shiftrightunsigned("order", 64 - DEAL_BITS))
+    earlier = W.partitionBy("number").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    parts = copies.groupBy("number", "part").agg(F.count("*").alias("n")).select(
+        "number", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("earlier")
+    )
+    permuted = W.partitionBy("number", "part").orderBy("order", "block", "copy")
+    turns = copies.join(parts, ["number", "part"]).withColumn("turn", F.col("earlier") + F.row_number().over(permuted))
     return turns.join(dealt, ["number", "turn"]).select(
         "number", "block", "shard", (F.col("copy") <= F.col("whole")).alias("whole")
     )
@@ -341,10 +367,12 @@ def mixed(
 ) -> DataFrame:
     """The mix: the documents' columns, a row for each time one is taken, by shard in a random order.
 
-    Added are ``mix_shard`` and ``mix_place``, the place within the shard. Copies of
+    Added are ``mix_shard`` and ``mix_place``, the place within the shard; where the
+    documents have columns of these names, with an underscore behind them. Copies of
     blocks are few enough to meet the documents by a broadcast where Spark finds so;
     documents move once, to their shards.
     """
+    shard, place = (free_name(name, documents.columns) for name in ("mix_shard", "mix_place"))
     row = F.col(ROW)
     units = documents.select(*packed(documents, text)).select(
         ROW,
@@ -377,7 +405,9 @@ def mixed(
         .repartition("mix_shard")
         .sortWithinPartitions("mix_shard", "mix_place")
     )
-    columns = unpacked(dealt.select(ROW, "text"), documents.columns, text).columns
+    values = (F.col("text") if c == text else row.getField(c) for c in documents.columns)
     return dealt.select(
-        *((F.col("text") if c == text else row.getField(c)).alias(c) for c in columns), "mix_shard", "mix_place"
+        *(value.alias(c) for value, c in zip(values, documents.columns, strict=True)),
+        F.col("mix_shard").alias(shard),
+        F.col("mix_place").alias(place),
     )

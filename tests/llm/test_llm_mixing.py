@@ -76,13 +76,39 @@ def test_mix_meets_its_targets(spark, docs):
     assert max(r["count"] for r in by_shard) - min(r["count"] for r in by_shard) <= 5
 
 
+def test_empty_texts_come_no_oftener_than_others(docs):
+    """A source that is taken twice: its block of empty texts too, and not a third time."""
+    texts = ["w " * 500] * 3 + ["x"] * 2 + [""] * 5
+    frame = docs(texts, ["big"] * 3 + ["small"] * 7)
+    times = Counter(r.doc_id for r in mixing.mixed(frame, mixing.plan_mix(frame, block_words=1)).collect())
+    assert all(times[k] == 2 for k in range(3, 10))
+    only = docs(["", "", None], ["a", "a", "b"])
+    assert sorted(r.doc_id for r in mixing.mixed(only, mixing.plan_mix(only)).collect()) == [0, 1, 2]
+
+
+def test_ranges_parts_and_stages_change_nothing(docs, monkeypatch):
+    texts = [" ".join("w" for _ in range(1 + k % 13)) + f" {k}" for k in range(500)]
+    frame = docs(texts, [f"s{k % 3}" for k in range(500)])
+
+    def mix():
+        made = mixing.plan_mix(frame, block_words=16, shard_words=60)
+        return Counter(map(tuple, mixing.taken(made).collect())), Counter(map(tuple, made.copies.collect()))
+
+    whole = mix()
+    assert len({copy[2] for copy in whole[1]}) > 32
+    monkeypatch.setattr(mixing, "RANGE", 3)
+    monkeypatch.setattr(mixing, "DEAL_BITS", 3)
+    monkeypatch.setattr(mixing, "LEVELS_AT_ONCE", 2)
+    assert mix() == whole
+
+
 def test_awkward_documents(awkward, nothing):
     mix = mixing.plan_mix(awkward)
     rows = mixing.taken(mix).collect()
     assert len(rows) == awkward.count()
     assert sum(r["size"] for r in rows if r.doc_id == 4) == 100_000
     mixed = mixing.mixed(awkward, mix)
-    assert mixed.columns == [*awkward.columns, "mix_shard", "mix_place"]
+    assert mixed.columns == [*awkward.columns, "mix_shard_", "mix_place_"]
     assert all(r.taken <= 2 * r["size"] for r in rows)
     words = re.compile(r"[^\x20\x09-\x0D]+")
     in_mix = sum(len(words.findall(r.text or "")) for r in mixed.select("text").collect())

@@ -10,8 +10,8 @@ downwards and drops a pair as soon as the shared bits of its two nodes differ in
 more places than allowed. Links join in the task that finds them, which hands on
 at most one link a fingerprint.
 
-A group beyond ``GROUP_LIMIT`` is dealt again by four parts of its other bits,
-each with the same guarantee, until it is small enough. After five such steps at
+Groups are counted before they are dealt. One beyond ``GROUP_LIMIT`` is dealt by four
+parts of its other bits instead, each with the same guarantee, until it is small enough. After five such steps at
 most 15 bits are open, so a group cannot exceed 32,768 fingerprints.
 
 Defined results: null and empty texts have fingerprint zero and link like any
@@ -105,7 +105,7 @@ def _split(mask: int) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-LINK = "a bigint, b bigint, part bigint"
+LINK = "a bigint, b bigint"
 
 
 def near_links(classes: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
@@ -125,71 +125,44 @@ def near_links(classes: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
             rows = rows.select("fingerprint", F.explode(below).alias("part"))
             masks = sorted({c for m in masks for c in children[m]})
         group = F.xxhash64("part", F.col("fingerprint").bitwiseAND(F.col("part")))
+        rows = rows.withColumn("group", group)
+        large = None
+        if not last:
+            # Counted first, by one row for each group and task, so that no large one is ever in a task.
+            sizes = rows.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
+            large = small_enough(written(sizes.where(F.col("n") > limit).select("group"), "simhash-large"))
+            if large.isEmpty():
+                large = None
+        small = rows if large is None else rows.join(large, "group", "left_anti")
         searched = (
-            rows.select(group.alias("group"), "fingerprint", "part", gray_rank(F.col("fingerprint")).alias("rank"))
+            small.select("group", "fingerprint", gray_rank(F.col("fingerprint")).alias("rank"))
             .repartition("group")
             .sortWithinPartitions("group", "rank")
-            .select("group", "fingerprint", "part")
-            .mapInArrow(_searcher(None if last else limit), LINK)
+            .select("group", "fingerprint")
+            .mapInArrow(_search, LINK)
         )
         found.append(written(searched, "simhash-links"))
-        rows = found[-1].where(F.col("part").isNotNull()).select(F.col("a").alias("fingerprint"), "part")
-        if last or rows.isEmpty():
-            return reduce(DataFrame.unionAll, found).where(F.col("part").isNull()).select("a", "b")
+        if large is None:
+            return reduce(DataFrame.unionAll, found)
+        rows = written(rows.join(large, "group", "left_semi").select("fingerprint", "part"), "simhash-again")
 
 
 def _open_bits(masks: list[int]) -> int:
     return max(64 - (m % (1 << 64)).bit_count() for m in masks)
 
 
-def _searcher(limit: int | None):
-    """Link the fingerprints of each group; a group's rows come one after the other.
-
-    A group of more than ``limit`` rows is not held: its rows go on, with their part,
-    to be dealt again.
-    """
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 3
-        large = None
-        for batch in batches:
-            rows = [batch.column(k).to_numpy() for k in range(3)]
-            if large is not None and len(rows[0]):
-                end = int(np.searchsorted(rows[0] != large, True))
-                yield _put_off(rows[1][:end], rows[2][:end])
-                rows = [x[end:] for x in rows]
-                large = large if not len(rows[0]) else None
-            held = [np.r_[x, y] for x, y in zip(held, rows, strict=True)]
-            if not len(held[0]):
-                continue
+def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Link the fingerprints of each group; a group's rows come one after the other."""
+    held = [np.zeros(0, np.int64)] * 2
+    for batch in batches:
+        held = [np.r_[x, batch.column(k).to_numpy()] for k, x in enumerate(held)]
+        if len(held[0]):
             end = int(np.flatnonzero(np.r_[True, held[0][1:] != held[0][:-1]])[-1])
-            yield from _finished([x[:end] for x in held], limit)
+            if end:
+                yield _links(held[0][:end], held[1][:end].view(np.uint64))
             held = [x[end:] for x in held]
-            if limit is not None and len(held[0]) > limit:
-                large = held[0][0]
-                yield _put_off(*held[1:])
-                held = [x[:0] for x in held]
-        yield from _finished(held, limit)
-
-    return search
-
-
-def _finished(rows: list[np.ndarray], limit: int | None) -> Iterator[pa.RecordBatch]:
-    """Links of whole groups, and the rows of those beyond the limit."""
-    groups, codes, parts = rows
-    if not len(groups):
-        return
-    first = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]])
-    sizes = np.diff(np.r_[first, len(groups)])
-    over = np.repeat(sizes > (len(groups) if limit is None else limit), sizes)
-    if over.any():
-        yield _put_off(codes[over], parts[over])
-    yield _links(groups[~over], codes[~over].view(np.uint64))
-
-
-def _put_off(codes: np.ndarray, parts: np.ndarray) -> pa.RecordBatch:
-    none = pa.nulls(len(codes), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(codes), none, pa.array(parts)], names=["a", "b", "part"])
+    if len(held[0]):
+        yield _links(held[0], held[1].view(np.uint64))
 
 
 def _links(groups: np.ndarray, codes: np.ndarray) -> pa.RecordBatch:
@@ -200,8 +173,7 @@ def _links(groups: np.ndarray, codes: np.ndarray) -> pa.RecordBatch:
     np.minimum.at(smallest, root, signed)
     to = smallest[root]
     own = np.flatnonzero(to != signed)
-    none = pa.nulls(len(own), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(signed[own]), pa.array(to[own]), none], names=["a", "b", "part"])
+    return pa.RecordBatch.from_arrays([pa.array(signed[own]), pa.array(to[own])], names=["a", "b"])
 
 
 def linked(groups: np.ndarray, codes: np.ndarray, distance: int = DISTANCE) -> np.ndarray:
@@ -285,8 +257,9 @@ def near_duplicates(fingerprints: DataFrame, doc_id: Column, limit: int = GROUP_
     joined = classes.join(roots, classes["fingerprint"] == roots["node"], "left").select(
         "fingerprint", F.coalesce("root", "fingerprint").alias("component"), "first_id"
     )
-    smallest = joined.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    return joined.select("fingerprint", "component").join(smallest, "component")
+    # Written, so that a component with very many fingerprints can be split in the join.
+    smallest = written(joined.groupBy("component").agg(F.min("first_id").alias("component_id")), "simhash-smallest")
+    return joined.select("fingerprint", "component").join(small_enough(smallest), "component")
 
 
 def drop_near_duplicates(
@@ -309,7 +282,7 @@ def drop_near_duplicates(
     )
     groups = near_duplicates(prints, F.col("id")).select("fingerprint", "component")
     keyed = written(prints.join(groups, "fingerprint").select("component", "id", "hash", "count", *key), "simhash-keys")
-    first = keyed.groupBy("component").agg(F.min("key").alias("first"))
+    first = small_enough(written(keyed.groupBy("component").agg(F.min("key").alias("first")), "simhash-first"))
     judged = keyed.join(first, "component").withColumn("keep", F.col("key") == F.col("first"))
     goes = written(judged.where(~F.col("keep")).select("id", "hash"), "simhash-goes")
     equal = written(judged.where(F.col("keep") & (F.col("count") > 1)).select("id", "hash"), "simhash-equal")

@@ -54,7 +54,7 @@ def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
-    judged = rules.judged(table(spark, sf, "documents", "doc_id", "text"))
+    judged = rules.judged(table(spark, sf, "documents", "doc_id", "text"), report=True)
     failed = rules.base_failed(F.col("counts"))
     counted = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged.select(

@@ -1,15 +1,18 @@
 """Quality rules as a short-circuit cascade, ordered by rejection per cost.
 
-A rule is a condition that rejects a text. On a sample each rule is run alone and
-timed, and its rejections are counted; the cascade then asks the rules in the order
-of rejections per second. It is one CASE expression, so a text that a rule rejects
-is not shown to the later ones. The order changes the time, and which of several
-rules is named, never whether a text is kept.
-
-All rules are built-in expressions. Counts that are reported for every text anyway
-are made once, and rules use them. The words repeated within a text come from a hash
-of each window of five words: only texts in which two hashes are equal look for
-their places.
+A rule is a condition on a text that rejects it, an expression of its own. On a
+sample each rule is run alone over the texts, several times, and the least time is its
+cost; one more pass says which rules reject which texts. The cascade begins with the rule
+that rejects most for its cost, goes on with the one that rejects most of what is left
+for its cost, and so on. It is one CASE expression, so a text that a rule rejects is
+not shown to the later ones. The order changes the time, and which of several rules is
+named, never whether a text is kept. Costs count in powers of two, so that the order
+does not follow small differences of time.
+
+All rules are built-in expressions. ``judged(report=True)`` also counts words, symbols
+and repetitions of every text for a report; the base rules then read those counts.
+The words repeated within a text come from a hash of each window of five words: only
+texts in which two hashes are equal look for their places.
 
 Defined results: null and empty texts have no words and are rejected for it; a
 text of any length counts whole; repeated rows get the same verdict; no rows give
@@ -18,7 +21,9 @@ no rows; further columns stay as they are.
 
 from __future__ import annotations
 
+import math
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -29,6 +34,7 @@ from strataline.llm.common import SPACES, let, packed, quoted, space_words, unpa
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 SAMPLE_ROWS = 2_000
+REPEATS = 3
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SMALL = CAPITALS.lower()
 WORD = r"[^\x20\x09-\x0D]"
@@ -36,24 +42,20 @@ WORD = r"[^\x20\x09-\x0D]"
 
 @dataclass(frozen=True)
 class Rule:
-    """A name and the condition under which a text is rejected."""
+    """A name and, for a text without nulls, the condition under which it is rejected."""
 
     name: str
-    rejects: Column
+    rejects: Callable[[Column], Column]
 
 
 @dataclass(frozen=True)
 class Estimate:
-    """What the sample says of a rule."""
+    """What the sample says of a rule: texts it rejects of those that earlier rules let through, and seconds."""
 
     rule: Rule
     rejected: float
     seconds: float
 
-    @property
-    def worth(self) -> float:
-        return self.rejected / max(self.seconds, 1e-9)
-
 
 def _removed(text: Column, characters: str) -> Column:
     """How many of these characters the text has."""
@@ -107,29 +109,18 @@ def n_repeat_words(words: Column, window: int = WINDOW) -> Column:
 
 
 def counts(text: Column) -> Column:
-    """What the rules and reports need of a text without nulls, as one struct, each computed once."""
+    """What a report says of a text without nulls, as one struct, each counted once."""
     words = let(
         space_words(text),
-        lambda w: F.struct(
-            F.size(w).cast("bigint").alias("all"),
-            F.size(F.array_distinct(w)).cast("bigint").alias("distinct"),
-            n_repeat_words(w).alias("repeated"),
-        ),
-    )
-    lines = let(
-        _content_lines(text),
-        lambda x: F.struct(
-            F.size(x).cast("bigint").alias("all"), F.size(F.array_distinct(x)).cast("bigint").alias("distinct")
-        ),
+        lambda w: F.struct(F.size(w).cast("bigint").alias("all"), n_repeat_words(w).alias("repeated")),
     )
+    lines = let(_content_lines(text), lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("bigint"))
     return let(
-        F.struct(words.alias("words"), lines.alias("lines")),
-        lambda c: F.struct(
-            c["words"]["all"].alias("n_words"),
-            c["words"]["distinct"].alias("n_distinct_words"),
-            c["words"]["repeated"].alias("n_repeat_words"),
-            c["lines"]["all"].alias("n_lines"),
-            (c["lines"]["all"] - c["lines"]["distinct"]).alias("n_dup_lines"),
+        words,
+        lambda w: F.struct(
+            w["all"].alias("n_words"),
+            w["repeated"].alias("n_repeat_words"),
+            lines.alias("n_dup_lines"),
             F.char_length(F.translate(text, " " + SPACES, "")).cast("bigint").alias("word_chars"),
             _removed(text, SYMBOLS).cast("bigint").alias("n_symbols"),
         ),
@@ -138,74 +129,116 @@ def counts(text: Column) -> Column:
 
 def base_failed(c: Column) -> Column:
     """Too few words, or too many in repeated windows."""
-    return (c["n_words"] < 10) | (100 * c["n_repeat_words"] > 20 * c["n_words"])
+    return _few_words(c["n_words"]) | _repeated_words(c["n_repeat_words"], c["n_words"])
 
 
-def production_rules(text: Column, c: Column) -> list[Rule]:
-    """The base rules, and limits on symbols, capitals, exclamations, lines, and words.
+def _few_words(n: Column) -> Column:
+    return n < 10
+
+
+def _repeated_words(repeated: Column, n: Column) -> Column:
+    return 100 * repeated > 20 * n
+
+
+def _monotonous(words: Column) -> Column:
+    """Distinct words grow about with the root of the words: few are below twice the root."""
+    n, distinct = F.size(words).cast("bigint"), F.size(F.array_distinct(words)).cast("bigint")
+    return (n >= 50) & (distinct * distinct < 4 * n)
+
+
+def production_rules() -> list[Rule]:
+    """The base rules, and limits on symbols, capitals, exclamations, lines, and words."""
+
+    def n_words(text: Column) -> Column:
+        return F.size(space_words(text))
 
-    ``c`` are the text's ``counts``; capitals and exclamations are counted only in
-    texts that come to these rules. Distinct words grow about with the root of the
-    words: those of a monotonous text are below twice the root.
-    """
-    distinct, n = c["n_distinct_words"], c["n_words"]
     return [
-        Rule("few_words", n < 10),
-        Rule("repeated_words", 100 * c["n_repeat_words"] > 20 * n),
-        Rule("symbols", 10 * c["n_symbols"] > n),
-        Rule("capitals", _removed(text, CAPITALS) > _removed(text, SMALL)),
-        Rule("exclamations", 2 * _removed(text, "!") > n),
-        Rule("repeated_lines", 2 * c["n_dup_lines"] > c["n_lines"]),
-        Rule("few_distinct_words", (n >= 50) & (distinct * distinct < 4 * n)),
-        Rule("long_words", c["word_chars"] > 15 * n),
+        Rule("few_words", lambda t: _few_words(n_words(t))),
+        Rule("repeated_words", lambda t: let(space_words(t), lambda w: _repeated_words(n_repeat_words(w), F.size(w)))),
+        Rule("symbols", lambda t: 10 * _removed(t, SYMBOLS) > n_words(t)),
+        Rule("capitals", lambda t: _removed(t, CAPITALS) > _removed(t, SMALL)),
+        Rule("exclamations", lambda t: 2 * _removed(t, "!") > n_words(t)),
+        Rule("repeated_lines", lambda t: let(_content_lines(t), lambda x: 2 * F.size(F.array_distinct(x)) < F.size(x))),
+        Rule("few_distinct_words", lambda t: let(space_words(t), _monotonous)),
+        Rule("long_words", lambda t: F.char_length(F.translate(t, " " + SPACES, "")) > 15 * n_words(t)),
     ]
 
 
-def estimates(rows: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Estimate]:
-    """Rejections and seconds of each rule over about ``sample_rows`` of the texts, best first.
+BASE = ("few_words", "repeated_words")
 
-    The rules may use the columns ``text`` and ``counts``.
-    """
-    total = rows.count()
-    sample = rows.sample(fraction=min(1.0, sample_rows / max(1, total)), seed=3)
-    sample = written(sample.withColumn("counts", counts(F.col("text"))), "rules-sample")
-
-    def run(condition: Column) -> tuple[int, float]:
-        began = time.perf_counter()
-        counted = sample.agg(F.count_if(condition)).first()[0]
-        return counted, time.perf_counter() - began
-
-    # The first run warms up; the time of a condition on nothing is that of the job itself.
-    run(F.lit(1) == F.lit(0))
-    _, idle = run(F.lit(1) == F.lit(0))
-    found = []
-    for rule in rules:
-        rejected, seconds = run(F.coalesce(rule.rejects, F.lit(False)))
-        found.append(Estimate(rule, rejected, max(seconds - idle, 1e-4)))
-    return sorted(found, key=lambda e: (-e.worth, e.seconds, e.rule.name))
-
-
-def cascade(rules: list[Rule]) -> Column:
-    """The name of the first rule in this order that rejects a row, null if none does."""
+
+def estimates(
+    texts: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS, repeats: int = REPEATS
+) -> list[Estimate]:
+    """The rules in the order of the cascade, from about ``sample_rows`` of the texts (``text``, no nulls)."""
+    total = texts.count()
+    sample = written(texts.sample(fraction=min(1.0, sample_rows / max(1, total)), seed=3), "rules-sample")
+    text = F.col("text")
+
+    def seconds(condition: Column) -> float:
+        def once() -> float:
+            began = time.perf_counter()
+            sample.agg(F.count_if(condition)).collect()
+            return time.perf_counter() - began
+
+        once()  # compiles the condition
+        return min(once() for _ in range(repeats))
+
+    idle = seconds(text.isNull())
+    cost = {rule.name: max(seconds(_of(rule, text)) - idle, 1e-3) for rule in rules}
+    cost = {name: 2.0 ** round(math.log2(value)) for name, value in cost.items()}
+    together = F.array_compact(F.array(*(F.when(_of(rule, text), F.lit(rule.name)) for rule in rules)))
+    rejecting = [(set(row.by), row["count"]) for row in sample.groupBy(together.alias("by")).count().collect()]
+    left, order = sorted(rules, key=lambda rule: rule.name), []
+    while left:
+        rejected = {rule.name: sum(n for by, n in rejecting if rule.name in by) for rule in left}
+        best = min(left, key=lambda rule: (-rejected[rule.name] / cost[rule.name], cost[rule.name]))
+        order.append(Estimate(best, rejected[best.name], cost[best.name]))
+        rejecting = [(by, n) for by, n in rejecting if best.name not in by]
+        left.remove(best)
+    return order
+
+
+def _of(rule: Rule, text: Column) -> Column:
+    return F.coalesce(rule.rejects(text), F.lit(False))
+
+
+def cascade(rules: list[Rule], text: Column) -> Column:
+    """The name of the first rule in this order that rejects a text, null if none does."""
     verdict = F.lit(None).cast("string")
     for rule in reversed(rules):
-        verdict = F.when(F.coalesce(rule.rejects, F.lit(False)), F.lit(rule.name)).otherwise(verdict)
+        verdict = F.when(_of(rule, text), F.lit(rule.name)).otherwise(verdict)
     return verdict
 
 
 def judged(
-    documents: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS, as_name: str = "rejected_by"
+    documents: DataFrame,
+    text: str = "text",
+    rules: list[Rule] | None = None,
+    report: bool = False,
+    sample_rows: int = SAMPLE_ROWS,
+    as_name: str = "rejected_by",
 ) -> DataFrame:
-    """Each document's other columns (``row``), its ``text`` and ``counts``, and the rule that rejects it."""
-    frame = documents.select(*packed(documents, text))
-    body = F.coalesce("text", F.lit(""))
-    sample_of = documents.select(F.coalesce(quoted(text).cast("string"), F.lit("")).alias("text"))
-    rules = production_rules(F.col("text"), F.col("counts"))
-    order = [e.rule.name for e in estimates(sample_of, rules, sample_rows)]
-    rules = sorted(production_rules(body, F.col("counts")), key=lambda rule: order.index(rule.name))
-    return frame.withColumn("counts", counts(body)).withColumn(as_name, cascade(rules))
-
+    """Each document's other columns (``row``), its ``text`` and the rule that rejects it.
 
-def keep_accepted(documents: DataFrame, text: str = "text") -> DataFrame:
+    With a ``report`` also its ``counts``, which the base rules then use, before all others.
+    """
+    body = F.coalesce("text", F.lit(""))
+    texts = documents.select(F.coalesce(quoted(text).cast("string"), F.lit("")).alias("text"))
+    order = [e.rule for e in estimates(texts, rules or production_rules(), sample_rows)]
+    frame = documents.select(*packed(documents, text))
+    if report:
+        frame = frame.withColumn("counts", counts(body))
+        c = F.col("counts")
+        by_counts = [
+            Rule(BASE[0], lambda _: _few_words(c["n_words"])),
+            Rule(BASE[1], lambda _: _repeated_words(c["n_repeat_words"], c["n_words"])),
+        ]
+        order = by_counts + [rule for rule in order if rule.name not in BASE]
+    return frame.withColumn(as_name, cascade(order, body))
+
+
+def keep_accepted(documents: DataFrame, text: str = "text", rules: list[Rule] | None = None) -> DataFrame:
     """The documents that no rule rejects, with their columns."""
-    return unpacked(judged(documents, text).where(F.col("rejected_by").isNull()), documents.columns, text)
+    kept = judged(documents, text, rules).where(F.col("rejected_by").isNull())
+    return unpacked(kept, documents.columns, text)

@@ -38,34 +38,55 @@ def test_order_does_not_change_what_is_kept(spark, docs):
         " ".join(f"w{k * j % 97}" for j in range(60)) for k in range(1, 30)
     ]
     frame = docs(texts)
-    all_rules = rules.production_rules(F.col("text"), F.col("counts"))
-    counted = frame.withColumn("counts", rules.counts(F.col("text")))
+    all_rules = rules.production_rules()
     kept = []
     for order in (all_rules, all_rules[::-1]):
-        rows = counted.withColumn("by", rules.cascade(order)).collect()
+        rows = frame.withColumn("by", rules.cascade(order, F.col("text"))).collect()
         kept.append([r.doc_id for r in rows if r.by is None])
     assert kept[0] == kept[1]
-    judged = rules.judged(frame).collect()
-    assert [r.row.doc_id for r in judged if r.rejected_by is None] == kept[0]
+    for report in (False, True):
+        judged = rules.judged(frame, report=report).collect()
+        assert [r.row.doc_id for r in judged if r.rejected_by is None] == kept[0]
     assert [r.doc_id for r in rules.keep_accepted(frame).collect()] == kept[0]
 
 
-def test_estimates_are_ordered_by_rejections_per_second(docs):
-    frame = docs(["a b c"] * 30 + ["a " * 40] * 10).select("text")
-    text = F.col("text")
-    found = rules.estimates(
-        frame, [rules.Rule("none", text.isNull()), rules.Rule("short", F.length(text) < 10)], sample_rows=100
-    )
-    assert [e.rule.name for e in found] == ["short", "none"]
-    assert [e.rejected for e in found] == [30, 0]
+def test_the_cascade_goes_by_what_earlier_rules_leave(docs, monkeypatch):
+    frame = docs(["a b c"] * 30 + ["a " * 40] * 10 + ["b " * 40] * 2).select("text")
+    made = [
+        rules.Rule("none", lambda t: t.isNull()),
+        rules.Rule("short", lambda t: F.length(t) < 10),
+        rules.Rule("short or b", lambda t: (F.length(t) < 10) | F.startswith(t, F.lit("b"))),
+        rules.Rule("a", lambda t: F.startswith(t, F.lit("a"))),
+    ]
+    monkeypatch.setattr(rules.time, "perf_counter", lambda: 0.0)  # all cost the same
+    found = rules.estimates(frame, made, sample_rows=100)
+    assert [(e.rule.name, e.rejected) for e in found] == [("a", 40), ("short or b", 2), ("none", 0), ("short", 0)]
+
+
+def test_dear_rules_come_late(docs):
+    frame = docs(["a b c " * 50] * 30 + ["x"] * 10).select("text")
+    dear = rules.Rule("dear", lambda t: F.length(F.aggregate(F.sequence(F.lit(1), F.lit(3000)), t, lambda a, _: F.reverse(a))) < 5)
+    cheap = rules.Rule("cheap", lambda t: F.length(t) < 5)
+    found = rules.estimates(frame, [dear, cheap], sample_rows=100)
+    assert [e.rule.name for e in found] == ["cheap", "dear"] and found[1].rejected == 0
+
 
+FAILING = rules.Rule("fails", lambda _: F.raise_error(F.lit("asked")).cast("boolean"))
 
-def test_cascade_stops_at_the_first_rule_that_rejects(spark):
-    failing = rules.Rule("fails", F.raise_error(F.lit("asked")).cast("boolean"))
-    frame = spark.range(5).withColumn("by", rules.cascade([rules.Rule("all", F.col("id") >= 0), failing]))
-    assert {r.by for r in frame.collect()} == {"all"}
+
+def test_a_rejected_text_is_not_shown_to_later_rules(spark, docs, monkeypatch):
+    first = rules.Rule("long", lambda t: F.length(t) > 2)
+    frame = docs(["four", "five", "six!"])
+    monkeypatch.setattr(rules, "estimates", lambda _, given, __: [rules.Estimate(r, 1, 1) for r in given])
+    assert rules.keep_accepted(frame, rules=[first, FAILING]).collect() == []
+    assert {r.rejected_by for r in rules.judged(frame, rules=[first, FAILING]).collect()} == {"long"}
     with pytest.raises(Exception, match="asked"):
-        spark.range(5).withColumn("by", rules.cascade([failing])).collect()
+        rules.keep_accepted(docs(["a"]), rules=[first, FAILING]).collect()
+
+
+def test_nothing_is_counted_for_documents_that_are_only_kept(docs):
+    text = rules.keep_accepted(docs(["a b c"]))._jdf.queryExecution().analyzed().toString()
+    assert "n_dup_lines" not in text and "word_chars" not in text
 
 
 def test_awkward_documents(awkward, nothing):

@@ -3,7 +3,10 @@ import random
 import pytest
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-CLASHING = "row string, hash long, score double, words string, fingerprint string, deleted string, key long, n long"
+CLASHING = (
+    "row string, hash long, score double, words string, fingerprint string, deleted string, key long, n long, "
+    "_ string, mix_shard long, mix_place long, mask int, part string, piece long, shard string, gid int, segment long"
+)
 
 
 def make(spark, texts, sources=None):
@@ -37,7 +40,7 @@ def awkward(spark):
         (None, None, None, None, None),
         (6, "é ünïcode   x" + "\x0b" + "y", "fr", "ß", 14),
     ]
-    extra = ("r", 1, 0.5, "w", "f", "d", 2, 3)
+    extra = ("r", 1, 0.5, "w", "f", "d", 2, 3, "_", 4, 5, 6, "p", 7, "s", 8, 9)
     return spark.createDataFrame([r + extra for r in rows], f"{SCHEMA}, {CLASHING}")
 
 

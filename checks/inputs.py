@@ -240,6 +240,40 @@ def write_sales_lines(
     return folder
 
 
+def write_sales_files(spark: SparkSession, sf: str, folder: str, which: Column | None = None) -> str:
+    """Sales, all or some, as a file of JSON lines for each range of order keys, under the range's
+    name: a file that is there is written again.
+
+    As with workbooks, the tasks write through the file system that holds the shared folder.
+    """
+    place = folder.removeprefix("file://").removeprefix("file:")
+    if "://" in place:
+        raise ValueError(f"cannot write single files below {folder}")
+    Path(place).mkdir(parents=True, exist_ok=True)
+    day = F.date_format("order_date", "d/M/yyyy")
+    sold = sales(spark, sf)
+    line = F.to_json(
+        F.struct(
+            F.col("row_id").alias("Row ID"),
+            F.col("order_id").cast("string").alias("Order ID"),
+            day.alias("Order Date"),
+            F.col("customer_id").cast("string").alias("Customer ID"),
+            F.col("product_id").cast("string").alias("Product ID"),
+            F.col("profit").cast("double").alias("Profit"),
+        )
+    )
+    chosen = (sold if which is None else sold.where(which)).select(
+        F.floor(F.col("order_id") / ORDERS_PER_DOCUMENT).alias("range"), line.alias("line")
+    )
+
+    def put(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        Path(f"{place}/{key[0]}.json").write_text("\n".join(group["line"]) + "\n")
+        return pd.DataFrame({"range": [key[0]]})
+
+    chosen.groupBy("range").applyInPandas(put, "range bigint").write.format("noop").mode("overwrite").save()
+    return folder
+
+
 # --- workbooks -----------------------------------------------------------------
 
 _PARTS = {

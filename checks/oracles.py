@@ -160,6 +160,50 @@ _DELIVERED = f"""
     join nation on c_nationkey = n_nationkey
 """
 
+_TWO_DELIVERIES = f"""
+    select cast(row_id as bigint) as row_id, cast(order_id as varchar) as order_id,
+           cast(order_date as date) as order_date,
+           cast(s.customer_id as varchar) as customer_id,
+           cast(product_id as varchar) as product_id, profit,
+           case when p_type is null then 'unknown'
+                when order_id % 5 = 0 and p_brand in ('Brand#1', 'Brand#2') then 'new ' || p_type
+                else p_type end as category,
+           coalesce(p_brand, 'unknown') as sub_category, c.customer_name,
+           case when order_id % 5 = 0 and c.balance < 0 then 'new ' || c.country
+                else c.country end as country,
+           case when order_id % 5 = 0 then date '2024-02-01' else date '2024-01-01' end as load_ts
+    from ({_SALES}) s
+    left join (select * from part where {_GOOD_PART}) p on product_id = p_partkey
+    left join (select d.customer_name, d.customer_id, n_name as country, c_acctbal as balance
+               from ({_CLEAN_CUSTOMER}) d
+               join customer on d.customer_id = cast(c_custkey as varchar)
+               join nation on c_nationkey = n_nationkey) c
+           on cast(s.customer_id as varchar) = c.customer_id
+"""
+
+_LATEST_VERSIONS = f"""
+    select cast(row_id as bigint) as row_id, cast(order_id as varchar) as order_id, order_date,
+           cast(customer_id as varchar) as customer_id, coalesce(p_type, 'unknown') as category,
+           coalesce(p_brand, 'unknown') as sub_category, profit
+    from ({_SALES}) s
+    left join (select * from part where {_GOOD_PART}) p on product_id = p_partkey
+    where not (returned and order_id // {ORDERS_PER_DOCUMENT} % 2 = 0)
+"""
+
+
+def _all_reports(orders: str) -> str:
+    return f"""
+        select cast(order_year as integer) as order_year, category, customer_id,
+               cast(sum(profit) as decimal(38,2)) as total_profit,
+               case when grouping(order_year) = 1 then 'by_customer'
+                    when grouping(category) = 0 then 'by_year_category'
+                    when grouping(customer_id) = 0 then 'by_year_customer'
+                    else 'by_year' end as report
+        from (select *, year(order_date) as order_year from ({orders}))
+        group by grouping sets ((order_year), (order_year, category),
+                                (order_year, customer_id), (customer_id))"""
+
+
 _TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
@@ -236,25 +280,20 @@ ORACLES: dict[str, str] = {
         from part""",
     "customers_merged": _DELIVERED,
     "customers_rebuilt": _DELIVERED,
-    "end_to_end_two_deliveries": f"""
-        select cast(row_id as bigint) as row_id, cast(order_id as varchar) as order_id,
-               cast(order_date as date) as order_date,
-               cast(s.customer_id as varchar) as customer_id,
-               cast(product_id as varchar) as product_id, profit,
-               case when p_type is null then 'unknown'
-                    when order_id % 5 = 0 and p_brand in ('Brand#1', 'Brand#2') then 'new ' || p_type
-                    else p_type end as category,
-               coalesce(p_brand, 'unknown') as sub_category, c.customer_name,
-               case when order_id % 5 = 0 and c.balance < 0 then 'new ' || c.country
-                    else c.country end as country,
-               case when order_id % 5 = 0 then date '2024-02-01' else date '2024-01-01' end as load_ts
-        from ({_SALES}) s
-        left join (select * from part where {_GOOD_PART}) p on product_id = p_partkey
-        left join (select d.customer_name, d.customer_id, n_name as country, c_acctbal as balance
-                   from ({_CLEAN_CUSTOMER}) d
-                   join customer on d.customer_id = cast(c_custkey as varchar)
-                   join nation on c_nationkey = n_nationkey) c
-               on cast(s.customer_id as varchar) = c.customer_id""",
+    "end_to_end_two_deliveries": _TWO_DELIVERIES,
+    "reports_after_two_deliveries": _all_reports(_TWO_DELIVERIES),
+    "orders_of_latest_versions": f"select row_id, order_id, category, profit from ({_LATEST_VERSIONS})",
+    "reports_of_latest_versions": _all_reports(_LATEST_VERSIONS),
+    "load_time_of_products": f"""
+        select cast(p_partkey as varchar) as product_id, true as within_load, true as as_marked
+        from part where {_GOOD_PART}""",
+    "landing_counts": f"""
+        select 'products' as flow, count(*) as n_rows, count(*) filter (not ({_GOOD_PART})) as n_malformed
+        from part
+        union all
+        select 'orders', count(*), count(*) filter (o_orderstatus = 'P') from orders""",
+    "rows_by_planned_file": """
+        select true as planned, count(*) as n_rows, count(distinct o_orderkey) as n_orders from orders""",
     "merge_upsert": _MERGED,
     "merge_upsert_bucketed": _MERGED,
     "csv_clean": f"""

@@ -17,10 +17,10 @@ from strataline.operators import dedupe, incremental, quality, upsert
 from strataline.operators.enrich import Dimension, enrich
 from strataline.operators.ledger import BatchMarks, FileLedger, list_files
 from strataline.plans import flows, gold
-from strataline.plans.lake import BATCH, Lake
+from strataline.plans.lake import BATCH, Lake, load_time
 from strataline.session import scratch
 from strataline.sources import tables
-from strataline.sources.files import read_csv, read_json_documents, read_json_elements, read_json_lines, stamp
+from strataline.sources.files import FILE, FILE_TIME, read_csv, read_json_documents, read_json_elements, read_json_lines, stamp
 from strataline.sources.workbook import parse_workbooks, read_workbooks
 from strataline.streaming.ingest import ORDER_KEYS, land_stream, load_orders_stream, merge_stream
 
@@ -81,6 +81,7 @@ def profit_from_view(spark, sf):
         F.lit(None).cast("string").alias("customer_name"),
         F.lit(None).cast("string").alias("country"),
         F.lit(LOADED_AT).alias(fixed.LOAD_TS),
+        F.lit(None).cast("string").alias(FILE),
         F.lit("first").alias(BATCH),
     )
     tables.replace_partitions(facts, lake.order_enrich)
@@ -631,9 +632,9 @@ def customers_rebuilt(spark, sf):
     return _delivered_customers(_lake(spark), sf, rebuild=True)
 
 
-def end_to_end_two_deliveries(spark, sf):
+def _two_deliveries(spark, sf):
     """The whole job twice. The second delivery has customers in debt again, all
-    products of two brands under another category, and the orders of status P."""
+    products of two brands under another category, and every fifth order."""
     lake = _lake(spark)
     customers = inputs.write_workbooks(spark, inputs.dirty_customers(spark, sf))
     products = inputs.write_product_csv(spark, sf)
@@ -644,7 +645,81 @@ def end_to_end_two_deliveries(spark, sf):
     inputs.write_product_csv(spark, sf, changed=("Brand#1", "Brand#2"), folder=products)
     inputs.write_sales_lines(spark, sf, late, folder=orders)
     flows.run_all(lake, customers, products, orders, SECOND_LOAD, lines=True)
-    return lake.orders().withColumn(fixed.LOAD_TS, F.col(fixed.LOAD_TS).cast("date"))
+    return lake
+
+
+def end_to_end_two_deliveries(spark, sf):
+    return _two_deliveries(spark, sf).orders().withColumn(fixed.LOAD_TS, F.col(fixed.LOAD_TS).cast("date"))
+
+
+def reports_after_two_deliveries(spark, sf):
+    """All four reports over the stored KPI of two batches."""
+    return gold.all_reports(_two_deliveries(spark, sf).kpis())
+
+
+def _rewritten_orders(spark, sf):
+    """Every other file of orders is written again, without the items that were returned."""
+    lake = Lake(spark, scratch(spark, "lake"), inputs.new_prefix(), buckets=8, latest_versions=True).create()
+    flows.load_products(lake, inputs.write_product_csv(spark, sf), LOADED_AT)
+    folder = inputs.write_sales_files(spark, sf, scratch(spark, "sales-files"))
+    flows.load_orders(lake, folder, LOADED_AT, lines=True)
+    flows.publish_kpi(lake)
+    again = F.floor(F.col("order_id") / inputs.ORDERS_PER_DOCUMENT) % 2 == 0
+    inputs.write_sales_files(spark, sf, folder, again & ~F.col("returned"))
+    flows.load_orders(lake, folder, SECOND_LOAD, lines=True)
+    flows.publish_kpi(lake)
+    return lake
+
+
+def orders_of_latest_versions(spark, sf):
+    return _rewritten_orders(spark, sf).orders().select("row_id", "order_id", "category", "profit")
+
+
+def reports_of_latest_versions(spark, sf):
+    """The KPI, from which the totals of replaced file versions were taken, folded into one partition."""
+    lake = _rewritten_orders(spark, sf)
+    flows.fold_kpi(lake)
+    return gold.all_reports(lake.kpis())
+
+
+def load_time_of_products(spark, sf):
+    """Products loaded at the current time: each has the time in its batch's mark, within the load."""
+    lake, before = _lake(spark), datetime.now(timezone.utc)
+    flows.load_products(lake, inputs.write_product_csv(spark, sf))
+    (batch,) = lake.marks.passed("products", flows.REFINED)
+    now = spark.range(1).select(F.current_timestamp().alias("now"))
+    stamped = F.col(fixed.LOAD_TS)
+    within = (stamped >= F.lit(before)) & (stamped <= F.col("now"))
+    return lake.products.read().crossJoin(F.broadcast(now)).select(
+        "product_id", within.alias("within_load"), (stamped == F.lit(load_time(batch))).alias("as_marked")
+    )
+
+
+def landing_counts(spark, sf):
+    """Rows and malformed rows of landed batches, as counted while they were written."""
+    lake = _lake(spark)
+    flows.load_products(lake, inputs.write_product_csv(spark, sf), LOADED_AT)
+    flows.load_orders(lake, inputs.write_order_lines(spark, sf), LOADED_AT, lines=True, glob="*.txt")
+    return reduce(
+        DataFrame.unionByName,
+        (
+            lake.marks.counts(flow, flows.LANDED).select(F.lit(flow).alias("flow"), "n_rows", "n_malformed")
+            for flow in ("products", "orders")
+        ),
+    )
+
+
+def rows_by_planned_file(spark, sf):
+    """Rows of bronze by whether the file they were read from, in that version, was planned for their batch."""
+    lake = _lake(spark)
+    flows.load_orders(lake, inputs.write_order_lines(spark, sf), LOADED_AT, lines=True, files_per_batch=2, glob="*.txt")
+    planned = lake.files.entries("orders").select(
+        FILE, F.col("modification_time").alias(FILE_TIME), BATCH, F.lit(True).alias("planned")
+    )
+    read = lake.raw("orders").join(planned, [FILE, FILE_TIME, BATCH], "left")
+    return read.groupBy(F.coalesce("planned", F.lit(False)).alias("planned")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("order_id").alias("n_orders")
+    )
 
 
 def end_to_end_orders(spark, sf):
@@ -709,6 +784,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         customers_merged,
         customers_rebuilt,
         end_to_end_two_deliveries,
+        reports_after_two_deliveries,
+        orders_of_latest_versions,
+        reports_of_latest_versions,
+        load_time_of_products,
+        landing_counts,
+        rows_by_planned_file,
     )
 }
 # The split join was a salted one once; its query keeps that name too.

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,18 +60,33 @@ class BatchMarks(Log):
     doing it again changes nothing.
     """
 
-    COLUMNS = "flow string, batch string, step string"
-
-    def add(self, flow: str, batches: Sequence[str], step: str) -> None:
-        if batches:
+    COLUMNS = "flow string, batch string, step string, n_rows bigint, n_malformed bigint"
+
+    def add(
+        self,
+        flow: str,
+        batches: Sequence[str],
+        step: str,
+        counts: tuple[int, int] | None = None,
+        also: Sequence[tuple[Sequence[str], str]] = (),
+    ) -> None:
+        """Mark batches; ``counts`` are the batch's rows and malformed rows. ``also`` adds
+        (batches, step) in the same write, so that readers see all of it or nothing."""
+        marks = [(batch, step) for batch in batches]
+        marks += [(batch, other) for more, other in also for batch in more]
+        if marks:
+            n_rows, n_malformed = counts or (None, None)
+            pairs = F.array(*(F.struct(F.lit(b).alias("batch"), F.lit(s).alias("step")) for b, s in marks))
             one_row = self.spark.range(0, 1, numPartitions=1)
-            rows = one_row.select(
-                F.lit(flow).alias("flow"),
-                F.explode(F.array(*(F.lit(batch) for batch in batches))).alias("batch"),
-                F.lit(step).alias("step"),
+            rows = one_row.select(F.lit(flow).alias("flow"), F.inline(pairs)).withColumns(
+                {"n_rows": F.lit(n_rows).cast("bigint"), "n_malformed": F.lit(n_malformed).cast("bigint")}
             )
             self.append(rows)
 
+    def counts(self, flow: str, step: str) -> DataFrame:
+        """(``batch``, ``n_rows``, ``n_malformed``) of the batches that passed a step."""
+        return self._of(flow).where(F.col("step") == step).select("batch", "n_rows", "n_malformed").distinct()
+
     def _of(self, flow: str) -> DataFrame:
         return self.rows().where(F.col("flow") == flow)
 
@@ -96,19 +113,40 @@ class BatchMarks(Log):
         return sorted(row.batch for row in waiting.where("a and not b").collect())
 
 
-def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """(file_path, modification_time) below a folder; contents are not read."""
+def list_files(spark: SparkSession, folder: str | Sequence[str], glob: str = "*") -> DataFrame:
+    """(file_path, modification_time) below a folder, or several; contents are not read.
+
+    Spark lists with several tasks, but keeps the names and sizes of all files found in the
+    driver. Where files stay for long, give the folders that may still get some (``dated_folders``).
+    """
+    folders = [folder] if isinstance(folder, str) else list(folder)
+    if not folders:
+        return spark.createDataFrame([], "file_path string, modification_time timestamp")
     found = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
-        .load(folder)
+        .load(folders)
     )
     return found.select(
         F.col("path").alias("file_path"), F.col("modificationTime").alias("modification_time")
     )
 
 
+def dated_folders(spark: SparkSession, root: str, since: date) -> list[str]:
+    """The folders directly below ``root`` that are named after a day (``2024-03-01``, ``day=2024-03-01``)
+    from ``since`` on; none of their files is looked at."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(root)
+    names = []
+    for status in path.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(path):
+        name = status.getPath().getName()
+        found = re.fullmatch(r"(?:[^=]*=)?(\d{4}-\d{2}-\d{2})", name)
+        if status.isDirectory() and found and date.fromisoformat(found[1]) >= since:
+            names.append(f"{root.rstrip('/')}/{name}")
+    return sorted(names)
+
+
 class FileLedger(Log):
     """The processed files of each object, one row per file version and batch.
 
@@ -169,9 +207,6 @@ class FileLedger(Log):
         before = taken.where(F.col("name") == batch).agg(runs).first()[0]
         return f"{batch}-{before:03d}"
 
-    def batches(self, obj: str) -> DataFrame:
-        return self.entries(obj).select("batch").distinct()
-
     def paths(self, obj: str, batch: str, present: DataFrame | None = None) -> list[str]:
         """File names of one batch, for the reader. ``plan`` bounds how many.
 

@@ -13,7 +13,7 @@ import hashlib
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from strataline import fixed_values as fixed
@@ -24,13 +24,15 @@ from strataline.operators.enrich import Dimension, enrich, is_broadcast, resolve
 from strataline.operators.ledger import list_files
 from strataline.operators.quality import clean_rows, split_keyless
 from strataline.plans import gold
-from strataline.plans.lake import BATCH, Lake, batch_name, load_time
+from strataline.plans.lake import BATCH, KPI_FLOW, REFINED, SINCE, Lake, batch_name, load_time
 from strataline.sources import tables
-from strataline.sources.files import read_csv, read_json_elements, read_json_lines, stamp
+from strataline.sources.files import FILE, FILE_TIME, read_csv, read_json_elements, read_json_lines, stamp
 from strataline.sources.workbook import read_workbooks
 
-LANDED, REFINED, PUBLISHED = "landed", "refined", "published"
+LANDED, PUBLISHED = "landed", "published"
 FILES_PER_BATCH = 10_000
+KPI_PARTS = 64
+"""So many partitions of the stored KPI are folded into one."""
 
 Reader = Callable[[list[str]], DataFrame]
 
@@ -42,15 +44,25 @@ def _token(batches: list[str]) -> str:
 
 
 def land(lake: Lake, flow: str, rows: DataFrame, batch: str) -> None:
-    """Write all columns of a stamped batch to its bronze partition; mark it."""
-    tables.replace_partitions(rows.withColumn(BATCH, F.lit(batch)), lake.bronze[flow])
-    lake.marks.add(flow, [batch], LANDED)
+    """Write all columns of a stamped batch to its bronze partition; mark it.
+
+    Rows and malformed rows are counted while they are written, and the counts stand in the
+    mark. (Where Spark repeats a stage after losing an executor, they can be too high.)
+    """
+    seen = Observation()
+    target = lake.spark.table(lake.bronze[flow]).schema
+    unknown = {f.name: F.lit(None).cast(f.dataType) for f in target if f.name in (FILE, FILE_TIME)}
+    rows = rows.withColumns({name: value for name, value in unknown.items() if name not in rows.columns})
+    malformed = F.count_if(F.col(fixed.CORRUPT).isNotNull())
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"), malformed.alias("malformed"))
+    tables.replace_partitions(counted.withColumn(BATCH, F.lit(batch)), lake.bronze[flow])
+    lake.marks.add(flow, [batch], LANDED, counts=(seen.get["rows"], seen.get["malformed"]))
 
 
 def land_new_files(
     lake: Lake,
     flow: str,
-    folder: str,
+    folder: str | list[str],
     read: Reader,
     glob: str = "*",
     load_ts: datetime | None = None,
@@ -137,13 +149,13 @@ def refine_products(lake: Lake) -> None:
 
 def load_products(
     lake: Lake,
-    folder: str,
+    folder: str | list[str],
     load_ts: datetime | None = None,
     files_per_batch: int = FILES_PER_BATCH,
     glob: str = "*.csv",
 ) -> None:
     def read(paths: list[str]) -> DataFrame:
-        return read_csv(lake.spark, paths)
+        return read_csv(lake.spark, paths, sourced=True)
 
     land_new_files(lake, "products", folder, read, glob, load_ts, files_per_batch)
     refine_products(lake)
@@ -161,7 +173,7 @@ def order_facts(raw_orders: DataFrame) -> DataFrame:
         "customer_id",
         "product_id",
         money("profit").alias("profit"),
-        *(c for c in (fixed.LOAD_TS, BATCH) if c in raw_orders.columns),
+        *(c for c in (fixed.LOAD_TS, FILE, BATCH) if c in raw_orders.columns),
     )
 
 
@@ -183,10 +195,32 @@ def enrich_orders(
     return enrich(facts, order_dimensions(products, customers, join))
 
 
+def _supersede(lake: Lake, waiting: list[str]) -> None:
+    """Note which versions of files the waiting batches replace, or come too late for.
+
+    Of the versions of a path the one with the latest load time counts. A note belongs to
+    the batch that makes it true and is seen once that batch is refined.
+    """
+    entries = lake.files.entries("orders").select(FILE, BATCH).distinct()
+    new = F.col(BATCH).isin(waiting)
+    touched = entries.where(new).select(FILE).distinct()
+    after = F.lead(BATCH).over(Window.partitionBy(FILE).orderBy(BATCH))
+    versions = entries.join(touched, FILE, "left_semi").withColumn("after", after).where("after is not null")
+    since = F.when(F.col("after").isin(waiting), F.col("after")).when(new, F.col(BATCH))
+    known = lake.spark.table(lake.superseded).where(~F.col(SINCE).isin(waiting))
+    notes = versions.select(FILE, BATCH, since.alias(SINCE)).where(F.col(SINCE).isNotNull())
+    notes = notes.join(known.select(FILE, BATCH), [FILE, BATCH], "left_anti")
+    for batch in sorted(tables.partitions(lake.spark, lake.superseded, SINCE) & set(waiting)):
+        tables.clear_partition(lake.spark, lake.superseded, SINCE, batch)
+    tables.replace_partitions(notes.hint("rebalance", F.col(SINCE)), lake.superseded)
+
+
 def refine_orders(lake: Lake, join: str = "measured") -> None:
     """Enrich all waiting batches, each into its own silver partition."""
     waiting = lake.marks.pending("orders", after=LANDED, before=REFINED)
     if waiting:
+        if lake.latest_versions:
+            _supersede(lake, waiting)
         facts = order_facts(lake.raw("orders", waiting))
         dimensions = order_dimensions(lake.products.read(), lake.customers.read(), join)
         dimensions = [resolved(dimension) for dimension in dimensions]
@@ -201,7 +235,7 @@ def refine_orders(lake: Lake, join: str = "measured") -> None:
 
 def load_orders(
     lake: Lake,
-    folder: str,
+    folder: str | list[str],
     load_ts: datetime | None = None,
     lines: bool = False,
     files_per_batch: int = FILES_PER_BATCH,
@@ -212,7 +246,7 @@ def load_orders(
     read_json = read_json_lines if lines else read_json_elements
 
     def read(paths: list[str]) -> DataFrame:
-        return snake_case(read_json(lake.spark, paths))
+        return snake_case(read_json(lake.spark, paths, sourced=True))
 
     land_new_files(lake, "orders", folder, read, glob, load_ts, files_per_batch)
     refine_orders(lake, join)
@@ -222,20 +256,56 @@ def load_orders(
 
 
 def kpi_of_batches(lake: Lake, batches: list[str]) -> DataFrame:
-    """The totals of each batch's orders, from these batches' partitions alone."""
-    orders = lake.spark.table(lake.order_enrich).where(F.col(BATCH).isin(batches))
-    return gold.kpi(orders, [BATCH])
+    """The totals of each batch's orders, less those of the file versions it replaces.
+
+    Only the partitions of these batches, and of the versions replaced, are read.
+    """
+    orders = lake.spark.table(lake.order_enrich)
+    own = orders.where(F.col(BATCH).isin(batches)).withColumn(_SIGN, F.lit(1))
+    if lake.latest_versions:
+        gone = lake.spark.table(lake.superseded).where(F.col(SINCE).isin(batches))
+        earlier = [row[0] for row in gone.select(BATCH).distinct().collect()]
+        taken = orders.where(F.col(BATCH).isin(earlier)).join(gone, [FILE, BATCH])
+        own = own.unionByName(taken.withColumns({BATCH: F.col(SINCE), _SIGN: F.lit(-1)}).drop(SINCE))
+    totals = gold.stored_kpi(own, [BATCH], _SIGN)
+    # Else each task would write a file for each batch.
+    return totals.hint("rebalance", F.col(BATCH)) if len(batches) > 1 else totals
 
 
 def publish_kpi(lake: Lake) -> None:
     """Add the totals of new batches to the stored KPI, each in its own partition.
 
-    Totals are exact and add up, so earlier batches are not read again.
+    Totals are exact and add up, so earlier batches are not read again. Beyond
+    ``KPI_PARTS`` partitions they are folded into one.
     """
     waiting = lake.marks.pending("orders", after=REFINED, before=PUBLISHED)
     if waiting:
         tables.replace_partitions(kpi_of_batches(lake, waiting), lake.kpi_table)
         lake.marks.add("orders", waiting, PUBLISHED)
+    if len(lake.kpi_parts()) > KPI_PARTS:
+        fold_kpi(lake)
+
+
+def fold_kpi(lake: Lake) -> None:
+    """Sum the partitions of the stored KPI into a new one, which counts in their place.
+
+    One mark, written at once, says so; what was folded is cleared by the next fold, when
+    no reader that began before can be left.
+    """
+    steps = lake.marks.steps(KPI_FLOW)
+    there = tables.partitions(lake.spark, lake.kpi_table, BATCH)
+    old = sorted({batch for batch, step in steps if step == "folded"} & there)
+    for batch in old:
+        tables.clear_partition(lake.spark, lake.kpi_table, BATCH, batch)
+    tables.forget_partitions(lake.spark, lake.kpi_table, BATCH, old)
+    parts = lake.kpi_parts()
+    name = f"fold-{sum(step == 'made' for _, step in steps):06d}"
+    stored = lake.spark.table(lake.kpi_table).where(F.col(BATCH).isin(parts))
+    tables.replace_partitions(gold.added_up(stored).withColumn(BATCH, F.lit(name)), lake.kpi_table)
+    lake.marks.add(KPI_FLOW, [name], "made", also=[(parts, "folded")])
+
+
+_SIGN = "_sign"
 
 
 def reports(lake: Lake) -> dict[str, DataFrame]:

@@ -31,6 +31,41 @@ def kpi(orders: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+N_ORDERS, N_PROFITS = "n_orders", "n_profits"
+STORED_KPI = f"{fixed.GOLD_KPI}, {N_ORDERS} bigint, {N_PROFITS} bigint"
+
+
+def stored_kpi(orders: DataFrame, by: Sequence[str], sign: str | None = None) -> DataFrame:
+    """Totals that can be taken back: with the number of orders, and of those with a profit.
+
+    ``sign`` names a column of 1 and -1: orders of -1 are taken back. Such rows add up to those
+    of the orders that are left, also where none is, or none with a profit.
+    """
+    times = F.lit(1) if sign is None else F.col(sign)
+    profit = F.when(times < 0, -F.col("profit")).otherwise(F.col("profit"))
+    has = F.when(F.col("profit").isNotNull(), times).otherwise(0)
+    return orders.groupBy(F.year("order_date").alias("order_year"), *KPI_KEYS[1:], *by).agg(
+        F.sum(profit).cast(fixed.MONEY_TYPE).alias(TOTAL),
+        F.sum(times).cast("bigint").alias(N_ORDERS),
+        F.sum(has).cast("bigint").alias(N_PROFITS),
+    )
+
+
+def added_up(stored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Stored totals of any number of batches as those of one, with their counts."""
+    return stored.groupBy(*KPI_KEYS, *by).agg(
+        F.sum(TOTAL).cast(fixed.MONEY_TYPE).alias(TOTAL),
+        F.sum(N_ORDERS).cast("bigint").alias(N_ORDERS),
+        F.sum(N_PROFITS).cast("bigint").alias(N_PROFITS),
+    )
+
+
+def kpi_of_stored(stored: DataFrame) -> DataFrame:
+    """The KPI: groups that still have orders, NULL where none of them has a profit."""
+    total = F.when(F.col(N_PROFITS) > 0, F.col(TOTAL)).cast(fixed.MONEY_TYPE)
+    return added_up(stored).where(F.col(N_ORDERS) > 0).select(*KPI_KEYS, total.alias(TOTAL))
+
+
 def report(kpis: DataFrame, name: str) -> DataFrame:
     """One of ``REPORTS``: totals of the KPI frame, sorted by the report's keys."""
     return total_by(kpis, REPORTS[name]).orderBy(*REPORTS[name])

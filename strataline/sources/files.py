@@ -29,17 +29,27 @@ MAX_FILE_AGE = "90d"
 MAX_FILES_PER_TRIGGER = 10_000
 
 
-def _open(spark, form: str, paths: Paths, schema, stream: bool, options: dict) -> DataFrame:
+FILE, FILE_TIME = "file_path", "file_time"
+FILE_COLUMNS = f"{FILE} string, {FILE_TIME} timestamp"
+"""Which file a row was read from, and the file's time: with ``sourced``, readers add them."""
+
+
+def _open(spark, form: str, paths: Paths, schema, stream: bool, options: dict, sourced: bool = False) -> DataFrame:
     bounds = {"maxFileAge": MAX_FILE_AGE, "maxFilesPerTrigger": MAX_FILES_PER_TRIGGER}
     source = spark.readStream.options(**bounds) if stream else spark.read
     if stream and not isinstance(paths, str):
         raise ValueError("a stream watches one folder")
-    return (
+    frame = (
         source.format(form)
         .schema(schema)
         .options(mode="PERMISSIVE", columnNameOfCorruptRecord=fixed.CORRUPT, **options)
         .load(paths if isinstance(paths, str) else list(paths))
     )
+    if not sourced:
+        return frame
+    # The path comes encoded as in a URL, but for a plus sign.
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return frame.withColumns({FILE: path, FILE_TIME: F.col("_metadata.file_modification_time")})
 
 
 def read_csv(
@@ -47,10 +57,11 @@ def read_csv(
     paths: Paths,
     schema: StructType | str = fixed.PRODUCT_FEED,
     stream: bool = False,
+    sourced: bool = False,
     **options: str,
 ) -> DataFrame:
     """CSV with a header line. Columns are taken by position, not by header."""
-    return _open(spark, "csv", paths, schema, stream, {"header": "true", **options})
+    return _open(spark, "csv", paths, schema, stream, {"header": "true", **options}, sourced)
 
 
 def read_json_documents(
@@ -58,6 +69,7 @@ def read_json_documents(
     paths: Paths,
     schema: StructType | str = fixed.ORDER_FEED,
     stream: bool = False,
+    sourced: bool = False,
     **options: str,
 ) -> DataFrame:
     """One JSON document (an array of objects) per file.
@@ -66,7 +78,7 @@ def read_json_documents(
     error marks the file (``read_json_elements`` keeps a type error to its element).
     Feeds with large files should deliver JSON lines.
     """
-    return _open(spark, "json", paths, schema, stream, {"multiLine": "true", **options})
+    return _open(spark, "json", paths, schema, stream, {"multiLine": "true", **options}, sourced)
 
 
 def read_json_lines(
@@ -74,10 +86,11 @@ def read_json_lines(
     paths: Paths,
     schema: StructType | str = fixed.ORDER_FEED,
     stream: bool = False,
+    sourced: bool = False,
     **options: str,
 ) -> DataFrame:
     """One JSON object per line: files split, and an error costs one row."""
-    return _open(spark, "json", paths, schema, stream, options)
+    return _open(spark, "json", paths, schema, stream, options, sourced)
 
 
 # The largest document that is parsed as one variant value; Spark's own limit is 128 MB.
@@ -100,7 +113,7 @@ def _typed(raw: Column, kind: str) -> tuple[Column, Column]:
 
 
 def json_elements(documents: DataFrame, schema: StructType | str = fixed.ORDER_FEED) -> DataFrame:
-    """The elements of JSON documents (a text column ``value``), each judged on its own.
+    """The elements of JSON documents (a text column ``value``), each judged on its own, with further columns.
 
     A document is an array of objects, or one object. An element with a field of a
     wrong type keeps its other fields and has its own text in the corrupt column; an
@@ -109,8 +122,9 @@ def json_elements(documents: DataFrame, schema: StructType | str = fixed.ORDER_F
     blank text has no rows.
     """
     fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    others = [c for c in documents.columns if c != "value"]
     parsed = documents.where(F.regexp_like("value", F.lit(r"\S"))).select(
-        "value", F.try_parse_json("value").alias("parsed")
+        "value", *others, F.try_parse_json("value").alias("parsed")
     )
 
     def as_type(kind: str) -> Column:
@@ -119,10 +133,11 @@ def json_elements(documents: DataFrame, schema: StructType | str = fixed.ORDER_F
     one = F.when(as_type("map<string,variant>").isNotNull(), F.array("parsed"))
     elements = F.coalesce(as_type("array<variant>"), one)
     # An empty array has no rows, so only what is no array is carried by an outer row.
-    exploded = parsed.select("value", elements.alias("elements")).where(
+    exploded = parsed.select("value", *others, elements.alias("elements")).where(
         F.col("elements").isNull() | (F.size("elements") > 0)
     ).select(
         F.when(F.col("elements").isNull(), F.col("value")).alias("value"),
+        *others,
         F.explode_outer("elements").alias("element"),
     )
     wanted = [field for field in fields if field.name != fixed.CORRUPT]
@@ -134,7 +149,7 @@ def json_elements(documents: DataFrame, schema: StructType | str = fixed.ORDER_F
         values[field.name], bad = _typed(F.col("fields").getField(field.name), field.dataType.simpleString())
         wrong = wrong | F.coalesce(bad, F.lit(False))
     values[fixed.CORRUPT] = F.when(F.col("value").isNotNull(), F.col("value")).when(wrong, F.to_json("element"))
-    return cut.select(*(values[field.name].alias(field.name) for field in fields))
+    return cut.select(*(values[field.name].alias(field.name) for field in fields), *others)
 
 
 def read_json_elements(
@@ -142,6 +157,7 @@ def read_json_elements(
     paths: Paths,
     schema: StructType | str = fixed.ORDER_FEED,
     stream: bool = False,
+    sourced: bool = False,
     **options: str,
 ) -> DataFrame:
     """JSON documents like ``read_json_documents``, but an error of type costs an element, not the file.
@@ -150,12 +166,16 @@ def read_json_elements(
     large for a variant value and go through the other reader; a stream, which
     cannot, has them as malformed. Columns from folder names are left out.
     """
-    texts = _open(spark, "text", paths, "value string", stream, {"wholetext": "true", **options})
+    texts = _open(spark, "text", paths, "value string", stream, {"wholetext": "true", **options}, sourced)
+    if sourced:
+        texts = texts.select("value", FILE, FILE_TIME, "_metadata")
+    else:
+        texts = texts.select("value", "_metadata")
     if stream:
-        return json_elements(texts, schema)
+        return json_elements(texts.drop("_metadata"), schema)
     small = F.col("_metadata.file_size") <= ELEMENT_DOCUMENT_BYTES
-    elements = json_elements(texts.where(small), schema)
-    large = read_json_documents(spark, paths, schema, **options).where(~small)
+    elements = json_elements(texts.where(small).drop("_metadata"), schema)
+    large = read_json_documents(spark, paths, schema, sourced=sourced, **options).where(~small)
     return elements.unionByName(large.select(*elements.columns))
 
 

@@ -6,7 +6,7 @@ import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 
 def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -149,7 +149,9 @@ def point_partitions(spark: SparkSession, name: str, column: str, places: dict[s
 def forget_partitions(spark: SparkSession, name: str, column: str, values: Sequence[str]) -> None:
     """Take partitions out of an external table's catalog entry; their files stay."""
     if values:
-        parts = ", ".join(f"PARTITION ({column} = {value})" for value in values)
+        is_text = isinstance(spark.table(name).schema[column].dataType, StringType)
+        written = [_literal(value) if is_text else value for value in values]
+        parts = ", ".join(f"PARTITION ({column} = {value})" for value in written)
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
 
 

@@ -99,7 +99,7 @@ def load_products_stream(
     **options: str,
 ) -> None:
     """Products from CSV files: land what is new, then merge it."""
-    stream = stamp(read_csv(lake.spark, folder, stream=True, **options), load_ts)
+    stream = stamp(read_csv(lake.spark, folder, stream=True, sourced=True, **options), load_ts)
     land_stream(lake, "products", stream, checkpoint, timeout)
     refine_products(lake)
 
@@ -120,7 +120,7 @@ def load_orders_stream(
     written again under another name among them, lands once.
     """
     read_json = read_json_lines if lines else read_json_elements
-    stream = stamp(snake_case(read_json(lake.spark, folder, stream=True, **options)), load_ts)
+    stream = stamp(snake_case(read_json(lake.spark, folder, stream=True, sourced=True, **options)), load_ts)
     if once_by:
         stream = once_within(stream, once_by)
     land_stream(lake, "orders", stream, checkpoint, timeout)

@@ -11,7 +11,7 @@ from compare import rows
 from strataline import fixed_values as fixed
 from strataline.__main__ import main as command_line
 from strataline.functions.values import snake_case
-from strataline.operators.ledger import list_files
+from strataline.operators.ledger import dated_folders, list_files
 from strataline.plans import flows, gold
 from strataline.plans.lake import Lake, batch_name
 from strataline.sources import tables
@@ -591,3 +591,164 @@ def test_stream_merges_versions(lake, landing, tmp_path):
     assert rows(lake.products.read().select("product_id", "sub_category")) == [
         ("P-1", "new"), ("P-new", "new"), ("P-old", "old"),
     ]
+
+
+# --- versions of files ---------------------------------------------------------------
+
+
+@pytest.fixture
+def latest(spark, tmp_path):
+    return Lake(spark, str(tmp_path / "latest"), new_prefix(), buckets=4, latest_versions=True).create()
+
+
+def load(lake, folder, hours, **options):
+    flows.load_orders(lake, folder, at(hours), **options)
+    flows.publish_kpi(lake)
+
+
+def agree(lake, expected):
+    """Orders, stored KPI and view say the same, and that there are these orders."""
+    orders = lake.orders()
+    assert rows(orders.select("row_id", "profit")) == sorted(expected, key=repr)
+    kpi = rows(gold.kpi(orders))
+    assert rows(lake.kpis()) == kpi and rows(lake.spark.table(lake.kpi_view)) == kpi
+
+
+def test_a_file_written_again_replaces_its_orders(latest, landing):
+    folder, money = f"{landing.folder}/orders", Decimal
+    documents(landing, "a b+c%", order(1, Profit=1), order(2, Profit=2, **{"Order Date": "1/1/1999"}), modified=1_700_000_000)
+    documents(landing, "other", order(3, Profit=4))
+    load(latest, folder, 0)
+    agree(latest, [(1, money("1.00")), (2, money("2.00")), (3, money("4.00"))])
+    documents(landing, "a b+c%", order(1, Profit=8), order(5, Profit=None), modified=1_700_000_001)
+    load(latest, folder, 1)
+    # The year that only the old version had is gone, not zero.
+    agree(latest, [(1, money("8.00")), (3, money("4.00")), (5, None)])
+    documents(landing, "a b+c%", order(5, Profit=None), modified=1_700_000_002)
+    load(latest, folder, 2)
+    load(latest, folder, 3)
+    agree(latest, [(3, money("4.00")), (5, None)])
+    # A version loaded under an older time does not count.
+    documents(landing, "a b+c%", order(6, Profit=1), modified=1_700_000_003)
+    load(latest, folder, -1)
+    agree(latest, [(3, money("4.00")), (5, None)])
+    documents(landing, "a b+c%", order(7, Profit=3), modified=1_700_000_004)
+    load(latest, folder, 4)
+    agree(latest, [(3, money("4.00")), (7, money("3.00"))])
+
+
+REPLACING = [
+    ("before the notes", flows, "_supersede", 0, False),
+    ("notes taken", flows, "_supersede", 0, True),
+    ("refined, not marked", tables, "replace_partitions", 2, True),
+    ("published, not marked", tables, "replace_partitions", 3, True),
+]
+
+
+@pytest.mark.parametrize("what,owner,name,calls,after", REPLACING, ids=[p[0] for p in REPLACING])
+def test_replacing_survives_a_failure(latest, landing, monkeypatch, what, owner, name, calls, after):
+    folder = f"{landing.folder}/orders"
+    documents(landing, "a", order(1, Profit=1), order(2, Profit=2), modified=1_700_000_000)
+    load(latest, folder, 0)
+    documents(landing, "a", order(1, Profit=4), modified=1_700_000_001)
+    with monkeypatch.context() as patch, pytest.raises(Stop):
+        failing(patch, owner, name, calls, after)
+        load(latest, folder, 2)
+    # Until the new version is refined, all of the old one is seen, and nothing of the new one.
+    if "published" not in what:
+        assert rows(latest.orders().select("row_id")) == [(1,), (2,)]
+    documents(landing, "a", order(3, Profit=8), modified=1_700_000_002)
+    load(latest, folder, 1)
+    agree(latest, [(1, Decimal("4.00"))])
+    load(latest, folder, 3)
+    agree(latest, [(1, Decimal("4.00"))])
+
+
+def test_without_latest_versions_all_count(lake, landing):
+    folder = f"{landing.folder}/orders"
+    documents(landing, "a", order(1, Profit=1), modified=1_700_000_000)
+    load(lake, folder, 0)
+    documents(landing, "a", order(1, Profit=4), modified=1_700_000_001)
+    load(lake, folder, 1)
+    agree(lake, [(1, Decimal("1.00")), (1, Decimal("4.00"))])
+
+
+def test_partitions_of_the_kpi_stay_few(lake, landing, monkeypatch):
+    monkeypatch.setattr(flows, "KPI_PARTS", 3)
+    folder = f"{landing.folder}/orders"
+    for number in range(9):
+        documents(landing, f"f{number}", order(number, Profit=number))
+        load(lake, folder, number)
+        assert len(lake.kpi_parts()) <= 3
+        assert len(tables.partitions(lake.spark, lake.kpi_table, "batch")) <= 7
+        assert rows(lake.kpis()) == rows(gold.kpi(lake.orders()))
+    with monkeypatch.context() as patch, pytest.raises(Stop):
+        failing(patch, lake.marks, "add")
+        flows.fold_kpi(lake)
+    assert rows(lake.kpis()) == rows(gold.kpi(lake.orders()))
+    flows.fold_kpi(lake)
+    assert len(lake.kpi_parts()) == 1 and rows(lake.kpis()) == rows(gold.kpi(lake.orders()))
+    lake.drop()
+    again = Lake(lake.spark, lake.root, lake.schemas[0].removesuffix("bronze"), buckets=4).attach()
+    assert rows(again.kpis()) == rows(gold.kpi(again.orders()))
+
+
+def test_several_waiting_batches_write_a_file_each(lake, landing, monkeypatch):
+    folder = f"{landing.folder}/orders"
+    for number in range(5):
+        documents(landing, f"f{number}", *(order(number * 100 + k, Profit=k, **{"Customer ID": f"C-{k}"}) for k in range(30)))
+    flows.load_orders(lake, folder, at(0), files_per_batch=1)
+    flows.publish_kpi(lake)
+    batches = len(lake.marks.passed("orders", flows.PUBLISHED))
+    assert batches > 2 and len(lake.spark.table(lake.kpi_table).inputFiles()) == batches
+
+
+# --- what was read -------------------------------------------------------------------
+
+
+def test_rows_name_the_file_they_were_read_from(lake, landing, monkeypatch):
+    folder = f"{landing.folder}/orders"
+    documents(landing, "one é", order(1), order(2), modified=1_700_000_000)
+    documents(landing, "two+3%20", order(3), modified=1_700_000_100)
+    with monkeypatch.context() as patch, pytest.raises(Stop):
+        failing(patch, tables, "replace_partitions", 0, True)
+        flows.load_orders(lake, folder, at(0))
+    documents(landing, "two+3%20", order(4), modified=1_700_000_200)
+    flows.load_orders(lake, folder, at(1))
+    read = rows(lake.raw("orders").select("file_path", "file_time", "batch").distinct())
+    planned = rows(lake.files.entries("orders").select("file_path", "modification_time", "batch"))
+    assert set(read) <= set(planned) and len(read) == 2
+    # Planned but not read is only the version that was written over before it was landed.
+    assert [r[0].rsplit("/")[-1] for r in set(planned) - set(read)] == ["two+3%20.json"]
+    assert rows(lake.orders().select("row_id")) == [(1,), (2,), (4,)]
+
+
+def test_landing_counts_rows_and_malformed_rows(lake, landing):
+    documents(landing, "one", order(1), order(2, Profit="much"), order(3))
+    flows.load_orders(lake, f"{landing.folder}/orders", at(0))
+    landing("orders/none.json", "[]")
+    flows.load_orders(lake, f"{landing.folder}/orders", at(1))
+    assert [r[1:] for r in rows(lake.marks.counts("orders", flows.LANDED))] == [(3, 1), (0, 0)]
+
+
+def test_only_open_folders_are_listed(spark, lake, landing, monkeypatch):
+    for day in ("2024-02-28", "2024-02-29", "2024-03-01"):
+        landing(f"orders/day={day}/o.json", json.dumps([order(int(day[-2:]))]))
+    landing("orders/notes/o.json", "[]")
+    landing("orders/day=2024-03-01.json", "[]")
+    root = f"{landing.folder}/orders"
+    from datetime import date
+
+    assert dated_folders(spark, root, date(2024, 2, 29)) == [f"{root}/day=2024-02-29", f"{root}/day=2024-03-01"]
+    flows.load_orders(lake, dated_folders(spark, root, date(2024, 1, 1)), at(0))
+    assert rows(lake.orders().select("row_id")) == [(1,), (28,), (29,)]
+    landing("orders/day=2024-02-28/late.json", json.dumps([order(99)]))
+    landing("orders/day=2024-03-02/o.json", json.dumps([order(2)]))
+    seen = []
+    real = flows.list_files
+    monkeypatch.setattr(flows, "list_files", lambda s, f, g: seen.append(real(s, f, g)) or seen[-1])
+    flows.load_orders(lake, dated_folders(spark, root, date(2024, 3, 1)), at(1))
+    assert rows(lake.orders().select("row_id")) == [(1,), (2,), (28,), (29,)]
+    listed = {r.file_path.split("day=")[1][:10] for r in seen[0].collect()}
+    assert listed == {"2024-03-01", "2024-03-02"}
+    assert list_files(spark, []).count() == 0

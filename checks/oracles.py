@@ -224,6 +224,10 @@ ORACLES: dict[str, str] = {
                                     case when returned then product_id end as product_id)
                   from ({_SALES})"""
     ),
+    "order_enrich_bucketed": _ENRICHED.format(
+        sales=f"""select * replace (case when returned then 1 else customer_id end as customer_id)
+                  from ({_SALES})"""
+    ),
     "clean_customer": _CLEAN_CUSTOMER,
     "clean_text": f"""
         select doc_id, {_letters('text')} as letters, {_address('text')} as address_characters,

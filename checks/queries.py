@@ -91,7 +91,7 @@ def profit_from_view(spark, sf):
 # --- silver orders ---------------------------------------------------------------
 
 
-def _enriched(spark, sf, join, **changes):
+def _enriched(spark, sf, join, bucketed=False, **changes):
     facts = inputs.sales(spark, sf).select(
         "row_id",
         "order_id",
@@ -111,6 +111,11 @@ def _enriched(spark, sf, join, **changes):
     # PROMO is no category: a NULL from the dimension itself.
     listed = listed.withColumn("category", F.expr("nullif(category, 'PROMO')"))
     solvent = inputs.customers(spark, sf).where(F.col("balance") >= 0)
+    if bucketed:
+        schema, folder = inputs.new_prefix() + "buckets", scratch(spark, "buckets")
+        tables.create_schema(spark, schema, folder)
+        listed = tables.overwrite_bucketed(listed, f"{schema}.products", "product_id", 16, f"{folder}/products")
+        solvent = tables.overwrite_bucketed(solvent, f"{schema}.customers", "customer_id", 16, f"{folder}/customers")
     return flows.enrich_orders(facts, listed, solvent, join)
 
 
@@ -135,6 +140,12 @@ def order_enrich_split(spark, sf):
     )
 
 
+def order_enrich_bucketed(spark, sf):
+    """Both dimensions are bucketed tables, and hot customers are set aside."""
+    hot = F.when(F.col("returned"), F.lit(1)).otherwise(F.col("customer_id"))
+    return _enriched(spark, sf, "split", bucketed=True, customer_id=hot)
+
+
 # --- cleaning and projections ------------------------------------------------------
 
 
@@ -743,6 +754,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         order_enrich,
         order_enrich_measured,
         order_enrich_split,
+        order_enrich_bucketed,
         clean_customer,
         clean_text,
         snake_headers,

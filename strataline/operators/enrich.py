@@ -43,8 +43,9 @@ class Dimension:
       looked for first, by a sketch of bounded size and one exact count. Their
       dimension rows, which have to fit ``broadcast_limit`` as well, are broadcast to
       their facts; facts without a key need no row. Only the other facts are
-      shuffled. Without such keys it is a plain join. ``hot_share`` overrides what
-      counts as hot.
+      shuffled, and the dimension is not either, if it is a table bucketed by the key
+      (``tables.overwrite_bucketed``). Without such keys it is a plain join.
+      ``hot_share`` overrides what counts as hot.
     """
 
     rows: DataFrame

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -32,6 +33,7 @@ SETTINGS = {
 }
 
 _local_scratch: dict[str, str] = {}
+_given: dict[str, list[str]] = {}
 
 
 def session(app: str = "strataline", master: str | None = None, **extra: str) -> SparkSession:
@@ -54,7 +56,7 @@ def shared_folder(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     if context.applicationId not in _local_scratch:
         _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="strataline-")
@@ -62,5 +64,20 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A new, unused path below the shared folder, known to ``clear_scratch``."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    _given.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> list[str]:
+    """Delete what this application has put into its scratch paths; returns those that were there.
+
+    Call it when nothing is read any more that was made with them, results included.
+    """
+    context, gone = spark.sparkContext, []
+    for path in _given.pop(context.applicationId, []):
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        if place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True):
+            gone.append(path)
+    return gone

@@ -53,8 +53,8 @@ def test_digits_of_a_phone_are_matched_once(spark):
 
 
 def test_dates_of_another_form_become_null(spark):
-    given = ["21/8/2016", "08/11/2016", "1/13/2016", "2016-08-21", "1/2/16", "", " 1/2/2016", None]
-    assert apply(spark, parse_date, given) == [date(2016, 8, 21), date(2016, 11, 8)] + [None] * 6
+    given = ["17/5/2019", "04/09/2019", "1/13/2019", "2019-05-17", "1/2/19", "", " 1/2/2019", None]
+    assert apply(spark, parse_date, given) == [date(2019, 5, 17), date(2019, 9, 4)] + [None] * 6
 
 
 def test_money_rounds_half_up_to_an_exact_decimal(spark):

@@ -1,5 +1,6 @@
 """The physical plans the operators are meant to get."""
 
+import os
 import re
 
 import pytest
@@ -9,6 +10,7 @@ from checks import inputs
 from checks.queries import QUERIES
 from strataline.operators.enrich import Dimension, enrich, even_share, hot_keys
 from strataline.session import scratch, shared_folder
+from strataline.sources import tables
 
 DATA = "/root/testdata/sf0.001"
 PURE = (
@@ -118,6 +120,31 @@ def test_a_split_join_does_not_depend_on_the_number_of_partitions(spark, tmp_pat
             spark.conf.set(name, value)
 
 
+def test_a_bucketed_dimension_is_not_shuffled(spark, tmp_path):
+    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 500).cast("string"))
+    path, schema = str(tmp_path / "facts"), inputs.new_prefix() + "buckets"
+    spark.range(0, 30_000, numPartitions=8).select("id", key.alias("product_id")).write.parquet(path)
+    facts = spark.read.parquet(path)
+    tables.create_schema(spark, schema, str(tmp_path / "schema"))
+    made = facts.select("product_id").distinct().withColumn("category", F.upper("product_id"))
+    products = tables.overwrite_bucketed(made, f"{schema}.products", "product_id", 16, str(tmp_path / "products"))
+    cold = tables.overwrite_bucketed(facts.where("product_id <> 'hot'"), f"{schema}.cold", "product_id", 16, str(tmp_path / "cold"))
+    assert len([f for f in os.listdir(tmp_path / "products") if f.endswith(".parquet")]) == 16
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = enrich(facts, [Dimension(products, "product_id", ["category"], join="split", hot_share=0.1)])
+        text = plan(joined)
+        # The facts alone move, and of them those with a rare key.
+        assert text.count("Exchange hashpartitioning") == 1 and text.count("SortMergeJoin") == 1
+        assert joined.where("category = upper(product_id)").count() == 30_000
+        staged = enrich(cold, [Dimension(products, "product_id", ["category"])])
+        assert "Exchange" not in plan(staged) and "SortMergeJoin" in plan(staged)
+        assert staged.where("category = upper(product_id)").count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_batches_that_wait_together_are_not_shuffled(spark, lake, landing, monkeypatch):
     from strataline.plans import flows
     from strataline.sources import tables
@@ -165,6 +192,16 @@ def test_scratch_goes_below_the_shared_folder(spark):
     assert first != second and first.startswith(shared_folder(spark))
 
 
+def test_scratch_paths_can_be_cleared(spark, monkeypatch):
+    from strataline import session
+
+    monkeypatch.setattr(session, "_given", {})
+    made, unused = scratch(spark, "made"), scratch(spark, "unused")
+    spark.range(3).write.parquet(made)
+    assert session.clear_scratch(spark) == [made] and unused
+    assert not os.path.exists(made.removeprefix("file://")) and session.clear_scratch(spark) == []
+
+
 def test_documents_and_workbooks_are_bounded():
     assert inputs.ORDERS_PER_DOCUMENT < 10_000
     assert inputs.CUSTOMERS_PER_WORKBOOK < 1_048_576

@@ -3,15 +3,16 @@
 One dictionary is trained on good labelled texts and one on bad ones, both without
 the lines that several texts of the sample share. A text is cut into pieces of
 ``PIECE`` bytes, so that a long text does not become its own dictionary, and each
-piece is compressed with either. The difference of the sizes over the text's
-length, with the size under the good dictionary as a second measure, goes through
-a logistic curve that is fitted on labelled texts the dictionaries have not seen,
-weighted to the shares of the classes among all labels.
+piece is compressed with either. What the good dictionary saves over the bad one, over the
+text's length, is the only measure. It is calibrated by isotonic regression on labelled
+texts the dictionaries have not seen, weighted to the shares of the classes among all
+labels: the score is the share of good texts among those measured alike, drawn a
+little to the share among all, and never falls as the measure rises.
 
 Labels are learned from outside the held-out fold only; no column but the text
 enters a score.
 
-Defined results: null and empty texts have sizes 0 and the curve's value there; a
+Defined results: null and empty texts save nothing and have the curve's value there; a
 text of any length is scored whole; without labels of both classes every score is
 the share of good labels (0.5 without any); repeated rows score alike; further
 columns stay as they are.
@@ -74,51 +75,43 @@ class Measure:
             )
         return self
 
-    def sizes(self, text: bytes | None) -> tuple[float, float]:
-        """The difference of the sizes and the size with the good dictionary, each over the length."""
+    def saved(self, text: bytes | None) -> float:
+        """How many bytes fewer the good dictionary takes than the bad one, over the length."""
         text = text or b""
-        good = bad = 0
-        for at in range(0, len(text), PIECE):
-            piece = text[at : at + PIECE]
-            good += len(self.compressors[0].compress(piece))
-            bad += len(self.compressors[1].compress(piece))
-        length = len(text) + LEAST_BYTES
-        return (good - bad) / length, good / length
-
-
-def _terms(sizes: np.ndarray) -> np.ndarray:
-    difference, size = 10 * sizes[:, 0], 3 * sizes[:, 1]
-    return np.stack(
-        [np.ones(len(sizes)), difference, size, difference**2, difference * size, size**2], axis=1
-    )
-
-
-def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-3) -> np.ndarray:
-    """Weights of a penalised logistic regression, by Newton's method."""
-    b = np.zeros(x.shape[1])
-    ridge = penalty * len(y) * np.eye(x.shape[1])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-        curve = weight * p * (1 - p)
-        step = np.linalg.solve((x * curve[:, None]).T @ x + ridge, x.T @ (weight * (y - p)) - ridge @ b)
-        b += step
-        if np.abs(step).max() < 1e-10:
-            break
-    return b
+        good, bad = self.compressors
+        pieces = [text[at : at + PIECE] for at in range(0, len(text), PIECE)]
+        return sum(len(bad.compress(p)) - len(good.compress(p)) for p in pieces) / (len(text) + LEAST_BYTES)
+
+
+def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """Knots of a curve from ``x`` to the mean of ``y`` that never falls, by pooling neighbours that do.
+
+    Each pool is level from its least to its greatest ``x``, and has one more row of weight
+    1 at ``share``, so that no score is quite 0 or 1; between pools the curve is straight.
+    """
+    values, at = np.unique(x, return_inverse=True)
+    sums, weights = np.bincount(at, weight * y), np.bincount(at, weight)
+    pools: list[list[float]] = []
+    for value, total, n in zip(values, sums, weights, strict=True):
+        pools.append([value, value, total, n])
+        while len(pools) > 1 and pools[-2][2] * pools[-1][3] >= pools[-1][2] * pools[-2][3]:
+            _, end, total, n = pools.pop()
+            pools[-1] = [pools[-1][0], end, pools[-1][2] + total, pools[-1][3] + n]
+    knots = np.array([edge for pool in pools for edge in pool[:2]])
+    levels = np.array([(pool[2] + share) / (pool[3] + 1) for pool in pools for _ in range(2)])
+    return knots, np.maximum.accumulate(levels)
 
 
 class Scorer:
     """The fitted measure and curve, or one score for all texts."""
 
-    def __init__(self, measure: Measure | None, curve: np.ndarray | None, constant: float):
+    def __init__(self, measure: Measure | None, curve: tuple[np.ndarray, np.ndarray] | None, constant: float):
         self.measure, self.curve, self.constant = measure, curve, constant
 
     def scores(self, texts: list[bytes | None]) -> list[float]:
         if self.measure is None or not texts:
             return [self.constant] * len(texts)
-        sizes = np.array([self.measure.sizes(t) for t in texts])
-        value = np.clip(_terms(sizes) @ self.curve, -700, 700)
-        return (1 / (1 + np.exp(-value))).tolist()
+        return np.interp([self.measure.saved(t) for t in texts], *self.curve).tolist()
 
 
 def fit(
@@ -138,10 +131,10 @@ def fit(
     own = [[b"\n".join(x for x in t.split(b"\n") if seen[x] == 1) for t in half] for half, _ in halves]
     measure = Measure(*map(_dictionary, own)).start()
     held = halves[0][1], halves[1][1]
-    x = _terms(np.array([measure.sizes(t) for half in held for t in half]))
+    x = np.array([measure.saved(t) for half in held for t in half])
     y = np.repeat([1.0, 0.0], [len(held[0]), len(held[1])])
     weight = np.where(y == 1, share / np.mean(y), (1 - share) / np.mean(1 - y))
-    return Scorer(Measure(*measure.dictionaries), fit_logistic(x, y, weight), share)
+    return Scorer(Measure(*measure.dictionaries), isotonic(x, y, weight, share), share)
 
 
 def with_scores(documents: DataFrame, scorer: Scorer, text: str = "text", keep_text: bool = False) -> DataFrame:

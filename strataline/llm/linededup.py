@@ -134,8 +134,8 @@ def _place(*more: str) -> Column:
     return F.struct(F.col("doc_id").isNull().alias("no_id"), *KEY, *more)
 
 
-def deleted_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(document, ``deleted``): the lines of each document that repeat an earlier run, sorted."""
+def later_runs(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(document, ``start``, ``k``, ``first``): runs of the least length that an earlier place has too, and the first such place."""
     stretches = _stretches(lines, min_words)
     longest = stretches.agg(F.greatest(F.max("forwards"), F.max("backwards"))).first()[0] or 0
     ranks = suffix_ranks(stretches, longest)
@@ -171,16 +171,50 @@ def deleted_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     first = named.groupBy(*name).agg(F.min(_place("start")).alias("first"), F.count("*").alias("n"))
     first = small_enough(written(first.where(F.col("n") > 1), "lines-first"))
     later = named.join(first, name).where(_place("start") != F.col("first"))
+    return later.select(*KEY, "start", "k", "first")
+
+
+def deleted_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(document, ``deleted``): the lines of each document that repeat an earlier run, sorted."""
     own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("hash") == F.col("first.hash"))
     begin = F.when(own, F.greatest("start", F.col("first.start") + F.col("k"))).otherwise(F.col("start"))
+    # Runs overlap: each adds the lines beyond those that reach farthest before it.
+    before = W.partitionBy(*KEY).orderBy("begin", "end").rowsBetween(W.unboundedPreceding, -1)
+    spans = later_runs(lines, min_words).select(*KEY, begin.alias("begin"), (F.col("start") + F.col("k") - 1).alias("end"))
+    new = spans.withColumn("next", F.greatest("begin", F.max("end").over(before) + 1)).where(F.col("next") <= F.col("end"))
     return written(
-        later.select(*KEY, F.explode(F.sequence(begin, F.col("start") + F.col("k") - 1)).alias("line"))
+        new.select(*KEY, F.explode(F.sequence("next", "end")).alias("line"))
         .groupBy(*KEY)
-        .agg(F.array_sort(F.collect_set("line")).alias("deleted")),
+        .agg(F.array_sort(F.collect_list("line")).alias("deleted")),
         "lines-deleted",
     )
 
 
+def repeated_runs(
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS
+) -> DataFrame:
+    """The maximal runs that an earlier place has too.
+
+    A row has the document (``doc_id``, ``hash`` of its text), the run's ``start`` and number of
+    ``lines``, and where the same lines come first (``first_doc_id``, ``first_hash``,
+    ``first_start``). Runs of the least length that follow each other here and at their
+    first place are one; where the first place changes to another document, a new run begins.
+    """
+    runs = later_runs(line_table(documents, doc_id, text), min_words).select(
+        *KEY, "start", "k", F.col("first.doc_id").alias("first_doc_id"), F.col("first.hash").alias("first_hash"),
+        F.col("first.start").alias("first_start"),
+    )
+    along = [*KEY, "first_doc_id", "first_hash", "shift"]
+    shifted = runs.withColumn("shift", F.col("start") - F.col("first_start")).withColumn("end", F.col("start") + F.col("k"))
+    order = W.partitionBy(*along).orderBy("start", "end")
+    reach = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))
+    begins = F.when(F.col("start") <= reach, 0).otherwise(1)
+    numbered = shifted.withColumn("begins", begins).withColumn("run", F.sum("begins").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    return numbered.groupBy(*along, "run").agg(
+        F.min("start").alias("start"), (F.max("end") - F.min("start")).alias("lines"), F.min("first_start").alias("first_start")
+    ).drop("shift", "run")
+
+
 def _same(left: DataFrame, right: DataFrame) -> Column:
     return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["hash"] == right["hash"])
 

@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from strataline.llm.linededup import line_report, remove_repeated_lines
+from strataline.llm.linededup import line_report, remove_repeated_lines, repeated_runs
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -46,6 +46,35 @@ def test_report_agrees_with_brute_force(docs, least):
     assert got == brute(texts, least)
 
 
+@pytest.mark.parametrize("least", [1, 3, 7])
+def test_runs_are_the_same_lines_and_maximal(docs, least):
+    rng = random.Random(100 + least)
+    pool = [" ".join("abc"[rng.randrange(3)] for _ in range(rng.randrange(1, 5))) for _ in range(6)]
+    texts = ["\n".join(rng.choice(pool) for _ in range(rng.randrange(14))) for _ in range(20)] + [None, "\n".join(["x y"] * 12)]
+    lines = [content(t) for t in texts]
+    deleted = {r.doc_id: set(r.deleted) for r in line_report(docs(texts), min_words=least).collect()}
+    found, covered = repeated_runs(docs(texts), min_words=least).collect(), {}
+    assert found
+    for r in found:
+        own, first = lines[r.doc_id], lines[r.first_doc_id]
+        assert (r.first_doc_id, r.first_start) < (r.doc_id, r.start)
+        run = own[r.start : r.start + r.lines]
+        assert run == first[r.first_start : r.first_start + r.lines] and len(run) == r.lines
+        assert sum(len(x.split()) for x in run) >= least
+        covered.setdefault(r.doc_id, set()).update(range(r.start, r.start + r.lines))
+    assert all(deleted[d] <= covered.get(d, set()) for d in deleted)
+    for a in found:
+        for b in found:
+            same = (a.doc_id, a.first_doc_id, a.start - a.first_start) == (b.doc_id, b.first_doc_id, b.start - b.first_start)
+            assert a == b or not same or b.start > a.start + a.lines or a.start > b.start + b.lines
+
+
+def test_a_long_passage_is_one_run(docs):
+    passage = "\n".join(f"line {k} with these seven words here" for k in range(40))
+    (run,) = repeated_runs(docs([f"a\n{passage}", f"x\ny\n{passage}\nz"])).collect()
+    assert (run.doc_id, run.start, run.lines, run.first_doc_id, run.first_start) == (1, 2, 40, 0, 1)
+
+
 def test_text_without_the_repeated_run(docs):
     passage = "\n".join(f"line {k} with these seven words here" for k in range(9))
     frame = docs([f"first\n{passage}\nend", f"a\n\n{passage}\n \nb", passage, "short\nline"])

@@ -44,7 +44,7 @@ WINDOW = 4096
 END = 2
 VOCABULARY = "word_bpe_49k.json"
 SHARD_TOKENS = 1 << 25
-KEPT = 1 << 19
+KEPT = 1 << 20
 LONGEST_KEPT = 64
 """Bytes of the words whose ids are kept."""
 WORD_END = "</w>"
@@ -117,17 +117,28 @@ class Words:
         known = self.known
         cut = [self.cut(t) if t else [] for t in texts]
         found = [list(map(known.get, parts)) for parts in cut]
-        gaps = [k for k, f in enumerate(found) if None in f]
-        new = {part for k in gaps for part, f in zip(cut[k], found[k], strict=True) if f is None}
-        made = self._encode(sorted(new)) if new else {}
-        for k in gaps:
-            found[k] = [made[part] if f is None else f for part, f in zip(cut[k], found[k], strict=True)]
+        gaps = [(ids, parts, [*_places(ids, None)]) for ids, parts in zip(found, cut, strict=True) if None in ids]
+        made = self._encode(sorted({parts[k] for _, parts, places in gaps for k in places})) if gaps else {}
+        for ids, parts, places in gaps:
+            for k in places:
+                ids[k] = made[parts[k]]
         if len(known) + len(made) > KEPT:
             known = self.known = {b"": b""}
         known.update((part, ids) for part, ids in made.items() if len(part) <= LONGEST_KEPT)
         return map(b"".join, found)
 
 
+def _places(items: list, wanted: object) -> Iterator[int]:
+    """Where the item stands in the list."""
+    at = -1
+    try:
+        while True:
+            at = items.index(wanted, at + 1)
+            yield at
+    except ValueError:
+        return
+
+
 def _words_of_worker(model: str) -> Words:
     """The worker's own: Spark runs many tasks in a Python worker, and words stay known between them."""
     place = sys.modules.setdefault(OF_WORKER, ModuleType(OF_WORKER))
@@ -159,13 +170,13 @@ def pieces(
 ) -> DataFrame:
     """The other columns (``row``) with each piece of the documents, written.
 
-    ``vocabulary`` is a tokenizer file that the driver can read. With ``keep_ids`` the
-    ids of a piece come along as an array.
+    ``vocabulary`` is a tokenizer file that the driver can read. With ``keep_ids`` a
+    piece's ids come along.
     """
     with open(vocabulary, encoding="utf-8") as file:
         model = documents.sparkSession.sparkContext.broadcast(file.read())
     frame = documents.select(*packed(documents, text))
-    fields = [*PIECE.fields, *([T.StructField("ids", T.BinaryType())] if keep_ids else [])]
+    fields = [*PIECE.fields, *([T.StructField("ids", T.ArrayType(T.IntegerType()))] if keep_ids else [])]
     out = T.StructType([frame.schema[ROW], *fields])
     mark = np.asarray([end], "<u4").tobytes()
 
@@ -181,26 +192,18 @@ def pieces(
                     for begin in range(0, len(ids), width):
                         part = ids[begin : begin + width]
                         owner.append(k)
-                        values = (number, begin // 4, len(part) // 4, zlib.crc32(part), len(ids) // 4, part)
-                        for column, value in zip(columns, values, strict=False):
+                        values = [number, begin // 4, len(part) // 4, zlib.crc32(part), len(ids) // 4]
+                        if keep_ids:
+                            values.append(np.frombuffer(part, "<u4").astype(np.int32))
+                        for column, value in zip(columns, values, strict=True):
                             column.append(value)
                         number += 1
                 rows = batch.column(batch.schema.get_field_index(ROW)).take(pa.array(owner, pa.int64()))
-                kinds = [pa.int64()] * len(PIECE.fields) + [pa.binary()] * keep_ids
+                kinds = [pa.int64()] * len(PIECE.fields) + [pa.list_(pa.int32())] * keep_ids
                 arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([rows, *arrays], names=[ROW, *(f.name for f in fields)])
 
-    made = written(frame.mapInArrow(run, out), "pieces")
-    if not keep_ids:
-        return made
-    return made.withColumn("ids", F.expr(_IDS))
-
-
-# Four bytes at a time, lowest first.
-_IDS = (
-    "transform(sequence(0, cast(length as int) - 1), i -> cast(conv(hex(reverse(substring(ids, 4 * i + 1, 4))), 16, 10)"
-    " as bigint))"
-)
+    return written(frame.mapInArrow(run, out), "pieces")
 
 
 class Windows:

@@ -90,3 +90,21 @@ def test_stages_return_the_columns_of_documents(spark, nothing):
     frame = nothing.select("doc_id", "text", "lang", "source", "n_chars")
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, frame, DATA).schema.names == frame.columns, name
+
+
+def test_pipeline_with_awkward_documents(spark, awkward, tmp_path):
+    """Nulls, empty and long texts, repeated rows, no rows, and columns with the operators' names, through all stages."""
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{DATA}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    columns = awkward.columns
+    for documents in (awkward, awkward.limit(0)):
+        frame = documents
+        for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            frame = stage(spark, frame, str(tmp_path))
+            if k < len(corpus_pipeline.STAGES) - 1:
+                assert frame.columns == columns, name
+                frame.write.mode("overwrite").parquet(str(tmp_path / f"stage{k}"))
+                frame = spark.read.schema(awkward.schema).parquet(str(tmp_path / f"stage{k}"))
+        assert frame.columns == [*columns, "mix_shard_", "mix_place_"]
+        ids = {(r.doc_id, r.text) for r in documents.collect()}
+        assert {(r.doc_id, r.text) for r in frame.collect()} <= ids

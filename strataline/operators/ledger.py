@@ -90,27 +90,22 @@ class BatchMarks(Log):
     def _of(self, flow: str) -> DataFrame:
         return self.rows().where(F.col("flow") == flow)
 
-    def steps(self, flow: str) -> list[tuple[str, str]]:
-        """All (batch, step) of a flow, in one look."""
-        return [tuple(row) for row in self._of(flow).select("batch", "step").distinct().collect()]
+    def steps(self, flow: str) -> set[tuple[str, str]]:
+        """All (batch, step) of a flow, in one look and without a shuffle."""
+        return {tuple(row) for row in self._of(flow).select("batch", "step").collect()}
 
-    def has(self, flow: str, batch: str, step: str) -> bool:
-        wanted = (F.col("batch") == batch) & (F.col("step") == step)
-        return not self._of(flow).where(wanted).isEmpty()
 
     def reached(self, flow: str, step: str) -> DataFrame:
         """The batches (column ``batch``) that passed a step."""
         return self._of(flow).where(F.col("step") == step).select("batch").distinct()
 
     def passed(self, flow: str, step: str) -> list[str]:
-        return sorted(row.batch for row in self.reached(flow, step).collect())
+        return sorted(batch for batch, reached in self.steps(flow) if reached == step)
 
     def pending(self, flow: str, after: str, before: str) -> list[str]:
         """Names of batches that passed ``after`` but not yet ``before``."""
-        reached = F.bool_or(F.col("step") == after)
-        left = F.bool_or(F.col("step") == before)
-        waiting = self._of(flow).groupBy("batch").agg(reached.alias("a"), left.alias("b"))
-        return sorted(row.batch for row in waiting.where("a and not b").collect())
+        steps = self.steps(flow)
+        return sorted(batch for batch, step in steps if step == after and (batch, before) not in steps)
 
 
 def list_files(spark: SparkSession, folder: str | Sequence[str], glob: str = "*") -> DataFrame:

@@ -6,8 +6,9 @@ raised leave it, and the partial sketches of a segment are merged by adding, up
 A hash with a counter that stays below 2 occurs once; all others possibly repeat.
 Counters are about ``CELLS_EACH`` for a row, so two in a hundred of the hashes that
 occur once are not cleared. Segments are all alike and their number grows with
-the rows; the table of segments is broadcast while it is small, and beyond that the
-hashes, never what they stand for, are shuffled to it.
+the rows. The table of segments is broadcast up to 32 MB, which is some 26 million rows;
+beyond that the rows that are looked up are shuffled to it, with all their columns, and
+adaptive execution splits a hot segment.
 
 Defined results: null hashes count as a hash of their own; no rows give an empty
 sketch, which clears everything.

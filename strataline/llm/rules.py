@@ -10,7 +10,7 @@ named, never whether a text is kept. Costs count in powers of two, so that the o
 does not follow small differences of time.
 
 All rules are built-in expressions. ``judged(report=True)`` also counts words, symbols
-and repetitions of every text for a report; the base rules then read those counts.
+and repetitions of every text for a report; the rules then read those counts.
 The words repeated within a text come from a hash of each window of five words: only
 texts in which two hashes are equal look for their places.
 
@@ -40,12 +40,40 @@ SMALL = CAPITALS.lower()
 WORD = r"[^\x20\x09-\x0D]"
 
 
+class Text:
+    """A text without nulls as rules see it: what they ask for is counted where they ask, or was before."""
+
+    def __init__(self, text: Column, counted: Column | None = None):
+        self.text, self.counted = text, counted
+
+    def _count(self, name: str, own: Callable[[Column], Column]) -> Column:
+        return own(self.text) if self.counted is None else self.counted[name]
+
+    @property
+    def n_words(self) -> Column:
+        return self._count("n_words", lambda t: F.regexp_count(t, F.lit(f"{WORD}+")))
+
+    @property
+    def word_chars(self) -> Column:
+        return self._count("word_chars", _word_chars)
+
+    @property
+    def n_symbols(self) -> Column:
+        return self._count("n_symbols", lambda t: _removed(t, SYMBOLS))
+
+    def repeated_words(self) -> Column:
+        """Whether more than a fifth of the words are in repeated windows."""
+        if self.counted is not None:
+            return _repeated_words(self.counted["n_repeat_words"], self.counted["n_words"])
+        return let(space_words(self.text), lambda w: _repeated_words(n_repeat_words(w), F.size(w)))
+
+
 @dataclass(frozen=True)
 class Rule:
-    """A name and, for a text without nulls, the condition under which it is rejected."""
+    """A name and the condition under which a text is rejected."""
 
     name: str
-    rejects: Callable[[Column], Column]
+    rejects: Callable[[Text], Column]
 
 
 @dataclass(frozen=True)
@@ -62,6 +90,10 @@ def _removed(text: Column, characters: str) -> Column:
     return F.char_length(text) - F.char_length(F.translate(text, characters, ""))
 
 
+def _word_chars(text: Column) -> Column:
+    return F.char_length(F.translate(text, " " + SPACES, ""))
+
+
 def _content_lines(text: Column) -> Column:
     return F.filter(F.split(text, "\n"), lambda line: F.regexp_like(line, F.lit(WORD)))
 
@@ -121,7 +153,7 @@ def counts(text: Column) -> Column:
             w["all"].alias("n_words"),
             w["repeated"].alias("n_repeat_words"),
             lines.alias("n_dup_lines"),
-            F.char_length(F.translate(text, " " + SPACES, "")).cast("bigint").alias("word_chars"),
+            _word_chars(text).cast("bigint").alias("word_chars"),
             _removed(text, SYMBOLS).cast("bigint").alias("n_symbols"),
         ),
     )
@@ -149,18 +181,18 @@ def _monotonous(words: Column) -> Column:
 def production_rules() -> list[Rule]:
     """The base rules, and limits on symbols, capitals, exclamations, lines, and words."""
 
-    def n_words(text: Column) -> Column:
-        return F.size(space_words(text))
+    def lines(t: Text) -> Column:
+        return let(_content_lines(t.text), lambda x: 2 * F.size(F.array_distinct(x)) < F.size(x))
 
     return [
-        Rule("few_words", lambda t: _few_words(n_words(t))),
-        Rule("repeated_words", lambda t: let(space_words(t), lambda w: _repeated_words(n_repeat_words(w), F.size(w)))),
-        Rule("symbols", lambda t: 10 * _removed(t, SYMBOLS) > n_words(t)),
-        Rule("capitals", lambda t: _removed(t, CAPITALS) > _removed(t, SMALL)),
-        Rule("exclamations", lambda t: 2 * _removed(t, "!") > n_words(t)),
-        Rule("repeated_lines", lambda t: let(_content_lines(t), lambda x: 2 * F.size(F.array_distinct(x)) < F.size(x))),
-        Rule("few_distinct_words", lambda t: let(space_words(t), _monotonous)),
-        Rule("long_words", lambda t: F.char_length(F.translate(t, " " + SPACES, "")) > 15 * n_words(t)),
+        Rule("few_words", lambda t: _few_words(t.n_words)),
+        Rule("repeated_words", Text.repeated_words),
+        Rule("symbols", lambda t: 10 * t.n_symbols > t.n_words),
+        Rule("capitals", lambda t: _removed(t.text, CAPITALS) > _removed(t.text, SMALL)),
+        Rule("exclamations", lambda t: 2 * _removed(t.text, "!") > t.n_words),
+        Rule("repeated_lines", lines),
+        Rule("few_distinct_words", lambda t: let(space_words(t.text), _monotonous)),
+        Rule("long_words", lambda t: t.word_chars > 15 * t.n_words),
     ]
 
 
@@ -173,7 +205,7 @@ def estimates(
     """The rules in the order of the cascade, from about ``sample_rows`` of the texts (``text``, no nulls)."""
     total = texts.count()
     sample = written(texts.sample(fraction=min(1.0, sample_rows / max(1, total)), seed=3), "rules-sample")
-    text = F.col("text")
+    text = Text(F.col("text"))
 
     def seconds(condition: Column) -> float:
         def once() -> float:
@@ -184,7 +216,7 @@ def estimates(
         once()  # compiles the condition
         return min(once() for _ in range(repeats))
 
-    idle = seconds(text.isNull())
+    idle = seconds(F.col("text").isNull())
     cost = {rule.name: max(seconds(_of(rule, text)) - idle, 1e-3) for rule in rules}
     cost = {name: 2.0 ** round(math.log2(value)) for name, value in cost.items()}
     together = F.array_compact(F.array(*(F.when(_of(rule, text), F.lit(rule.name)) for rule in rules)))
@@ -199,11 +231,11 @@ def estimates(
     return order
 
 
-def _of(rule: Rule, text: Column) -> Column:
+def _of(rule: Rule, text: Text) -> Column:
     return F.coalesce(rule.rejects(text), F.lit(False))
 
 
-def cascade(rules: list[Rule], text: Column) -> Column:
+def cascade(rules: list[Rule], text: Text) -> Column:
     """The name of the first rule in this order that rejects a text, null if none does."""
     verdict = F.lit(None).cast("string")
     for rule in reversed(rules):
@@ -221,21 +253,17 @@ def judged(
 ) -> DataFrame:
     """Each document's other columns (``row``), its ``text`` and the rule that rejects it.
 
-    With a ``report`` also its ``counts``, which the base rules then use, before all others.
+    With a ``report`` also its ``counts``, which the rules then use, the base rules first.
     """
     body = F.coalesce("text", F.lit(""))
     texts = documents.select(F.coalesce(quoted(text).cast("string"), F.lit("")).alias("text"))
     order = [e.rule for e in estimates(texts, rules or production_rules(), sample_rows)]
     frame = documents.select(*packed(documents, text))
-    if report:
-        frame = frame.withColumn("counts", counts(body))
-        c = F.col("counts")
-        by_counts = [
-            Rule(BASE[0], lambda _: _few_words(c["n_words"])),
-            Rule(BASE[1], lambda _: _repeated_words(c["n_repeat_words"], c["n_words"])),
-        ]
-        order = by_counts + [rule for rule in order if rule.name not in BASE]
-    return frame.withColumn(as_name, cascade(order, body))
+    if not report:
+        return frame.withColumn(as_name, cascade(order, Text(body)))
+    order.sort(key=lambda rule: rule.name not in BASE)
+    seen = Text(body, F.col("counts"))
+    return frame.withColumn("counts", counts(body)).withColumn(as_name, cascade(order, seen))
 
 
 def keep_accepted(documents: DataFrame, text: str = "text", rules: list[Rule] | None = None) -> DataFrame:

@@ -41,7 +41,7 @@ def test_order_does_not_change_what_is_kept(spark, docs):
     all_rules = rules.production_rules()
     kept = []
     for order in (all_rules, all_rules[::-1]):
-        rows = frame.withColumn("by", rules.cascade(order, F.col("text"))).collect()
+        rows = frame.withColumn("by", rules.cascade(order, rules.Text(F.col("text")))).collect()
         kept.append([r.doc_id for r in rows if r.by is None])
     assert kept[0] == kept[1]
     for report in (False, True):
@@ -53,10 +53,10 @@ def test_order_does_not_change_what_is_kept(spark, docs):
 def test_the_cascade_goes_by_what_earlier_rules_leave(docs, monkeypatch):
     frame = docs(["a b c"] * 30 + ["a " * 40] * 10 + ["b " * 40] * 2).select("text")
     made = [
-        rules.Rule("none", lambda t: t.isNull()),
-        rules.Rule("short", lambda t: F.length(t) < 10),
-        rules.Rule("short or b", lambda t: (F.length(t) < 10) | F.startswith(t, F.lit("b"))),
-        rules.Rule("a", lambda t: F.startswith(t, F.lit("a"))),
+        rules.Rule("none", lambda t: t.text.isNull()),
+        rules.Rule("short", lambda t: F.length(t.text) < 10),
+        rules.Rule("short or b", lambda t: (F.length(t.text) < 10) | F.startswith(t.text, F.lit("b"))),
+        rules.Rule("a", lambda t: F.startswith(t.text, F.lit("a"))),
     ]
     monkeypatch.setattr(rules.time, "perf_counter", lambda: 0.0)  # all cost the same
     found = rules.estimates(frame, made, sample_rows=100)
@@ -65,8 +65,8 @@ def test_the_cascade_goes_by_what_earlier_rules_leave(docs, monkeypatch):
 
 def test_dear_rules_come_late(docs):
     frame = docs(["a b c " * 50] * 30 + ["x"] * 10).select("text")
-    dear = rules.Rule("dear", lambda t: F.length(F.aggregate(F.sequence(F.lit(1), F.lit(3000)), t, lambda a, _: F.reverse(a))) < 5)
-    cheap = rules.Rule("cheap", lambda t: F.length(t) < 5)
+    dear = rules.Rule("dear", lambda t: F.length(F.aggregate(F.sequence(F.lit(1), F.lit(3000)), t.text, lambda a, _: F.reverse(a))) < 5)
+    cheap = rules.Rule("cheap", lambda t: F.length(t.text) < 5)
     found = rules.estimates(frame, [dear, cheap], sample_rows=100)
     assert [e.rule.name for e in found] == ["cheap", "dear"] and found[1].rejected == 0
 
@@ -75,7 +75,7 @@ FAILING = rules.Rule("fails", lambda _: F.raise_error(F.lit("asked")).cast("bool
 
 
 def test_a_rejected_text_is_not_shown_to_later_rules(spark, docs, monkeypatch):
-    first = rules.Rule("long", lambda t: F.length(t) > 2)
+    first = rules.Rule("long", lambda t: F.length(t.text) > 2)
     frame = docs(["four", "five", "six!"])
     monkeypatch.setattr(rules, "estimates", lambda _, given, __: [rules.Estimate(r, 1, 1) for r in given])
     assert rules.keep_accepted(frame, rules=[first, FAILING]).collect() == []
@@ -84,6 +84,14 @@ def test_a_rejected_text_is_not_shown_to_later_rules(spark, docs, monkeypatch):
         rules.keep_accepted(docs(["a"]), rules=[first, FAILING]).collect()
 
 
+def test_counts_are_the_same_where_rules_ask_and_before(docs):
+    texts = ["a\tb\n\x0bc  d#e é\U0001f600", "", " \n", "x", "\x1c \x85 \xa0", " lead and trail \r\n"]
+    frame = docs(texts).withColumn("counts", rules.counts(F.col("text")))
+    here, before = rules.Text(F.col("text")), rules.Text(F.col("text"), F.col("counts"))
+    for name in ("n_words", "word_chars", "n_symbols"):
+        assert frame.where(getattr(here, name) != getattr(before, name)).isEmpty()
+
+
 def test_nothing_is_counted_for_documents_that_are_only_kept(docs):
     text = rules.keep_accepted(docs(["a b c"]))._jdf.queryExecution().analyzed().toString()
     assert "n_dup_lines" not in text and "word_chars" not in text

@@ -103,10 +103,14 @@ def hot_keys(facts: DataFrame, key: str, share: float) -> HotKeys:
     total, present, found = keys.agg(F.count(F.lit(1)), F.count("key"), sketch).first()
     spark = facts.sparkSession
     schema = StructType([StructField("key", facts.schema[key].dataType), StructField("n", LongType())])
-    # The sketch counts to at least what it says it may be off by, so no candidate is missing.
-    candidates = spark.createDataFrame([(row.item, 0) for row in found], schema).select("key")
-    counts = keys.join(F.broadcast(candidates), "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    kept = [(row.key, row.n) for row in counts.where(F.col("n") > share * total).collect()]
+    # The sketch never counts too low and returns all keys it counts above what it may be off
+    # by, so no key is missing among those it counts above the share.
+    candidates = [(row.item, 0) for row in found if row["count"] > share * total]
+    kept = []
+    if candidates:
+        named = F.broadcast(spark.createDataFrame(candidates, schema).select("key"))
+        counts = keys.join(named, "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        kept = [(row.key, row.n) for row in counts.where(F.col("n") > share * total).collect()]
     hot = spark.createDataFrame(sorted(kept, key=lambda row: -row[1]), schema)
     return HotKeys(hot, total - present, total)
 

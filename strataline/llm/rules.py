@@ -31,35 +31,36 @@ from pyspark.sql import functions as F
 
 from strataline.llm.common import SPACES, let, packed, quoted, space_words, unpacked, written
 
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
 SAMPLE_ROWS = 2_000
 REPEATS = 3
-CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-SMALL = CAPITALS.lower()
-WORD = r"[^\x20\x09-\x0D]"
+CAPITALS, SMALL = "[A-Z]", "[a-z]"
+BLANK, WORD = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
 
 
 class Text:
     """A text without nulls as rules see it: what they ask for is counted where they ask, or was before."""
 
-    def __init__(self, text: Column, counted: Column | None = None):
-        self.text, self.counted = text, counted
+    def __init__(self, text: Column, counted: Column | None = None, n_words: Column | None = None):
+        self.text, self.counted, self._n_words = text, counted, n_words
 
-    def _count(self, name: str, own: Callable[[Column], Column]) -> Column:
-        return own(self.text) if self.counted is None else self.counted[name]
+    def _own(self, name: str, count: Callable[[Column], Column]) -> Column:
+        return count(self.text) if self.counted is None else self.counted[name]
 
     @property
     def n_words(self) -> Column:
-        return self._count("n_words", lambda t: F.regexp_count(t, F.lit(f"{WORD}+")))
+        if self._n_words is not None:
+            return self._n_words
+        return self._own("n_words", lambda t: _count(t, f"{WORD}+"))
 
     @property
     def word_chars(self) -> Column:
-        return self._count("word_chars", _word_chars)
+        return self._own("word_chars", _word_chars)
 
     @property
     def n_symbols(self) -> Column:
-        return self._count("n_symbols", lambda t: _removed(t, SYMBOLS))
+        return self._own("n_symbols", lambda t: _count(t, SYMBOLS))
 
     def repeated_words(self) -> Column:
         """Whether more than a fifth of the words are in repeated windows."""
@@ -85,13 +86,13 @@ class Estimate:
     seconds: float
 
 
-def _removed(text: Column, characters: str) -> Column:
-    """How many of these characters the text has."""
-    return F.char_length(text) - F.char_length(F.translate(text, characters, ""))
+def _count(text: Column, pattern: str) -> Column:
+    """How often the pattern, of a character or a run, stands in the text."""
+    return F.regexp_count(text, F.lit(pattern))
 
 
 def _word_chars(text: Column) -> Column:
-    return F.char_length(F.translate(text, " " + SPACES, ""))
+    return F.char_length(text) - _count(text, BLANK)
 
 
 def _content_lines(text: Column) -> Column:
@@ -154,7 +155,7 @@ def counts(text: Column) -> Column:
             w["repeated"].alias("n_repeat_words"),
             lines.alias("n_dup_lines"),
             _word_chars(text).cast("bigint").alias("word_chars"),
-            _removed(text, SYMBOLS).cast("bigint").alias("n_symbols"),
+            _count(text, SYMBOLS).cast("bigint").alias("n_symbols"),
         ),
     )
 
@@ -188,8 +189,8 @@ def production_rules() -> list[Rule]:
         Rule("few_words", lambda t: _few_words(t.n_words)),
         Rule("repeated_words", Text.repeated_words),
         Rule("symbols", lambda t: 10 * t.n_symbols > t.n_words),
-        Rule("capitals", lambda t: _removed(t.text, CAPITALS) > _removed(t.text, SMALL)),
-        Rule("exclamations", lambda t: 2 * _removed(t.text, "!") > t.n_words),
+        Rule("capitals", lambda t: _count(t.text, CAPITALS) > _count(t.text, SMALL)),
+        Rule("exclamations", lambda t: 2 * _count(t.text, "!") > t.n_words),
         Rule("repeated_lines", lines),
         Rule("few_distinct_words", lambda t: let(space_words(t.text), _monotonous)),
         Rule("long_words", lambda t: t.word_chars > 15 * t.n_words),
@@ -260,7 +261,9 @@ def judged(
     order = [e.rule for e in estimates(texts, rules or production_rules(), sample_rows)]
     frame = documents.select(*packed(documents, text))
     if not report:
-        return frame.withColumn(as_name, cascade(order, Text(body)))
+        # Most rules go by the words, so these are counted once; all else where it is asked for.
+        verdict = let(Text(body).n_words, lambda n: cascade(order, Text(body, n_words=n)))
+        return frame.withColumn(as_name, verdict)
     order.sort(key=lambda rule: rule.name not in BASE)
     seen = Text(body, F.col("counts"))
     return frame.withColumn("counts", counts(body)).withColumn(as_name, cascade(order, seen))

@@ -1,3 +1,4 @@
+import gzip
 import json
 import os
 from datetime import datetime, timedelta, timezone
@@ -703,6 +704,24 @@ def test_several_waiting_batches_write_a_file_each(lake, landing, monkeypatch):
     assert batches > 2 and len(lake.spark.table(lake.kpi_table).inputFiles()) == batches
 
 
+def test_compressed_files_are_loaded(lake, landing):
+    text = json.dumps(order(1)).encode()
+    landing("orders/a.json.gz", gzip.compress(text))
+    landing("orders/b.json", json.dumps(order(2)))
+    landing("orders/c.json.gz.part", gzip.compress(text))
+    lake.spark.createDataFrame([(json.dumps(order(3)),)], "value string").coalesce(1).write.text(
+        f"{landing.folder}/orders/more", compression="lz4"
+    )
+    for file in os.listdir(f"{landing.folder}/orders/more"):
+        if file.endswith(".lz4"):
+            whole = f"{landing.folder}/orders/more/{file}"
+            landing("orders/d.json.lz4", open(whole, "rb").read())
+    flows.load_orders(lake, f"{landing.folder}/orders", at(0), lines=True)
+    assert rows(lake.orders().select("row_id")) == [(1,), (2,), (3,)]
+    read = lake.raw("orders").select(F.regexp_extract("file_path", r"[^/]+$", 0))
+    assert rows(read) == [("a.json.gz",), ("b.json",), ("d.json.lz4",)]
+
+
 # --- what was read -------------------------------------------------------------------
 
 

@@ -37,7 +37,8 @@ class Dimension:
       adaptive execution splits skewed shuffle partitions.
     * ``measured``: the dimension's bytes are summed first (one aggregate over
       the needed columns). Within ``broadcast_limit`` it is broadcast, beyond
-      it the join is split.
+      it the join is split. If a shuffle partition of it is within the limit, tasks
+      hold their part of the dimension as a hash table, so the facts are not sorted.
     * ``broadcast``: what ``measured`` comes to within the limit.
     * ``split``: keys with more facts than an even part of a shuffle partition are
       looked for first, by a sketch of bounded size and one exact count. Their
@@ -55,6 +56,8 @@ class Dimension:
     join: str = "auto"
     broadcast_limit: int = BROADCAST_LIMIT
     hot_share: float | None = None
+    size: int | None = None
+    """Bytes, once measured."""
 
 
 def measured_bytes(rows: DataFrame) -> int:
@@ -70,7 +73,14 @@ def resolved(dimension: Dimension) -> Dimension:
     if dimension.join != "measured":
         return dimension
     size = measured_bytes(dimension.rows.select(dimension.key, *dimension.columns))
-    return replace(dimension, join="broadcast" if size <= dimension.broadcast_limit else "split")
+    return replace(dimension, join="broadcast" if size <= dimension.broadcast_limit else "split", size=size)
+
+
+def _hashed(lookup: DataFrame, dimension: Dimension) -> DataFrame:
+    """The lookup, to be held as a hash table in a shuffled join, if its parts are known to be small."""
+    parts = int(lookup.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    small = dimension.size is not None and dimension.size <= parts * dimension.broadcast_limit
+    return lookup.hint("shuffle_hash") if small else lookup
 
 
 def is_broadcast(dimension: Dimension) -> bool:
@@ -130,8 +140,9 @@ def _rows_of_hot(lookup: DataFrame, key: str, hot: DataFrame, limit: int) -> tup
         hot = hot.sparkSession.createDataFrame(hot.take(hot.count() // 2), hot.schema)
 
 
-def _split_join(facts: DataFrame, lookup: DataFrame, key: str, hot: DataFrame, limit: int) -> DataFrame:
-    hot, rows = _rows_of_hot(lookup, key, hot, limit)
+def _split_join(facts: DataFrame, lookup: DataFrame, hot: DataFrame, dimension: Dimension) -> DataFrame:
+    key = dimension.key
+    hot, rows = _rows_of_hot(lookup, key, hot, dimension.broadcast_limit)
     named = F.broadcast(hot.select(F.col("key").alias(key), F.lit(True).alias(_HOT)))
     marked = facts.join(named, key, "left")
     # Facts without a key stay where they are too: the broadcast rows do not match them.
@@ -139,21 +150,22 @@ def _split_join(facts: DataFrame, lookup: DataFrame, key: str, hot: DataFrame, l
     at_rest = marked.where(stay).drop(_HOT).join(F.broadcast(rows), key, "left")
     cold = lookup.join(named, key, "left_anti").where(F.col(key).isNotNull())
     moved = marked.where(F.col(_HOT).isNull() & F.col(key).isNotNull()).drop(_HOT)
-    return at_rest.unionByName(moved.join(cold, key, "left"))
+    return at_rest.unionByName(moved.join(_hashed(cold, dimension), key, "left"))
 
 
 def _join(
     facts: DataFrame, counted: DataFrame, lookup: DataFrame, dimension: Dimension
 ) -> DataFrame:
-    how, key = resolved(dimension).join, dimension.key
+    dimension = resolved(dimension)
+    how, key = dimension.join, dimension.key
     if how == "broadcast":
         return facts.join(F.broadcast(lookup), key, "left")
     if how == "split":
         share = dimension.hot_share or even_share(facts)
         hot = hot_keys(counted, key, share)
         if hot.counts.isEmpty() and hot.missing <= share * hot.total:
-            return facts.join(lookup, key, "left")
-        return _split_join(facts, lookup, key, hot.counts, dimension.broadcast_limit)
+            return facts.join(_hashed(lookup, dimension), key, "left")
+        return _split_join(facts, lookup, hot.counts, dimension)
     if how == "auto":
         return facts.join(lookup, key, "left")
     raise ValueError(f"unknown join {dimension.join!r}")

@@ -200,6 +200,22 @@ def test_a_large_dimension_is_measured_and_not_broadcast(spark):
     assert size == 2 * 32 + 2 + 1 + 2
 
 
+@pytest.mark.parametrize("limit,hashed", [(100, True), (10, False)])
+def test_a_measured_dimension_of_small_parts_leaves_the_facts_unsorted(spark, limit, hashed):
+    keys = ["hot"] * 40 + [f"k{i % 9}" for i in range(30)] + [None] * 20
+    facts = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "n int, product_id string")
+    products = spark.createDataFrame([("hot", "h"), *((f"k{i}", f"c{i}") for i in range(5))], "product_id string, category string")
+
+    def joined(hot_share, **options):
+        return enrich(facts, [Dimension(products, "product_id", ["category"], hot_share=hot_share, **options)])
+
+    for hot_share in (1.0, 0.2):
+        measured = joined(hot_share, join="measured", broadcast_limit=limit)
+        hints = measured._jdf.queryExecution().analyzed().toString()
+        assert ("strategy=shuffle_hash" in hints) == hashed
+        assert rows(measured) == rows(joined(hot_share, join="auto"))
+
+
 def test_equal_names_are_refused(spark):
     facts = spark.createDataFrame([("p1", "x")], "product_id string, category string")
     with pytest.raises(ValueError):

@@ -704,6 +704,31 @@ def test_several_waiting_batches_write_a_file_each(lake, landing, monkeypatch):
     assert batches > 2 and len(lake.spark.table(lake.kpi_table).inputFiles()) == batches
 
 
+@pytest.mark.parametrize("join", ["split", "broadcast"])
+def test_few_waiting_batches_are_refined_without_a_shuffle_or_sort_by_batch(lake, landing, monkeypatch, join):
+    folder, plans = f"{landing.folder}/orders", []
+    for number in range(6):
+        documents(landing, f"f{number}", order(number, Profit=number), order(number + 10))
+    with monkeypatch.context() as patch:
+        patch.setattr(flows, "refine_orders", lambda *_: None)
+        flows.load_orders(lake, folder, at(0), files_per_batch=2)
+    waiting = lake.marks.pending("orders", after=flows.LANDED, before=flows.REFINED)
+    real = tables.replace_partitions
+
+    def seen(frame, name):
+        plans.append(frame._jdf.queryExecution().optimizedPlan().toString())
+        real(frame, name)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "replace_partitions", seen)
+        flows.refine_orders(lake, join)
+    assert 1 < len(waiting) == len(plans) and lake.marks.passed("orders", flows.REFINED) == waiting
+    assert not any("Rebalance" in plan for plan in plans)
+    assert all(f"{batch} AS batch#" in plan for batch, plan in zip(waiting, plans))
+    whole = lake.spark.table(lake.order_enrich).select("row_id", "batch")
+    assert rows(whole) == rows(lake.raw("orders").select("row_id", "batch")) and whole.count() == 12
+
+
 def test_compressed_files_are_loaded(lake, landing):
     text = json.dumps(order(1)).encode()
     landing("orders/a.json.gz", gzip.compress(text))
